@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def hello_udf(s: pd.Series) -> pd.Series:
     return "hello " + s.fillna("null")
 

@@ -264,7 +264,7 @@ def publish(ctx: EventContext, ledger_path: str, message_path: str, topic: str =
     run = f"{target}/run={0 if known is None else known.count()}"
     event_messages(events, topic).write.mode("overwrite").parquet(run)
     spark.read.parquet(run).select(F.col("key").alias("rowkey"), F.lit(ctx.day).alias("busi_date")).write.mode(
-        "append").parquet(ledger_path)
+        "append").partitionBy("busi_date").parquet(ledger_path)
 
 
 def _exists(spark, path: str) -> bool:

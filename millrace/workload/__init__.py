@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("relational", "storage")
+MODULES = ("relational", "storage", "scalars", "statistics", "jobs")
 
 
 def load_all():
