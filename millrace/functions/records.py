@@ -80,24 +80,46 @@ def parse_delimited(df: DataFrame, schema: T.StructType, value: str = "value", s
                     trim: bool = False) -> DataFrame:
     """Positional text record to typed columns; an unreadable field becomes NULL.
 
-    The split happens once per row in its own projection, all other columns are kept.
+    The split is the only element of an exploded array: filters and projections above cannot be
+    merged into a generator, so a record is split once however many of its fields are used.
     """
-    parts = F.split(F.col(value).cast("string"), sep if sep.isalnum() or sep == "," else f"\\Q{sep}\\E", -1)
-    out = df.withColumn("_parts", parts)
+    pattern = "\\" + sep if len(sep) == 1 and not sep.isalnum() else f"\\Q{sep}\\E"
+    parts = F.split(F.col(value).cast("string"), pattern, -1)
+    out = df.withColumn("_parts", F.explode(F.array(parts)))
 
     def field(i: int, dtype: T.DataType) -> Column:
         raw = F.get(F.col("_parts"), F.lit(i))
         raw = F.trim(raw) if trim else raw
-        return raw if isinstance(dtype, T.StringType) else raw.try_cast(dtype)
+        if isinstance(dtype, T.StringType):
+            return raw
+        return F.nullif(raw, F.lit("")).try_cast(dtype)  # an empty field skips the cast: a failed one is slow
 
     keep = [c for c in df.columns if c != value]
     return out.select(*keep, *[field(i, f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
 
 
+def format_delimited(values: dict[str, Column], schema: T.StructType, sep: str = ",") -> Column:
+    """Text record of ``schema`` with the given fields set and the others empty.
+
+    Runs of empty fields become one literal, which keeps the generated code small.
+    """
+    pieces: list[Column] = []
+    literal = ""
+    for i, name in enumerate(schema.names):
+        literal += sep if i else ""
+        if name in values:
+            pieces += [F.lit(literal), F.coalesce(values[name].cast("string"), F.lit(""))]
+            literal = ""
+    return F.concat(*pieces, F.lit(literal))
+
+
 def parse_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """JSON text or bytes to typed columns: bad JSON gives NULL fields, never an error."""
+    """JSON text or bytes to typed columns: bad JSON gives NULL fields, never an error.
+
+    Parsed once per row, like :func:`parse_delimited`.
+    """
     keep = [c for c in df.columns if c != value]
-    parsed = df.withColumn("_json", F.from_json(F.col(value).cast("string"), schema))
+    parsed = df.withColumn("_json", F.explode(F.array(F.from_json(F.col(value).cast("string"), schema))))
     return parsed.select(*keep, "_json.*")
 
 

@@ -22,15 +22,16 @@ EVENT_COLUMNS = ["cust_id", "busi_no", "busi_date", *EXTRA_COLUMNS]
 
 @dataclass(frozen=True)
 class EventContext:
-    """Input tables by name, the business date, and the settings that rules use."""
+    """Input tables by name (or functions that open them), the business date, and rule settings."""
 
-    tables: Mapping[str, DataFrame]
+    tables: Mapping[str, DataFrame | Callable[[], DataFrame]]
     day: str
     commenders: Sequence[str] = ()
     history_start: str = "20200101"
 
     def table(self, name: str) -> DataFrame:
-        return self.tables[name]
+        found = self.tables[name]
+        return found() if callable(found) else found
 
 
 @dataclass(frozen=True)

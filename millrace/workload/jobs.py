@@ -32,78 +32,102 @@ def _between(column: str, period: str):
     return (F.col(column) >= start) & (F.col(column) < end)
 
 
-def event_tables(spark, d, period: str) -> dict[str, DataFrame]:
-    """The rule inputs as views of the data tables; a date column holds the period's name."""
-    c = table(spark, d, "customer")
-    o = table(spark, d, "orders").where(_between("o_orderdate", period))
-    e = table(spark, d, "events").where(_between("ts", period))
+def _code(column: str, mapping: dict):
+    return reduce(lambda w, kv: w.when(F.col(column) == kv[0], kv[1]), mapping.items(), F)
+
+
+def event_tables(base: dict[str, DataFrame], period: str) -> dict:
+    """The rule inputs as views of the data tables; a date column holds the period's name.
+
+    Each entry opens its table when a rule asks for it.
+    """
+    c, nation, supplier = base["customer"], base["nation"], base["supplier"]
+    o = base["orders"].where(_between("o_orderdate", period))
+    e = base["events"].where(_between("ts", period))
+    returned = base["lineitem"].where("l_returnflag = 'R'")
     label, number = F.lit(period), F.lit(int(period))
-    code = lambda col, mapping: reduce(lambda w, kv: w.when(F.col(col) == kv[0], kv[1]), mapping.items(), F)
-    returned = table(spark, d, "lineitem").where("l_returnflag = 'R'")
-    # Bank moves of the period and of the year before it, each under its own label.
-    before = str(int(period[:4]) - 1) + period[4:]
-    moves = table(spark, d, "orders").where(_between("o_orderdate", before) | _between("o_orderdate", period))
-    moves = moves.select(F.col("o_custkey").alias("custid"), "o_orderstatus", F.lit("1").alias("banktranid"),
-                         F.lit("2").alias("status"),
-                         F.when(_between("o_orderdate", period), period).otherwise(before).alias("busi_date"))
+    cust_code, custid = F.col("o_custkey").alias("cust_code"), F.col("o_custkey").alias("custid")
+
+    def bank_moves(status: str) -> DataFrame:
+        """Moves of the period and of the period one year before it, each under its own label."""
+        before = str(int(period[:4]) - 1) + period[4:]
+        now = _between("o_orderdate", period)
+        rows = base["orders"].where((F.col("o_orderstatus") == status) & (now | _between("o_orderdate", before)))
+        return rows.select(custid, F.lit("1").alias("banktranid"), F.lit("2").alias("status"),
+                           F.when(now, period).otherwise(before).alias("busi_date"))
+
+    def rights() -> DataFrame:
+        """Trading rights: pending high-priority orders, clicks and views, and markets by order status."""
+        market = F.when(F.col("o_orderstatus") == "O", "5").when(F.col("o_orderstatus") == "F", "S").otherwise("P")
+        nothing = F.lit(None).cast("string").alias("market")
+        pending = o.where("o_orderstatus = 'P' AND o_orderpriority = '2-HIGH'").select(
+            custid, F.lit("0w").alias("securight"), nothing)
+        visits = e.where("event_type IN ('click', 'view')").select(
+            F.col("user_id").alias("custid"), _code("event_type", {"click": "05", "view": "06"}).alias("securight"), nothing)
+        markets = o.select(custid, F.lit("0s").alias("securight"), market.alias("market"))
+        return pending.union(visits).union(markets).select("*", F.lit(0).alias("status"), label.alias("opendate"))
+
+    def applications() -> DataFrame:
+        shipped = returned.where(_between("l_shipdate", period)).select("l_orderkey")
+        buyers = base["orders"].select("o_orderkey", "o_custkey")
+        return shipped.join(buyers, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            custid, label.alias("effectivedate"), F.lit("5").alias("status"))
+
     return {
-        "custbaseinfo": c.select(
+        "custbaseinfo": lambda: c.select(
             F.col("c_custkey").alias("custid"), F.col("c_name").alias("mobileno"), label.alias("opendate"),
             F.when(F.col("c_mktsegment") == "BUILDING", 0).otherwise(1).alias("singleflag")),
-        "user_basic_info": o.select(F.col("o_custkey").alias("user_code"), code("o_orderstatus", {"O": 1}).alias("open_source")),
-        "customer": c.join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+        "user_basic_info": lambda: o.select(F.col("o_custkey").alias("user_code"),
+                                            _code("o_orderstatus", {"O": 1}).alias("open_source")),
+        "customer": lambda: c.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
             F.col("c_custkey").alias("custid"), F.col("n_name").alias("orgid")),
-        "oa_s_cczq": c.join(table(spark, d, "supplier"), F.col("c_nationkey") == F.col("s_nationkey")).select(
+        "oa_s_cczq": lambda: c.join(supplier, F.col("c_nationkey") == F.col("s_nationkey")).select(
             F.col("c_custkey").alias("cust_code"), F.concat(F.lit(" "), "s_name").alias("commender_name")),
-        "cgemsecuinfo": o.select(F.col("o_custkey").alias("custid"), label.alias("signdate"),
-                                 code("o_orderstatus", {"F": "00"}).alias("dealresult")),
-        "cust_invest_pro": o.select(F.col("o_custkey").alias("cust_code"), label.alias("prof_sign_date"),
-                                    code("o_orderpriority", {"1-URGENT": "1"}).alias("prof_investor_type")),
-        "secuid": _rights(o, e, label),
-        "opp_busi_data": e.where("value > 0").select(
+        "cgemsecuinfo": lambda: o.select(custid, label.alias("signdate"),
+                                         _code("o_orderstatus", {"F": "00"}).alias("dealresult")),
+        "cust_invest_pro": lambda: o.select(cust_code, label.alias("prof_sign_date"),
+                                            _code("o_orderpriority", {"1-URGENT": "1"}).alias("prof_investor_type")),
+        "secuid": rights,
+        "opp_busi_data": lambda: e.where("value > 0").select(
             F.col("user_id").alias("cust_code"), F.col("ts").alias("oper_time"), F.lit("13").alias("proc_status"),
-            code("event_type", {"purchase": "D0008", "signup": "D0009"}).alias("busi_code")),
-        "cust_agreement": o.select(F.col("o_custkey").alias("cust_code"), label.alias("eft_date"),
-                                   code("o_orderpriority", {"3-MEDIUM": "11", "4-NOT SPECIFIED": "26"}).alias("cust_agmt_type")),
-        "private_fund_invest": o.select(F.col("o_custkey").alias("cust_code"), label.alias("apply_date"),
-                                        code("o_orderpriority", {"5-LOW": "1", "1-URGENT": "4"}).alias("fund_invest_type")),
-        "cdtapplication": returned.where(_between("l_shipdate", period)).join(
-            table(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
-            F.col("o_custkey").alias("custid"), label.alias("effectivedate"), F.lit("5").alias("status")),
-        "opt_trdacct": o.select(F.col("o_custkey").alias("cust_code"), label.alias("effect_date")),
-        "otc_auto_invest_agr": o.select(
-            F.col("o_custkey").alias("cust_code"), F.col("o_orderkey").alias("app_sno"), F.col("o_orderkey").alias("inst_sno"),
+            _code("event_type", {"purchase": "D0008", "signup": "D0009"}).alias("busi_code")),
+        "cust_agreement": lambda: o.select(
+            cust_code, label.alias("eft_date"),
+            _code("o_orderpriority", {"3-MEDIUM": "11", "4-NOT SPECIFIED": "26"}).alias("cust_agmt_type")),
+        "private_fund_invest": lambda: o.select(
+            cust_code, label.alias("apply_date"),
+            _code("o_orderpriority", {"5-LOW": "1", "1-URGENT": "4"}).alias("fund_invest_type")),
+        "cdtapplication": applications,
+        "opt_trdacct": lambda: o.select(cust_code, label.alias("effect_date")),
+        "otc_auto_invest_agr": lambda: o.select(
+            cust_code, F.col("o_orderkey").alias("app_sno"), F.col("o_orderkey").alias("inst_sno"),
             F.lit("1").alias("agr_stat"), label.alias("app_date")),
-        "otc_inst_base_info": returned.groupBy(F.col("l_orderkey").alias("inst_sno")).agg(F.min("l_partkey").alias("inst_id")),
-        "otc_ec_sign": o.where("o_orderstatus IN ('O', 'F')").select(
-            F.col("o_custkey").alias("cust_code"), label.alias("busi_date"), label.alias("sign_date"),
-            code("o_orderpriority", {"1-URGENT": 9512, "2-HIGH": 9513, "3-MEDIUM": 9573}).alias("inst_sno"),
-            code("o_orderstatus", {"O": "0", "F": "1"}).alias("sign_stat"), F.col("o_orderdate").alias("upd_timestamp")),
-        "eccustsign": o.select(F.col("o_custkey").alias("custid"), number.alias("orderdate")),
-        "otc_trd_orders": o.select(
-            F.col("o_custkey").alias("cust_code"), label.alias("busi_date"), number.alias("app_date"),
-            code("o_orderstatus", {"F": "129"}).alias("trd_id"), code("o_orderpriority", {"5-LOW": "0"}).alias("div_method")),
-        "logbanktran": moves.where("o_orderstatus = 'O'"),
-        "logbanktran_margin": moves.where("o_orderstatus = 'P'"),
+        "otc_inst_base_info": lambda: returned.groupBy(F.col("l_orderkey").alias("inst_sno")).agg(
+            F.min("l_partkey").alias("inst_id")),
+        "otc_ec_sign": lambda: o.where("o_orderstatus IN ('O', 'F')").select(
+            cust_code, label.alias("busi_date"), label.alias("sign_date"),
+            _code("o_orderpriority", {"1-URGENT": 9512, "2-HIGH": 9513, "3-MEDIUM": 9573}).alias("inst_sno"),
+            _code("o_orderstatus", {"O": "0", "F": "1"}).alias("sign_stat"), F.col("o_orderdate").alias("upd_timestamp")),
+        "eccustsign": lambda: o.select(custid, number.alias("orderdate")),
+        "otc_trd_orders": lambda: o.select(
+            cust_code, label.alias("busi_date"), number.alias("app_date"),
+            _code("o_orderstatus", {"F": "129"}).alias("trd_id"), _code("o_orderpriority", {"5-LOW": "0"}).alias("div_method")),
+        "logbanktran": lambda: bank_moves("O"),
+        "logbanktran_margin": lambda: bank_moves("P"),
     }
 
 
-def _rights(o: DataFrame, e: DataFrame, label) -> DataFrame:
-    """Trading rights: pending urgent-second orders, clicks and views, and the markets by order status."""
-    market = F.when(F.col("o_orderstatus") == "O", "5").when(F.col("o_orderstatus") == "F", "S").otherwise("P")
-    pending = o.where("o_orderstatus = 'P' AND o_orderpriority = '2-HIGH'").select(
-        F.col("o_custkey").alias("custid"), F.lit("0w").alias("securight"), F.lit(None).cast("string").alias("market"))
-    visits = e.where("event_type IN ('click', 'view')").select(
-        F.col("user_id").alias("custid"), F.when(F.col("event_type") == "click", "05").otherwise("06").alias("securight"),
-        F.lit(None).cast("string").alias("market"))
-    markets = o.select(F.col("o_custkey").alias("custid"), F.lit("0s").alias("securight"), market.alias("market"))
-    return pending.union(visits).union(markets).select("*", F.lit(0).alias("status"), label.alias("opendate"))
+def base_tables(spark, d) -> dict[str, DataFrame]:
+    return {n: table(spark, d, n) for n in ("customer", "nation", "supplier", "orders", "lineitem", "events")}
 
 
-def event_context(spark, d, code: str) -> events.EventContext:
-    period = YEAR if code in YEAR_RULES else EVENT_MONTH if code in EVENT_RULES else MONTH
-    before = {4: "1994", 6: "199502"}[len(period)] if period != EVENT_MONTH else "202300"
-    return events.EventContext(event_tables(spark, d, period), period, COMMENDERS, before)
+def rule_period(code: str) -> str:
+    return YEAR if code in YEAR_RULES else EVENT_MONTH if code in EVENT_RULES else MONTH
+
+
+def event_context(base: dict[str, DataFrame], period: str) -> events.EventContext:
+    before = str(int(period[:4]) - 2) + period[4:]  # history starts after the year before last
+    return events.EventContext(event_tables(base, period), period, COMMENDERS, before)
 
 
 _C = "(SELECT CAST(c_custkey AS VARCHAR) AS cust_id, c_custkey, c_name AS cust_telno, c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING')"
@@ -113,8 +137,7 @@ _YO = "(SELECT * FROM orders WHERE strftime(o_orderdate, '%Y') = '1996')"
 
 def _rule_sql(code: str, source: str, where: str = "true", extra: dict[str, str] | None = None, distinct: str = "") -> str:
     """Oracle of one rule: ``source`` joins the customers ``c``."""
-    period = YEAR if code in YEAR_RULES else EVENT_MONTH if code in EVENT_RULES else MONTH
-    extra = extra or {}
+    period, extra = rule_period(code), extra or {}
     cols = ", ".join(f"CAST({extra.get(x, 'NULL')} AS VARCHAR) AS {x}" for x in events.EXTRA_COLUMNS)
     return (f"SELECT {distinct} c.cust_id, c.cust_telno, '{code}' AS busi_no, '{period}' AS busi_date, {cols} "
             f"FROM {_C} c {source} WHERE {where}")
@@ -169,16 +192,13 @@ RULE_SQL = {
 def _register_rule(code: str) -> None:
     @query(f"evt_{code}", RULE_SQL[code])
     def rule(spark, d):
-        return events.rule_events(event_context(spark, d, code), code)
+        return events.rule_events(event_context(base_tables(spark, d), rule_period(code)), code)
 
 
-for _code in events.RULE_CODES:
-    _register_rule(_code)
+for _rule in events.RULE_CODES:
+    _register_rule(_rule)
 
 _ALL_EVENTS = " UNION ALL ".join(f"({RULE_SQL[c]})" for c in events.RULE_CODES)
-_ONCE = f"""SELECT cust_id || '_' || busi_date || '_' || busi_no AS key, cust_id, min(cust_telno) AS cust_telno, busi_no, busi_date,
-    min(({", ".join(events.EXTRA_COLUMNS)})) AS x FROM ({_ALL_EVENTS}) GROUP BY cust_id, busi_no, busi_date"""
-_FIRST_X = {c: f"x[{i + 1}]" for i, c in enumerate(events.EXTRA_COLUMNS)}
 # The smallest tuple with NULLs first, like the smallest struct.
 _ONCE = f"""SELECT cust_id || '_' || busi_date || '_' || busi_no AS key, * FROM (SELECT *, row_number() OVER (
     PARTITION BY cust_id, busi_no, busi_date ORDER BY {", ".join(c + " NULLS FIRST" for c in events.EXTRA_COLUMNS)}) AS rn
@@ -191,12 +211,12 @@ MESSAGES_SQL = f"SELECT 'point' AS topic, key, {_JSON} AS value FROM ({_ONCE})"
 
 def all_events(spark, d, ledger: DataFrame | None = None) -> DataFrame:
     """All rules, each for its period; one customer join for all of them."""
-    groups: dict[str, list[str]] = {}
+    base, groups = base_tables(spark, d), {}
     for code in events.RULE_CODES:
-        groups.setdefault(YEAR if code in YEAR_RULES else EVENT_MONTH if code in EVENT_RULES else MONTH, []).append(code)
-    rows = [events.candidates(event_context(spark, d, codes[0]), codes) for codes in groups.values()]
-    base = events.individual_customers(event_context(spark, d, "010109"))
-    return events.new_events(reduce(DataFrame.unionByName, rows), base, ledger)
+        groups.setdefault(rule_period(code), []).append(code)
+    contexts = {period: event_context(base, period) for period in groups}
+    rows = [events.candidates(contexts[period], codes) for period, codes in groups.items()]
+    return events.new_events(reduce(DataFrame.unionByName, rows), events.individual_customers(contexts[MONTH]), ledger)
 
 
 @query("business_events", MESSAGES_SQL)
@@ -315,12 +335,6 @@ def seed_and_trades(spark, d):
     return early.select("rowkey", F.col("delta").alias("balance")), trades
 
 
-BALANCE_SQL = f"""
-WITH t AS (SELECT {_KEY} AS rowkey, {_SIGNED} AS delta, matchsno, trddate FROM ({TRADE_SQL}) WHERE {_COUNTED}),
-l AS (SELECT rowkey, max((trddate, matchsno)) AS last FROM t WHERE trddate > {SEED_DAY} GROUP BY 1)
-SELECT t.rowkey, CAST(sum(delta) AS BIGINT) AS balance,
-       any_value(last[2]) AS last_no, any_value(last[1]) AS last_day
-FROM t LEFT JOIN l ON t.rowkey = l.rowkey GROUP BY t.rowkey"""
 BALANCE_SQL = f"""
 WITH t AS (SELECT {_KEY} AS rowkey, {_SIGNED} AS delta, matchsno, trddate FROM ({TRADE_SQL}) WHERE {_COUNTED}),
 late AS (SELECT * FROM t WHERE trddate > {SEED_DAY}),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import is_local
+from millrace.session import RECOMMENDED, is_local
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -14,7 +14,9 @@ ORACLES: dict[str, str] = {}
 
 def prepare(spark: SparkSession) -> None:
     """Settings that results depend on, and small-machine settings for local sessions."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for name in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit",
+                 "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        spark.conf.set(name, RECOMMENDED[name])
     if is_local(spark) and spark.conf.get("spark.sql.shuffle.partitions") == "200":
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
 

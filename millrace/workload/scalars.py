@@ -6,9 +6,9 @@ from pyspark.sql import functions as F, types as T
 
 from millrace.functions import udfs
 from millrace.functions.dates import compact_day, compact_day_via_unixtime
-from millrace.functions.records import (LEDGER, LEDGER_JSON, TRADE, ledger_decimals, parse_delimited, parse_json,
+from millrace.functions.records import (LEDGER, LEDGER_JSON, TRADE, format_delimited, ledger_decimals, parse_delimited, parse_json,
                                         with_fallback)
-from millrace.functions.text import lookup, null_to_empty
+from millrace.functions.text import lookup, null_to_empty, padded_key
 from millrace.functions.types import cast_by_name
 from millrace.sources.envelopes import decode, to_envelope
 from millrace.sources.files import table
@@ -111,12 +111,11 @@ def trade_lines(spark, d):
         "custid": F.col("l_partkey"), "fundid": F.col("l_suppkey"), "moneytype": F.lit("0"), "orgid": F.lit("0001"),
         "secuid": F.concat(F.lit("A"), F.col("l_suppkey").cast("string")), "bsflag": flag,
         "matchtype": F.when(F.col("l_linestatus") == "O", "0").otherwise("1"), "market": F.col("l_linestatus"),
-        "stkcode": F.format_string("%06d", "l_linenumber"), "matchqty": F.col("l_quantity").cast("bigint"),
+        "stkcode": padded_key(F.col("l_linenumber"), 6), "matchqty": F.col("l_quantity").cast("bigint"),
         "matchprice": F.col("l_discount").cast("decimal(12,2)"), "clearamt": F.col("l_extendedprice").cast("decimal(18,2)"),
         "matchamt": F.col("l_tax").cast("decimal(12,2)"), "trddate": F.date_format("l_shipdate", "yyyyMMdd"),
     }
-    return table(spark, d, "lineitem").select(
-        F.concat_ws(",", *[values.get(f, F.lit("")).cast("string") for f in TRADE.names]).alias("value"))
+    return table(spark, d, "lineitem").select(format_delimited(values, TRADE).alias("value"))
 
 
 TRADE_SQL = """SELECT l_suppkey AS fundid, 'A' || l_suppkey AS secuid, '0001' AS orgid, l_linestatus AS market,
@@ -135,8 +134,7 @@ def ledger_lines(spark, d):
         "fundeffect": F.col("o_totalprice").cast("decimal(18,2)"), "busi_date": F.date_format("o_orderdate", "yyyyMMdd"),
         "remark": F.col("o_orderpriority"),
     }
-    return table(spark, d, "orders").select(
-        F.concat_ws(",", *[values.get(f, F.lit("")).cast("string") for f in LEDGER.names]).alias("value"))
+    return table(spark, d, "orders").select(format_delimited(values, LEDGER).alias("value"))
 
 
 @query("csv_record_parse", f"""
