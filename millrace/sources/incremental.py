@@ -7,7 +7,6 @@ call. ``OffsetTableSource`` is the same contract as a Structured Streaming sourc
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -92,8 +91,10 @@ def _write_log(spark: SparkSession, path: str, entry: dict) -> None:
 
 
 class _Range(InputPartition):
-    def __init__(self, path, groups, low, high, inclusive):
-        self.path, self.groups, self.low, self.high, self.inclusive = path, groups, low, high, inclusive
+    """Row groups of one file, and the offsets ``(low, high]`` to keep."""
+
+    def __init__(self, path: str, groups: list[int], low: int | None, high: int):
+        self.path, self.groups, self.low, self.high = path, groups, low, high
 
 
 class OffsetTableSource(DataSource):
@@ -176,23 +177,21 @@ class OffsetTableReader(DataSourceStreamReader):
         for path, groups in self._row_groups().items():
             hit = [g for g, lo, hi in groups if lo <= high and (low is None or hi > low)]
             if hit:
-                out.append(_Range(path, hit, low, high, False))
+                out.append(_Range(path, hit, low, high))
         return out
 
     def read(self, partition: _Range) -> Iterator:
         import pyarrow.compute as pc
         import pyarrow.dataset as ds
+        from pyarrow.fs import FileSystem
 
+        filesystem, _ = FileSystem.from_uri(self.path)
         keep = pc.field(self.column) <= partition.high
         if partition.low is not None:
             keep = keep & (pc.field(self.column) > partition.low)
-        (fragment,) = ds.dataset(partition.path, format="parquet").get_fragments()
+        (fragment,) = ds.dataset(partition.path, format="parquet", filesystem=filesystem).get_fragments()
         yield from fragment.subset(row_group_ids=partition.groups).to_batches(columns=self.names, filter=keep)
 
     def commit(self, end: dict) -> None:
         pass
 
-
-def offset_json(start, end) -> str:
-    """The logged form of an offset range."""
-    return json.dumps({"start": str(start), "end": str(end)})

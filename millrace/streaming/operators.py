@@ -36,15 +36,20 @@ def dedup_forever(df: DataFrame, ts: str, delay: str, keys: list[str] | None = N
 
 
 def interval_stream_join(left: DataFrame, right: DataFrame, key: tuple[str, str], time_cols: tuple[str, str],
-                         delays: tuple[str, str], span: str, how: str = "inner") -> DataFrame:
-    """Equal keys and ``right_time <= left_time < right_time + span`` with a watermark on both sides.
+                         delays: tuple[str, str], seconds: int, how: str = "inner") -> DataFrame:
+    """Equal keys and ``right_time <= left_time < right_time + seconds`` with a watermark on both sides.
 
-    Both bounds are in the condition, so Spark drops state that can no longer match.
+    Both time bounds are in the condition, so Spark drops state that can no longer match. As in the
+    batch form, rows also agree on a time slot as long as the interval, so the state and the
+    comparisons of a hot key are spread over its slots.
     """
-    ls, rs = left.withWatermark(time_cols[0], delays[0]), right.withWatermark(time_cols[1], delays[1])
-    cond: Column = ((F.col(key[0]) == F.col(key[1])) & (F.col(time_cols[0]) >= F.col(time_cols[1]))
-                    & (F.col(time_cols[0]) < F.col(time_cols[1]) + F.expr(f"INTERVAL {span}")))
-    return ls.join(rs, cond, how)
+    (lk, rk), (lt, rt) = key, time_cols
+    slot = lambda c: F.floor(F.unix_micros(F.col(c)) / F.lit(seconds * 1_000_000))
+    ls = left.withWatermark(lt, delays[0]).withColumn("_slot", slot(lt))
+    rs = right.withWatermark(rt, delays[1]).withColumn("_right_slot", F.explode(F.array(slot(rt), slot(rt) + 1)))
+    cond: Column = ((F.col(lk) == F.col(rk)) & (F.col("_slot") == F.col("_right_slot")) & (F.col(lt) >= F.col(rt))
+                    & (F.col(lt) < F.col(rt) + F.expr(f"INTERVAL {seconds} SECONDS")))
+    return ls.join(rs, cond, how).drop("_slot", "_right_slot")
 
 
 class RefreshingLookup:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("relational", "storage", "scalars", "statistics", "jobs")
+MODULES = ("relational", "storage", "scalars", "statistics", "jobs", "streams")
 
 
 def load_all():

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import millrace
 from millrace.session import RECOMMENDED, is_local
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +19,8 @@ def prepare(spark: SparkSession) -> None:
     for name in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit",
                  "spark.sql.adaptive.forceOptimizeSkewedJoin"):
         spark.conf.set(name, RECOMMENDED[name])
+    # Functions travel with their code, so executors need no copy of the package.
+    cloudpickle.register_pickle_by_value(millrace)
     if is_local(spark) and spark.conf.get("spark.sql.shuffle.partitions") == "200":
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
 

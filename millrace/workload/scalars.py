@@ -10,6 +10,7 @@ from millrace.functions.records import (LEDGER, LEDGER_JSON, TRADE, format_delim
                                         with_fallback)
 from millrace.functions.text import lookup, null_to_empty, padded_key
 from millrace.functions.types import cast_by_name
+from millrace.session import spread
 from millrace.sources.envelopes import decode, to_envelope
 from millrace.sources.files import table
 from millrace.workload.registry import query
@@ -115,7 +116,7 @@ def trade_lines(spark, d):
         "matchprice": F.col("l_discount").cast("decimal(12,2)"), "clearamt": F.col("l_extendedprice").cast("decimal(18,2)"),
         "matchamt": F.col("l_tax").cast("decimal(12,2)"), "trddate": F.date_format("l_shipdate", "yyyyMMdd"),
     }
-    return table(spark, d, "lineitem").select(format_delimited(values, TRADE).alias("value"))
+    return spread(table(spark, d, "lineitem")).select(format_delimited(values, TRADE).alias("value"))
 
 
 TRADE_SQL = """SELECT l_suppkey AS fundid, 'A' || l_suppkey AS secuid, '0001' AS orgid, l_linestatus AS market,
