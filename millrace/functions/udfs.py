@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -36,6 +38,32 @@ def mergeable_average(df: DataFrame, keys: list[str], value: str, name: str, par
     return merged.select(*keys, finish_avg(F.col("_state")).alias(name))
 
 
+def user_aggregate(df: DataFrame, keys: list[str], buffer: str, result: str,
+                   reduce: Callable[[pd.DataFrame], pd.DataFrame], merge: Callable[[pd.DataFrame], pd.DataFrame],
+                   finish: Callable[[pd.DataFrame], pd.Series], name: str) -> DataFrame:
+    """Aggregate written in Python, with partial results before the shuffle.
+
+    ``reduce`` turns an Arrow batch of rows into one buffer row per key, ``merge`` combines buffer
+    rows of one key, ``finish`` gives the result of a merged buffer. ``buffer`` and ``result`` are
+    the DDL of the buffer columns and of the result. Only buffers are shuffled, and a task sees
+    the buffers of a key as an iterator of batches, never as a whole.
+    """
+    key_ddl = ", ".join(f"`{k}` {t}" for k, t in df.select(*keys).dtypes)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield reduce(batch)
+
+    def final(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        merged = None
+        for batch in batches:
+            merged = merge(batch if merged is None else pd.concat([merged, batch], ignore_index=True))
+        yield merged[keys].assign(**{name: finish(merged)})
+
+    buffers = df.mapInPandas(partial, f"{key_ddl}, {buffer}")
+    return buffers.groupBy(*keys).applyInPandas(final, f"{key_ddl}, `{name}` {result}")
+
+
 def register_functions(spark: SparkSession) -> None:
     """Make the functions callable from SQL.
 

@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.dates import in_period
@@ -272,7 +273,7 @@ def _exists(spark, path: str) -> bool:
     try:
         spark.read.schema("rowkey STRING").parquet(path).limit(1).collect()
         return True
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return False
         raise

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
@@ -78,8 +79,8 @@ def _read_log(spark: SparkSession, path: str) -> list[dict]:
     try:
         rows = spark.read.schema(_LOG).json(path)
         last = rows.orderBy(F.desc("id"), F.desc("done")).limit(1).collect()
-    except Exception as error:  # no log yet
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:  # no log yet
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return []
     return [r.asDict() for r in last]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.session import work_path
 from millrace.sinks.writers import batch_folder_sink
@@ -22,11 +23,17 @@ def run_available_now(stream: DataFrame, mode: str = "append", checkpoint: str |
     if mode == "append":
         writer.format("parquet").option("path", out).start().awaitTermination()
         return spark.read.schema(stream.schema).parquet(out)
-    query = writer.foreachBatch(batch_folder_sink(out)).start()
-    query.awaitTermination()
-    if mode == "complete":
-        return spark.read.schema(stream.schema).parquet(f"{out}/batch_id={query.lastProgress.batchId}")
-    return spark.read.parquet(out)
+    writer.foreachBatch(batch_folder_sink(out)).start().awaitTermination()
+    try:
+        written = spark.read.parquet(out)
+    except AnalysisException as error:  # no input yet, hence no batch
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], stream.schema)
+    if mode == "update":
+        return written
+    newest = written.agg(F.max("batch_id")).first()[0]  # a partition column: answered from the listing
+    return spark.read.schema(stream.schema).parquet(f"{out}/batch_id={newest}")
 
 
 def run_foreach_batch(stream: DataFrame, handle, checkpoint: str | None = None, mode: str = "append") -> None:

@@ -210,6 +210,24 @@ def udaf_avg_partial_merge(spark, d):
     return merged.select("o_orderstatus", F.round("average", 4).alias("average"))
 
 
+@query("udaf_user_code", """
+SELECT c_nationkey, round(avg(c_acctbal), 4) AS average FROM customer GROUP BY 1""")
+def udaf_user_code(spark, d):
+    """Average in Python: reduce to (total, n), merge by adding, finish by dividing."""
+    def reduce(rows):
+        return rows.groupby("c_nationkey", as_index=False).agg(total=("c_acctbal", "sum"), n=("c_acctbal", "count"))
+
+    def merge(buffers):
+        return buffers.groupby("c_nationkey", as_index=False)[["total", "n"]].sum()
+
+    def finish(buffers):
+        return buffers["total"] / buffers["n"]
+
+    c = table(spark, d, "customer").select("c_nationkey", "c_acctbal")
+    out = udfs.user_aggregate(c, ["c_nationkey"], "total DOUBLE, n BIGINT", "DOUBLE", reduce, merge, finish, "average")
+    return out.withColumn("average", F.round("average", 4))
+
+
 @query("map_in_pandas", """
 SELECT event_id, upper(event_type) AS kind, value * 2 AS doubled FROM events WHERE value > 10""")
 def map_in_pandas(spark, d):

@@ -135,7 +135,7 @@ def envelope_stream(spark, d) -> DataFrame:
 def stream_parse_append(spark, d):
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()),
                            T.StructField("value", T.DoubleType())])
-    parsed = decode(envelope_stream(spark, d).withColumnRenamed("value", "body").withColumnRenamed("body", "value"), schema)
+    parsed = decode(envelope_stream(spark, d), schema)
     return run_available_now(parsed).withColumn("message_time", F.col("message_time").cast("timestamp_ntz"))
 
 
