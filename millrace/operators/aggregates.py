@@ -27,17 +27,22 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str])
 def repeat_rows(df: DataFrame, times: str, chunk: int = 100_000, name: str | None = None) -> DataFrame:
     """Each row ``times`` times; ``name`` optionally numbers the copies from 1.
 
-    Copies are made in chunks that are shuffled in between, so that a row with billions of
-    copies is written by many tasks and no task builds a long list.
+    Up to ``chunk`` copies are made in place. A row with more is first cut into chunks that are
+    shuffled, so that billions of copies are written by many tasks and no task builds a long list.
     """
     cols = [c for c in df.columns if c != times]
-    chunks = df.where(F.col(times) > 0).withColumn(
+    number = [F.col("_copy").alias(name)] if name else []
+    one = F.lit(1).cast("bigint")
+
+    few = df.where((F.col(times) > 0) & (F.col(times) <= chunk))
+    few = few.select(*cols, F.explode(F.sequence(one, F.col(times))).alias("_copy")).select(*cols, *number)
+
+    many = df.where(F.col(times) > chunk).withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(times) - 1) / F.lit(chunk)))))
-    spread = chunks.repartition(*cols, "_chunk")
-    first = F.col("_chunk") * chunk + 1
     last = F.least(F.col(times), (F.col("_chunk") + 1) * chunk)
-    copies = spread.withColumn("_copy", F.explode(F.sequence(first, last)))
-    return copies.select(*cols, *([F.col("_copy").alias(name)] if name else []))
+    many = many.repartition(*cols, "_chunk").select(
+        *cols, F.explode(F.sequence(F.col("_chunk") * chunk + 1, last)).alias("_copy")).select(*cols, *number)
+    return few.union(many)
 
 
 def number_duplicates(df: DataFrame, name: str = "copy_no") -> DataFrame:

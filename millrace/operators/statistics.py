@@ -91,6 +91,7 @@ def crosstab(df: DataFrame, row: str, column: str, values: Sequence) -> DataFram
     return df.groupBy(row).agg(*[F.count_if(F.col(column) == v).alias(str(v)) for v in values])
 
 
+BLOOM_BROADCAST_BYTES = 64 << 20
 _BLOCK_BITS = 32_768  # bits of one bitmap, as built by bitmap_construct_agg
 
 
@@ -112,8 +113,8 @@ def bloom_filter(df: DataFrame, column: str, bloom: DataFrame, expected_items: i
                  hashes: int = 6) -> DataFrame:
     """Rows whose value may be in the filter: no row that is in it is lost.
 
-    One join on the block number. Spark broadcasts the filter while it is below its threshold
-    and shuffles by block beyond it.
+    One join on the block number. The size of the filter is known from its blocks: up to
+    ``BLOOM_BROADCAST_BYTES`` it is broadcast, beyond it both sides are shuffled by the many blocks.
     """
     blocks = max(1, -(-expected_items * bits_per_item // _BLOCK_BITS))
     block, bits = _bloom_bits(F.col(column), blocks, hashes)
@@ -125,24 +126,29 @@ def bloom_filter(df: DataFrame, column: str, bloom: DataFrame, expected_items: i
     test = is_set(bits[0])
     for b in bits[1:]:
         test = test & is_set(b)
-    probed = df.withColumn("block", block).join(bloom.select("block", "bits"), "block")
+    filter_rows = bloom.select("block", "bits")
+    if blocks * _BLOCK_BITS // 8 <= BLOOM_BROADCAST_BYTES:
+        filter_rows = F.broadcast(filter_rows)
+    probed = df.withColumn("block", block).join(filter_rows, "block")
     return probed.where(test).select(*df.columns)
 
 
+def _cms_cells(column: str, depth: int, width: int) -> Column:
+    return F.explode(F.array(*[
+        F.struct(F.lit(i).alias("row"), F.pmod(F.xxhash64(F.col(column), F.lit(i)), F.lit(width)).alias("cell"))
+        for i in range(depth)])).alias("c")
+
+
 def cms_build(df: DataFrame, column: str, depth: int = 5, width: int = 1 << 14) -> DataFrame:
-    """Count-min sketch as at most ``depth * width`` cells ``(row, cell, n)``."""
-    cells = F.array(*[F.struct(F.lit(i).alias("row"), F.pmod(F.xxhash64(F.col(column), F.lit(i)), F.lit(width)).alias("cell"))
-                      for i in range(depth)])
-    # Equal values are counted first, so that the cells are made from distinct values only.
-    counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counted.select(F.explode(cells).alias("c"), "n").groupBy("c.row", "c.cell").agg(F.sum("n").alias("n"))
+    """Count-min sketch as at most ``depth * width`` cells ``(row, cell, n)``.
+
+    Each task adds up its own cells first, so it shuffles a sketch and never the values.
+    """
+    return df.select(_cms_cells(column, depth, width)).groupBy("c.row", "c.cell").agg(F.count(F.lit(1)).alias("n"))
 
 
 def cms_estimate(items: DataFrame, column: str, cells: DataFrame, depth: int = 5, width: int = 1 << 14) -> DataFrame:
     """Estimated count per item, never below the true count."""
-    probes = F.explode(F.array(*[F.struct(F.lit(i).alias("row"),
-                                          F.pmod(F.xxhash64(F.col(column), F.lit(i)), F.lit(width)).alias("cell"))
-                                 for i in range(depth)])).alias("c")
-    probe = items.select(column).distinct().select(column, probes).select(column, "c.row", "c.cell")
+    probe = items.select(column).distinct().select(column, _cms_cells(column, depth, width)).select(column, "c.row", "c.cell")
     hit = probe.join(cells, ["row", "cell"], "left").groupBy(column)
     return hit.agg(F.min(F.coalesce(F.col("n"), F.lit(0))).alias("estimate"))

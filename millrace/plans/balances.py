@@ -24,6 +24,14 @@ def seed_cells(snapshot: DataFrame, date_column: str, day: str, keys: Sequence[s
     return slice_by_day(snapshot, date_column, day).transform(rows_to_cells, keys)
 
 
+def distinct_messages(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Messages without repeated ones. The whole text is compared, before it is parsed into columns.
+
+    On a stream the state holds every message seen, as a delivery guarantee without a time limit needs.
+    """
+    return messages.dropDuplicates([value])
+
+
 def counts(flag: Column, match_type: Column) -> Column:
     """Trades that move a balance: known flags, and outside the two basic ones only confirmed matches."""
     return flag.isin(*ADD_FLAGS, *SUBTRACT_FLAGS) & (

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.records import LEDGER_JSON, parse_json
 from millrace.functions.text import joined_key, null_to_empty
-from millrace.operators.cells import latest_cells, rows_to_cells
 
 # Business codes of transfers; output column by input column; row key columns.
 TRANSFER_CODES = ("160021", "160022", "140055", "140057")
@@ -31,27 +30,25 @@ KEY_COLUMNS = ("reverse_cptl_acid", "operdate", "etl_dt", "sno")
 
 
 def transfer_rows(messages: DataFrame, value: str = "value", codes: Sequence[str] = TRANSFER_CODES) -> DataFrame:
-    """Messages to the 13 text columns and their row key. NULL fields become empty text.
+    """JSON messages to the 13 text columns and their row key; other columns are carried along."""
+    carried = [c for c in messages.columns if c != value]
+    return project_transfers(parse_json(messages, LEDGER_JSON, value), carried, codes)
+
+
+def project_transfers(records: DataFrame, carried: Sequence[str] = (),
+                      codes: Sequence[str] = TRANSFER_CODES) -> DataFrame:
+    """Ledger records, from messages or a table, to transfer rows. NULL fields become empty text.
 
     The account is reversed in the key, because account numbers share their first digits.
     """
-    records = parse_json(messages, LEDGER_JSON, value)
-    code_type = LEDGER_JSON["digestid"].dataType
+    code_type = records.schema["digestid"].dataType
     kept = records.where(F.col("digestid").isin(*[F.lit(c).cast(code_type) for c in codes]))
-    carried = [c for c in messages.columns if c != value]
     rows = kept.select(*carried, *[
         (F.reverse(null_to_empty(F.col(src))) if out == "reverse_cptl_acid" else null_to_empty(F.col(src))).alias(out)
         for out, src in OUTPUT_COLUMNS.items()])
     return rows.withColumn("rowkey", joined_key(*map(F.col, KEY_COLUMNS)))
 
 
-def transfer_cells(rows: DataFrame, *version: str) -> DataFrame:
-    """Cells of transfer rows, with the version columns that decide which write is newer."""
-    texts = rows.select(*version, "rowkey", *OUTPUT_COLUMNS)
-    cells = texts.unpivot([*version, "rowkey"], list(OUTPUT_COLUMNS), "qualifier", "value")
-    return cells.select("rowkey", F.lit("cf").alias("family"), "qualifier", "value", *version)
-
-
 def merge_transfers(rows: DataFrame, version: Sequence[str]) -> DataFrame:
     """One row per row key, newest by the version columns.
 
@@ -65,5 +62,3 @@ def read_transfers(spark: SparkSession, path: str, version: Sequence[str]) -> Da
     """Merged transfers from the batch folders of the stream sink."""
     return merge_transfers(spark.read.parquet(path), [*version, "batch_id"])
 
-
-__all__ = ["transfer_rows", "transfer_cells", "merge_transfers", "read_transfers", "latest_cells", "rows_to_cells"]

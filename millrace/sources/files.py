@@ -48,6 +48,14 @@ def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None
     return lines.repartition(min_partitions) if min_partitions else lines
 
 
+def read_line_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Lines of new text files as ``value`` with ``timestamp``, the time at which their file arrived."""
+    reader = spark.readStream
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.text(path).select("value", F.col("_metadata.file_modification_time").alias("timestamp"))
+
+
 def sql_on_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.sql(f"SELECT * FROM {fmt}.`{path}`")
 

@@ -330,13 +330,14 @@ def signed_delta(spark, d):
 
 def seed_and_trades(spark, d):
     """Seed from the trades up to the seed day, and all trades as records."""
-    trades = trade_lines(spark, d).transform(parse_delimited, TRADE)
+    trades = trade_lines(spark, d).transform(balances.distinct_messages).transform(parse_delimited, TRADE)
     early = balances.sum_deltas(balances.stock_deltas(trades.where(F.col("trddate") <= SEED_DAY)))
     return early.select("rowkey", F.col("delta").alias("balance")), trades
 
 
 BALANCE_SQL = f"""
-WITH t AS (SELECT {_KEY} AS rowkey, {_SIGNED} AS delta, matchsno, trddate FROM ({TRADE_SQL}) WHERE {_COUNTED}),
+WITH t AS (SELECT {_KEY} AS rowkey, {_SIGNED} AS delta, matchsno, trddate
+           FROM ({TRADE_SQL.replace("FROM lineitem", "FROM (SELECT DISTINCT * FROM lineitem)")}) WHERE {_COUNTED}),
 late AS (SELECT * FROM t WHERE trddate > {SEED_DAY}),
 last AS (SELECT rowkey, trddate AS last_day, max(matchsno) AS last_no FROM late
          WHERE (rowkey, trddate) IN (SELECT rowkey, max(trddate) FROM late GROUP BY 1) GROUP BY 1, 2)
@@ -353,7 +354,7 @@ def running_balance(spark, d):
 _FUND_KEY = "{c} || '_0001_0_1'"
 
 
-@query("fund_balance", f"""
+FUND_SQL = f"""
 WITH u AS (SELECT {_FUND_KEY.format(c="l_suppkey")} AS rowkey, CAST(l_extendedprice AS DECIMAL(18,2)) AS delta,
     l_orderkey AS no, CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS day FROM lineitem
   UNION ALL SELECT {_FUND_KEY.format(c="o_custkey")}, CAST(o_totalprice AS DECIMAL(18,2)), o_orderkey,
@@ -361,30 +362,44 @@ WITH u AS (SELECT {_FUND_KEY.format(c="l_suppkey")} AS rowkey, CAST(l_extendedpr
 last AS (SELECT rowkey, day AS last_day, max(no) AS last_no FROM u
          WHERE (rowkey, day) IN (SELECT rowkey, max(day) FROM u GROUP BY 1) GROUP BY 1, 2)
 SELECT u.rowkey, CAST(sum(delta) AS DECIMAL(28,2)) AS balance, any_value(last_no) AS last_no, any_value(last_day) AS last_day
-FROM u JOIN last ON u.rowkey = last.rowkey GROUP BY u.rowkey""")
+FROM u JOIN last ON u.rowkey = last.rowkey GROUP BY u.rowkey"""
+
+
+def fund_records(trades: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Changes from trade and ledger lines, batch or stream; amounts with two decimals."""
+    money = lambda df, c: df.withColumn(c, F.col(c).cast("decimal(18,2)"))
+    return balances.fund_deltas(money(parse_delimited(trades, TRADE), "clearamt"),
+                                money(parse_delimited(ledger, LEDGER), "fundeffect"))
+
+
+@query("fund_balance", FUND_SQL)
 def fund_balance(spark, d):
     """Clearing amounts of trades and effects of ledger records, from both text record formats."""
-    trades = trade_lines(spark, d).transform(parse_delimited, TRADE).withColumn("clearamt", F.col("clearamt").cast("decimal(18,2)"))
-    ledger = ledger_lines(spark, d).transform(parse_delimited, LEDGER).withColumn("fundeffect", F.col("fundeffect").cast("decimal(18,2)"))
     none = spark.createDataFrame([], "rowkey STRING, balance DECIMAL(18,2)")
-    return balances.running_balance(none, balances.fund_deltas(trades, ledger)).withColumn(
-        "balance", F.col("balance").cast("decimal(28,2)"))
+    deltas = fund_records(trade_lines(spark, d), ledger_lines(spark, d))
+    return balances.running_balance(none, deltas).withColumn("balance", F.col("balance").cast("decimal(28,2)"))
 
 
 # --- bank transfers --------------------------------------------------------------------------
 
 
-def transfer_messages(df: DataFrame) -> DataFrame:
-    """Events as JSON ledger records; the event type gives the business code, two of which are not transfers."""
+def transfer_records(df: DataFrame) -> DataFrame:
+    """Events as ledger records; the event type gives the business code, two of which are not transfers."""
     code = (F.when(F.col("event_type") == "click", 160021).when(F.col("event_type") == "purchase", 160022)
             .when(F.col("event_type") == "signup", 140055).otherwise(99))
     day = F.date_format("ts", "yyyyMMdd").cast("int")
-    record = F.struct(
+    return df.select(
         (F.col("event_id") % 7).cast("int").alias("sno"), F.col("user_id").alias("custid"), F.col("event_type").alias("custname"),
         (F.col("user_id") + 1000).alias("fundid"), F.lit("0 ").alias("moneytype"),
         F.col("value").cast("decimal(12,2)").cast("string").alias("fundeffect"), day.alias("operdate"), day.alias("bizdate"),
-        code.alias("digestid"))
-    return df.select(F.encode(F.to_json(record), "UTF-8").alias("value"), F.col("event_id").alias("version"))
+        code.alias("digestid"), F.col("event_id").alias("version"),
+        *[F.lit(None).cast(t).alias(c) for c, t in (("orgid", "string"), ("orderdate", "int"), ("ordertime", "int"))])
+
+
+def transfer_messages(df: DataFrame) -> DataFrame:
+    records = transfer_records(df)
+    payload = F.struct(*[c for c in records.columns if c != "version"])
+    return records.select(F.encode(F.to_json(payload), "UTF-8").alias("value"), "version")
 
 
 TRANSFER_SQL = """

@@ -11,6 +11,7 @@ import math
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.functions.records import TRADE, parse_delimited
+from millrace.operators import joins
 from millrace.plans import balances, bank_transfers
 from millrace.session import work_path
 from millrace.sinks.writers import batch_folder_sink, read_batches
@@ -19,9 +20,10 @@ from millrace.sources.envelopes import ENVELOPE, decode, to_envelope
 from millrace.sources.files import stream_table, table
 from millrace.streaming import operators as so
 from millrace.streaming.run import run_available_now, run_foreach_batch, stream_sql
-from millrace.workload.jobs import BALANCE_SQL, SEED_DAY, TRANSFER_SQL, seed_and_trades, transfer_messages
+from millrace.workload.jobs import (BALANCE_SQL, FUND_SQL, SEED_DAY, TRANSFER_SQL, fund_records, seed_and_trades,
+                                    transfer_messages, transfer_records)
 from millrace.workload.registry import query
-from millrace.workload.scalars import trade_lines
+from millrace.workload.scalars import ledger_lines, trade_lines
 
 BATCHES = 3  # micro-batches of a staged stream
 
@@ -185,6 +187,21 @@ def stream_stream_join(spark, d):
     return run_available_now(joined.select("click_id", "view_id", "user_id"))
 
 
+@query("stream_refreshing_lookup", """
+SELECT event_id, user_id, c_name FROM events JOIN customer ON user_id = c_custkey WHERE event_type = 'signup'""")
+def stream_refreshing_lookup(spark, d):
+    """A side table that is read again between batches once it is older than its time to live."""
+    path, per_trigger = stage(table(spark, d, "events").select("event_id", "event_type", "user_id"), "events")
+    stream = spark.readStream.schema("event_id BIGINT, event_type STRING, user_id BIGINT").option(
+        "maxFilesPerTrigger", per_trigger).parquet(path)
+    names = so.RefreshingLookup(lambda: joins.broadcast_if_small(
+        table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_name")), ttl=6)
+    out = work_path(spark, "named")
+    run_foreach_batch(stream.where("event_type = 'signup'"), batch_folder_sink(
+        out, lambda rows: rows.join(names.current(), "user_id").select("event_id", "user_id", "c_name")))
+    return read_batches(spark, out).drop("batch_id")
+
+
 # --- stateful jobs ---------------------------------------------------------------------------
 
 
@@ -193,12 +210,27 @@ def stream_balance(spark, d):
     """Trades as text lines in several batches; each batch stores its summed changes once."""
     seed, _ = seed_and_trades(spark, d)
     path, per_trigger = stage(trade_lines(spark, d), "trades", "text")
-    trades = spark.readStream.option("maxFilesPerTrigger", per_trigger).text(path).transform(parse_delimited, TRADE)
+    lines = spark.readStream.option("maxFilesPerTrigger", per_trigger).text(path)
+    trades = lines.transform(balances.distinct_messages).transform(parse_delimited, TRADE)
     out = work_path(spark, "deltas")
     run_foreach_batch(balances.stock_deltas(trades, SEED_DAY), balances.delta_sink(out))
     return balances.balances_from(spark, seed, out)
 
 
+@query("stream_fund_balance", FUND_SQL)
+def stream_fund_balance(spark, d):
+    """Two text streams, trades and ledger records, into one balance."""
+    def lines(df, label):
+        path, per_trigger = stage(df, label, "text")
+        return spark.readStream.option("maxFilesPerTrigger", per_trigger).text(path)
+
+    out = work_path(spark, "fund-deltas")
+    deltas = fund_records(lines(trade_lines(spark, d), "trades"), lines(ledger_lines(spark, d), "ledger"))
+    run_foreach_batch(deltas, balances.delta_sink(out))
+    none = spark.createDataFrame([], "rowkey STRING, balance DECIMAL(28,2)")
+    return balances.balances_from(spark, none, out).withColumn("balance", F.col("balance").cast("decimal(28,2)"))
+
+
 @query("bank_transfer_stream", TRANSFER_SQL)
 def bank_transfer_stream(spark, d):
     """JSON messages in several batches, merged by row key on read."""
@@ -233,6 +265,18 @@ def incremental_stream(spark, d):
     return read_batches(spark, out)
 
 
+@query("bank_transfer_incremental", TRANSFER_SQL)
+def bank_transfer_incremental(spark, d):
+    """Transfers from a growing ledger table instead of messages, read by day and version."""
+    records, spec = transfer_records(table(spark, d, "events")), "bigint(bizdate) * 1000000 + version:long"
+    first = records.where("bizdate < 20240116")
+    state, out = work_path(spark, "offsets"), work_path(spark, "transfers")
+    sink = batch_folder_sink(out, lambda rows: bank_transfers.project_transfers(rows, ["version"]))
+    for version in (first, records):
+        incremental.poll(version, spec, state, sink)
+    return bank_transfers.read_transfers(spark, out, ["version"])
+
+
 @query("offset_table_stream", f"""
 SELECT o_orderkey, o_orderstatus, {_OFFSET} AS pos FROM orders WHERE {_OFFSET} >= 40000000""")
 def offset_table_stream(spark, d):

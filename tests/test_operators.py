@@ -431,3 +431,24 @@ def test_sessions_do_not_depend_on_buckets(spark, bucket):
         last = m
         want.append((i, no, current))
     assert sorted(tuple(r) for r in got.select("id", "session_no", "session_id").collect()) == want
+
+
+@pytest.mark.parametrize("gap", [60, 3600, 90_000])
+def test_plain_sessions_match_a_loop(spark, gap):
+    rnd = random.Random(4)
+    minutes = sorted(rnd.randrange(0, 9000) for _ in range(200))
+    got = sessions.sessionize(_events(spark, minutes), "user", "ts", "id", gap_seconds=gap)
+    want, no, last = [], 0, None
+    for i, m in enumerate(minutes):
+        if last is None or (m - last) * 60 > gap:
+            no += 1
+        last = m
+        want.append((i, no, f"u_{no}"))
+    assert sorted(tuple(r) for r in got.select("id", "session_no", "session_id").collect()) == want
+
+
+def test_sessions_keep_rows_without_a_user(spark):
+    df = spark.createDataFrame([(1, None, dt.datetime(2024, 1, 1), None), (2, "u", dt.datetime(2024, 1, 1), None)],
+                               "id INT, user STRING, ts TIMESTAMP, g STRING")
+    assert sessions.sessionize(df, "user", "ts", "id").count() == 2
+    assert sessions.sessionize(df, "user", "ts", "id", given=F.col("g")).count() == 2

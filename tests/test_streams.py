@@ -3,9 +3,10 @@ import os
 
 from pyspark.sql import functions as F
 
+from millrace.functions import records
 from millrace.plans import balances
 from millrace.sinks.writers import RowWriter
-from millrace.sources import incremental
+from millrace.sources import files, incremental
 from millrace.streaming import operators as so
 from millrace.streaming.run import run_available_now, run_foreach_batch, start_continuous
 
@@ -209,3 +210,29 @@ def test_offset_table_latest(spark, tmp_path):
     spark.createDataFrame([(1,), (5,)], "o BIGINT").write.parquet(path)
     stream = spark.readStream.format("offset_table").option("path", path).option("offsetColumn", "o").option("startingOffset", "latest").load()
     assert [r.o for r in run_available_now(stream).collect()] == [5]
+
+
+def test_lines_carry_their_arrival_time(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("x y x\n\n")
+    lines = files.read_line_stream(spark, str(tmp_path / "in"))
+    counted = so.windowed_count(so.words(lines, "value", "timestamp"), "timestamp", "word", "30 seconds", "10 seconds")
+    got = run_available_now(counted, "complete").groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("windows"))
+    assert rows(got) == [("", 3, 3), ("x", 6, 3), ("y", 3, 3)]
+
+
+def test_repeated_message_counts_once_over_batches(spark, tmp_path):
+    inp, ck, out = tmp_path / "in", str(tmp_path / "ck"), str(tmp_path / "deltas")
+    values = lambda no: {"fundid": F.lit(1), "secuid": F.lit("s"), "orgid": F.lit("o"), "market": F.lit("0"), "stkcode": F.lit("c"),
+                         "serverid": F.lit(1), "bsflag": F.lit("03"), "matchqty": F.lit(10), "matchsno": F.lit(no), "trddate": F.lit(20200102)}
+    line = lambda no: spark.range(1).select(records.format_delimited(values(no), records.TRADE)).first()[0]
+
+    def run():
+        trades = source(spark, inp, "value STRING").transform(balances.distinct_messages).transform(records.parse_delimited, records.TRADE)
+        run_foreach_batch(balances.stock_deltas(trades, 20200101), balances.delta_sink(out), ck)
+        return spark.read.parquet(out).agg(F.sum("delta")).first()[0]
+
+    put(spark, inp, [(line(1),), (line(1),), (line(2),)], "value STRING")
+    assert run() == 20
+    put(spark, inp, [(line(2),), (line(3),)], "value STRING")
+    assert run() == 30
