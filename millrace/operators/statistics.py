@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def approx_quantiles(df: DataFrame, column: str, probs: Sequence[float], error: float) -> DataFrame:
@@ -17,44 +17,67 @@ def approx_quantiles(df: DataFrame, column: str, probs: Sequence[float], error:
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], small: int = 100_000) -> dict[float, float]:
-    """Exact quantiles with linear interpolation, without sorting or holding the column.
-
-    Sketches narrow each probability to a bracket of values around its two neighbouring ranks.
-    Brackets shrink by orders of magnitude per scan; once at most ``small`` distinct values are
-    left, the bracket alone is ranked. Only the bracket ends and counts reach the driver.
-    """
+    """Exact quantiles with linear interpolation, without sorting or holding the column."""
     values = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
-    n, lo, hi = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
+    n = values.count()
     if not n:
         return {}
     if n <= small:
-        found = values.agg(F.percentile("x", [float(p) for p in probs])).first()[0]
-        return dict(zip(probs, found))
-    ranks = {p: (int((n - 1) * p), (n - 1) * p - int((n - 1) * p)) for p in probs}
-    return {p: _value_at(values, rank, frac, lo, hi, n, small) for p, (rank, frac) in ranks.items()}
-
-
-def _value_at(values: DataFrame, rank: int, frac: float, lo: float, hi: float, n: int, small: int) -> float:
-    below, inside, accuracy = 0, n, 10_000
-    while True:
-        bracket = values.where((F.col("x") >= lo) & (F.col("x") <= hi))
-        if lo == hi:
-            return lo
-        if inside <= small or bracket.agg(F.approx_count_distinct("x")).first()[0] <= small:
-            break
-        # One rank of slack on both sides keeps the upper neighbour inside.
-        slack = 2.0 / accuracy + 2.0 / inside
-        at = (rank - below) / inside
-        lo, hi = bracket.agg(F.percentile_approx(
-            "x", [max(0.0, at - slack), min(1.0, at + slack)], accuracy)).first()[0]
-        below, inside = values.agg(F.count_if(F.col("x") < lo),
-                                   F.count_if((F.col("x") >= lo) & (F.col("x") <= hi))).first()
-    # Bounded by ``small`` distinct values, hence a window without partitions is safe.
-    ranked = bracket.groupBy("x").count().withColumn(
-        "upto", F.sum("count").over(W.orderBy("x").rowsBetween(W.unboundedPreceding, W.currentRow)) + below)
-    low, high = ranked.agg(F.min(F.when(F.col("upto") > rank, F.col("x"))),
-                           F.min(F.when(F.col("upto") > rank + 1, F.col("x")))).first()
-    return low if high is None else low + (high - low) * frac
+        return dict(zip(probs, values.agg(F.percentile("x", [float(p) for p in probs])).first()[0]))
+    at = {p: (n - 1) * p for p in probs}
+    found = order_statistics(values, sorted({min(int(r) + i, n - 1) for r in at.values() for i in (0, 1)}), n, small)
+    low = {p: found[int(r)] for p, r in at.items()}
+    return {p: low[p] + (found[min(int(r) + 1, n - 1)] - low[p]) * (r - int(r)) for p, r in at.items()}
+
+
+def order_statistics(values: DataFrame, ranks: Sequence[int], n: int, small: int) -> dict[int, float]:
+    """Values at zero-based ``ranks`` of column ``x``, which has ``n`` values and no NULL.
+
+    For each rank a sketch gives two values around it; exact counts then tell whether one of them
+    is the answer, or how many values lie strictly between them. That number falls by about a
+    thousand per pass, ties or not. All ranks share the scans; once at most ``small`` values
+    are left, those are sorted. Only counts and bracket ends reach the driver.
+    """
+    x, accuracy, found = F.col("x"), 10_000, {}
+    low, high = values.agg(F.min("x"), F.max("x")).first()
+    # Per open rank: the bracket ends, the rank of the first value strictly inside, and the number inside.
+    open_ranks = {r: (low, high, None, n) for r in ranks}
+
+    def settle(ends: dict[int, tuple[float, float]]) -> None:
+        pairs = sorted(set(ends.values()))
+        counts = values.agg(*[F.count_if(c) for lo, hi in pairs for c in (x < lo, x <= lo, x < hi, x <= hi)]).first()
+        for r, (lo, hi) in ends.items():
+            i = 4 * pairs.index((lo, hi))
+            under_lo, upto_lo, under_hi, upto_hi = counts[i:i + 4]
+            old_lo, old_hi, first, inside = open_ranks.pop(r)
+            if r < under_lo:  # outside the sketch's promise: keep the part below
+                open_ranks[r] = (old_lo, lo, first, under_lo - first)
+            elif r < upto_lo:
+                found[r] = lo
+            elif r < under_hi:
+                open_ranks[r] = (lo, hi, upto_lo, under_hi - upto_lo)
+            elif r < upto_hi:
+                found[r] = hi
+            else:
+                open_ranks[r] = (hi, old_hi, upto_hi, first + inside - upto_hi)
+
+    def inside(bracket: tuple) -> Column:
+        return F.when((x > bracket[0]) & (x < bracket[1]), x)
+
+    settle({r: (low, high) for r in ranks})
+    while wide := {r: b for r, b in open_ranks.items() if b[3] > small}:
+        # Ranks in one bracket share its sketch; neighbouring ranks also share the same grid cell.
+        cell = {r: int((r - first) / count * accuracy) for r, (_, _, first, count) in wide.items()}
+        edges = lambda r: [max(0.0, (cell[r] - 2) / accuracy), min(1.0, (cell[r] + 3) / accuracy)]
+        members = {b: [r for r in wide if wide[r] == b] for b in sorted(set(wide.values()))}
+        sketches = values.agg(*[F.percentile_approx(inside(b), [e for r in rs for e in edges(r)], accuracy)
+                                for b, rs in members.items()]).first()
+        settle({r: tuple(ends[2 * i:2 * i + 2]) for rs, ends in zip(members.values(), sketches) for i, r in enumerate(rs)})
+    if open_ranks:
+        rest = list(open_ranks)
+        picks = values.agg(*[F.get(F.sort_array(F.collect_list(inside(open_ranks[r]))), F.lit(r - open_ranks[r][2])) for r in rest]).first()
+        found.update(zip(rest, picks))
+    return found
 
 
 def describe_long(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float] = ()) -> DataFrame:

@@ -8,6 +8,7 @@ call. ``OffsetTableSource`` is the same contract as a Structured Streaming sourc
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -54,23 +55,30 @@ def poll(table: DataFrame, spec: str, state_path: str, handle: Callable[[DataFra
     if log and not log[-1]["done"]:
         entry = log[-1]
     else:
-        lo, hi = offset_bounds(table, spec).first()
-        if hi is None:
+        entry = _next_range(table, spec, log[-1] if log else None, starting)
+        if entry is None:
             return False
-        lo, hi = str(lo), str(hi)
-        if log:
-            if hi == log[-1]["end"]:
-                return False
-            entry = {"id": log[-1]["id"] + 1, "start": log[-1]["end"], "end": hi, "inclusive": False}
-        else:
-            start = {"earliest": lo, "latest": hi}.get(starting, starting)
-            entry = {"id": 0, "start": start, "end": hi, "inclusive": True}
         _write_log(spark, state_path, {**entry, "done": False})
     handle(offset_slice(table, spec, entry["start"], entry["end"], entry["inclusive"]), entry["id"])
     _write_log(spark, state_path, {**entry, "done": True})
     return True
 
 
+def _next_range(table: DataFrame, spec: str, last: dict | None, starting: str) -> dict | None:
+    """The first range of a table, or the range after the last one; None when it holds nothing."""
+    if last is None:
+        lo, hi = offset_bounds(table, spec).first()
+        if hi is None:
+            return None
+        start = {"earliest": lo, "latest": hi}.get(starting, starting)
+        return {"id": 0, "start": start, "end": hi, "inclusive": True}
+    col, dtype = offset_column(table, spec)
+    # Only rows beyond the last end are looked at, so the scan can skip the files read before.
+    newer = table.where(col > F.lit(last["end"]).cast(dtype))
+    hi = newer.agg(F.max(col.cast(dtype))).first()[0]
+    return None if hi is None else {"id": last["id"] + 1, "start": last["end"], "end": hi, "inclusive": False}
+
+
 _LOG = "id BIGINT, start STRING, `end` STRING, inclusive BOOLEAN, done BOOLEAN"
 
 
@@ -139,9 +147,7 @@ class OffsetTableReader(DataSourceStreamReader):
         """Per file the (row group, min, max) of the offset, from footers; each file is read once."""
         import pyarrow.dataset as ds
 
-        for fragment in ds.dataset(self.path, format="parquet").get_fragments():
-            if fragment.path in self._ranges:
-                continue
+        def read(fragment) -> None:
             found = []
             for group in fragment.row_groups:
                 stats = (group.statistics or {}).get(self.column)
@@ -153,6 +159,10 @@ class OffsetTableReader(DataSourceStreamReader):
                     if values:
                         found.append((group.id, min(values), max(values)))
             self._ranges[fragment.path] = found
+
+        fresh = [f for f in ds.dataset(self.path, format="parquet").get_fragments() if f.path not in self._ranges]
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(read, fresh))
         return self._ranges
 
     def _extreme(self, pick, index: int):

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.dates import period_bounds
-from millrace.functions.records import LEDGER, STOCK_SNAPSHOT_FIELDS, TRADE, parse_delimited, record_schema
+from millrace.functions.records import FUND_SNAPSHOT, LEDGER, STOCK_SNAPSHOT, TRADE, parse_delimited
 from millrace.functions.types import conform
 from millrace.plans import balances, bank_transfers, daily_sync, events, freshness
 from millrace.session import materialize, work_path
@@ -318,10 +318,25 @@ def balance_seed(spark, d):
         F.lit(1).cast("bigint").alias("serverid"), F.lit("0001").alias("orgid"), F.col("l_suppkey").alias("fundid"),
         F.lit("O").alias("market"), F.concat(F.lit("A"), F.col("l_suppkey").cast("string")).alias("secuid"),
         F.lit("000001").alias("stkcode"), "stkbal", F.lit(SEED_DAY).cast("bigint").alias("bizdate"))
-    full = conform(snapshot, record_schema(STOCK_SNAPSHOT_FIELDS))
+    full = conform(snapshot, STOCK_SNAPSHOT)
     return balances.seed_cells(full, "bizdate", str(SEED_DAY), balances.STOCK_KEY)
 
 
+@query("fund_seed", """
+WITH s AS (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,18)) AS bal FROM orders
+           WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY 1)
+SELECT o_custkey || '_0001_0_1' AS rowkey, 'cf' AS family, qualifier, value FROM s, LATERAL (VALUES ('serverid', '1'),
+  ('orgid', '0001'), ('fundid', CAST(o_custkey AS VARCHAR)), ('moneytype', '0'), ('fundbal', CAST(bal AS VARCHAR)),
+  ('busi_date', '19980101')) v(qualifier, value)""")
+def fund_seed(spark, d):
+    """A 33-column fund snapshot of one day, as cells."""
+    held = table(spark, d, "orders").where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")).groupBy(
+        F.col("o_custkey").alias("fundid")).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("fundbal"))
+    snapshot = held.select("fundid", F.col("fundbal").cast("decimal(38,18)").alias("fundbal"), F.lit(1).cast("bigint").alias("serverid"),
+                           F.lit("0001").alias("orgid"), F.lit("0").alias("moneytype"), F.lit(str(SEED_DAY)).alias("busi_date"))
+    return balances.seed_cells(conform(snapshot, FUND_SNAPSHOT), "busi_date", str(SEED_DAY), balances.FUND_KEY)
+
+
 @query("signed_delta", f"""
 SELECT {_KEY} AS rowkey, {_SIGNED} AS delta, matchsno AS last_no, trddate AS last_day FROM ({TRADE_SQL}) WHERE {_COUNTED}""")
 def signed_delta(spark, d):

@@ -235,6 +235,18 @@ def join_broadcast(spark, d):
     return table(spark, d, "customer").join(lookup, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
 
 
+@query("join_broadcast_sql", """
+SELECT s_suppkey, n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+WHERE s_acctbal > 0""")
+def join_broadcast_sql(spark, d):
+    """SQL text over lookup views that carry the hint because their size was checked."""
+    for name in ("nation", "region"):
+        joins.broadcast_if_small(table(spark, d, name)).createOrReplaceTempView(f"mr_{name}")
+    table(spark, d, "supplier").createOrReplaceTempView("mr_supplier")
+    return spark.sql("SELECT s_suppkey, n_name, r_name FROM mr_supplier JOIN mr_nation ON s_nationkey = n_nationkey "
+                     "JOIN mr_region ON n_regionkey = r_regionkey WHERE s_acctbal > 0")
+
+
 @query("join_multi_key", """
 SELECT e.event_id, e.user_id, e.event_type, l.later FROM events e JOIN (
     SELECT user_id, event_type, count(*) AS later FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY 1, 2) l
