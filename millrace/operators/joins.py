@@ -6,16 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Broadcast bound in rows, for narrow lookup tables.
+#: Broadcast bounds: rows, and bytes of their JSON text (above the size of the rows themselves).
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when at most ``max_rows`` rows are counted; otherwise unchanged, so Spark shuffles.
-
-    The count stops at the bound, whatever the size of the table.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint when rows and bytes are measured to be within the bounds; otherwise unchanged,
+    so Spark shuffles. The measurement reads ``max_rows + 1`` rows at most, whatever the table holds.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    rows, volume = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(df) if rows <= max_rows and volume <= max_bytes else df
 
 
 def join_pairs(left: DataFrame, right: DataFrame, condition: Column, how: str = "left") -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.cells import export_sorted, rows_to_cells, slice_by_day
+from millrace.plans.freshness import feed_entries, merge_ledger
 
 
 @dataclass(frozen=True)
@@ -68,3 +69,11 @@ def daily_sync(load: Callable[[str], DataFrame], specs: Iterable[SyncSpec], day:
         export_sorted(cells, path)
         paths.append(path)
     return paths
+
+
+def sync_and_record(load: Callable[[str], DataFrame], specs: Sequence[SyncSpec], day: str, out: str,
+                    ledger: DataFrame, feed_time: Column) -> DataFrame:
+    """Run the sync, then the freshness ledger with this run's entry for each target."""
+    daily_sync(load, specs, day, out)
+    names = ledger.sparkSession.createDataFrame([(s.target_name,) for s in specs], "name STRING")
+    return merge_ledger(ledger, feed_entries(names, feed_time, F.lit(day)))

@@ -32,6 +32,19 @@ def build_session(master: str | None = None, app: str = "millrace", **conf: str)
     return builder.getOrCreate()
 
 
+def size_settings(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition settings for a job over ``input_bytes``: enough shuffle partitions that one fits in
+    memory, which AQE then merges or splits towards the same size, and scan tasks of that size."""
+    partitions = min(max(2 * cores, -(-input_bytes // partition_bytes)), 200_000)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.conf.get("spark.master", "").startswith("local")
 

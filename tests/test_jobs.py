@@ -170,6 +170,15 @@ def test_sync_writes_a_folder_per_target(spark, tmp_path):
     assert sum(len(s) for s in daily_sync.SYNC_JOBS.values()) == 15
 
 
+def test_sync_enters_the_ledger(spark, tmp_path):
+    df = spark.createDataFrame([("1", "20200101")], "id STRING, busi_date STRING")
+    spec = daily_sync.SyncSpec("a", ("id",), "busi_date")
+    names = spark.createDataFrame([("a",)], "name STRING")
+    old = freshness.feed_entries(names, F.lit("2020-01-01 06:00:00"), F.lit("20200105"))
+    got = daily_sync.sync_and_record(lambda _: df, [spec], "20200101", str(tmp_path), old, F.lit("2020-01-06 06:00:00")).first()
+    assert (got.rowkey, got.last_data_time, got.latest_data_time) == ("a_hbase", "20200101", "20200105")
+
+
 # --- incremental reads -----------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from millrace.functions import records, text, types, udfs
 from millrace.functions.dates import in_period, period_bounds, resolve_business_date
 from millrace.operators import aggregates, cells, joins, sampling, sessions, statistics as st
-from millrace.session import cut_lineage, work_root
+from millrace.session import cut_lineage, size_settings, work_root
 from millrace.sinks import writers
 from millrace.sources import files
 
@@ -230,6 +230,8 @@ def test_broadcast_only_below_the_bound(spark):
     big, small_side = spark.range(1000), spark.range(10)
     assert "broadcast" in plan(big.join(joins.broadcast_if_small(small_side, 10), "id"))
     assert "broadcast" not in plan(big.join(joins.broadcast_if_small(small_side, 9), "id"))
+    assert "broadcast" not in plan(big.join(joins.broadcast_if_small(small_side, 10, max_bytes=20), "id"))
+    assert "broadcast" in plan(big.join(joins.broadcast_if_small(small_side.where("id < 0")), "id"))
 
 
 def test_char_padding(spark, tmp_path):
@@ -390,6 +392,13 @@ def test_work_folder_is_the_configured_one(spark):
     assert work_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_partition_settings_grow_with_the_data():
+    small_job, large_job = size_settings(1 << 20, 8), size_settings(100 << 40, 8000)
+    assert small_job["spark.sql.shuffle.partitions"] == "16"
+    assert large_job["spark.sql.shuffle.partitions"] == "200000"
+    assert size_settings(1 << 40, 100)["spark.sql.shuffle.partitions"] == "4096"
+
+
 def test_transform_chain(spark):
     out = (spark.createDataFrame([("A", 1), (None, 2)], "rk STRING, x INT")
            .transform(lambda df: df.where("x < 3")).transform(cells.rows_to_cells, ["rk"], ["x"]))

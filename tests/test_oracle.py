@@ -1,6 +1,5 @@
 """Every query against its SQL on the smallest tables."""
 
-import duckdb
 import pytest
 
 import __spark_entry__ as entry
