@@ -58,6 +58,16 @@ def _side_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     return l.union(r).groupBy(*left.columns).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
 
 
+def intersect_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of both sides, from one shuffle of distinct rows."""
+    return _side_counts(left, right).where((F.col("_l") > 0) & (F.col("_r") > 0)).drop("_l", "_r")
+
+
+def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct left rows that the right side lacks, from one shuffle of distinct rows."""
+    return _side_counts(left, right).where((F.col("_l") > 0) & (F.col("_r") == 0)).drop("_l", "_r")
+
+
 def intersect_multiset(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows common to both, as often as in the side that has fewer copies."""
     both = _side_counts(left, right).withColumn("_n", F.least("_l", "_r")).drop("_l", "_r")

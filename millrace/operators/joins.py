@@ -34,6 +34,21 @@ def join_trimmed(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
     return left.withColumns(strip).join(right.withColumns(strip), list(on), how)
 
 
+def keep_matching(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left rows whose key occurs on the right (left semi-join).
+
+    The right side is reduced to its distinct keys first: repeats combine map-side, where a plain
+    semi-join would send all rows of a hot key to one task, which AQE cannot split on this side.
+    The join reuses the partitioning of the reduction.
+    """
+    return left.join(right.select(*on).distinct(), list(on), "left_semi")
+
+
+def drop_matching(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left rows whose key does not occur on the right (left anti-join), reduced in the same way."""
+    return left.join(right.select(*on).distinct(), list(on), "left_anti")
+
+
 def semi_with_difference(left: DataFrame, right: DataFrame, key: str, differs: str) -> DataFrame:
     """Left rows whose key occurs on the right with another value of ``differs``.
 

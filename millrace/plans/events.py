@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.dates import in_period
 from millrace.functions.text import joined_key, lookup, sorted_set
+from millrace.operators.joins import drop_matching
 from millrace.sinks.writers import to_messages
 
 EXTRA_COLUMNS = ["orgid", "commender_name", "market", "ordersno", "fundcode"]
@@ -153,7 +154,7 @@ def _signed(ctx: EventContext) -> tuple[DataFrame, DataFrame]:
 def signed_rule(ctx: EventContext) -> DataFrame:
     """011403: signed up and did not cancel anything that day."""
     signed, cancelled = _signed(ctx)
-    kept = signed.select("cust_code").distinct().join(cancelled, "cust_code", "left_anti")
+    kept = drop_matching(signed.select("cust_code").distinct(), cancelled, ["cust_code"])
     return _candidates(kept, "cust_code", "011403", ctx)
 
 

@@ -291,7 +291,7 @@ SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (
 def join_left_anti(spark, d):
     done = _orders(spark, d).where((F.col("o_orderstatus") == "F")
                                    & (F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz")))
-    return _customers(spark, d).join(done, "custkey", "left_anti").select(F.col("custkey").alias("c_custkey"), "c_name")
+    return joins.drop_matching(_customers(spark, d), done, ["custkey"]).select(F.col("custkey").alias("c_custkey"), "c_name")
 
 
 @query("join_left_semi_residual", """
@@ -311,7 +311,7 @@ SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (
 def join_left_semi(spark, d):
     buyers = table(spark, d, "events").where("event_type = 'purchase'").select(F.col("user_id").alias("custkey"))
     urgent = _orders(spark, d).where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'").select("custkey")
-    return _customers(spark, d).join(buyers.union(urgent), "custkey", "left_semi").select(
+    return joins.keep_matching(_customers(spark, d), buyers.union(urgent), ["custkey"]).select(
         F.col("custkey").alias("c_custkey"), "c_name")
 
 
@@ -401,7 +401,7 @@ SELECT o_orderstatus, o_orderpriority, o_orderstatus AS status_again, count(*) A
 FROM orders GROUP BY o_orderstatus, o_orderpriority""")
 def agg_expr(spark, d):
     return table(spark, d, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(
-        F.first("o_orderstatus").alias("status_again"), F.count("*").alias("n"),
+        F.col("o_orderstatus").alias("status_again"), F.count("*").alias("n"),
         (F.max("o_orderkey") + 1000).alias("max_key"))
 
 
@@ -520,8 +520,7 @@ _Y97 = "SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderdate >= TIMESTA
 
 @query("intersect_distinct", f"{_Y96} INTERSECT {_Y97}")
 def intersect_distinct(spark, d):
-    a, b = _by_year(spark, d)
-    return a.intersect(b)
+    return aggregates.intersect_rows(*_by_year(spark, d))
 
 
 @query("intersect_all", f"{_Y96} INTERSECT ALL {_Y97}")
@@ -531,8 +530,7 @@ def intersect_all(spark, d):
 
 @query("except_distinct", f"{_Y96} EXCEPT {_Y97}")
 def except_distinct(spark, d):
-    a, b = _by_year(spark, d)
-    return a.subtract(b)
+    return aggregates.except_rows(*_by_year(spark, d))
 
 
 @query("except_all", f"{_Y96} EXCEPT ALL {_Y97}")

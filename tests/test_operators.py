@@ -291,6 +291,20 @@ def test_multiset_operations(spark):
     assert rows(aggregates.except_multiset(a, b)) == rows(a.exceptAll(b))
 
 
+def test_set_operations_with_nulls(spark):
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (4, None)], "i INT, s STRING")
+    b = spark.createDataFrame([(1, None), (3, "z"), (2, "x"), (2, "x")], "i INT, s STRING")
+    assert rows(aggregates.intersect_rows(a, b)) == rows(a.intersect(b))
+    assert rows(aggregates.except_rows(a, b)) == rows(a.subtract(b))
+
+
+def test_semi_and_anti_join(spark):
+    a = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k INT, v STRING")
+    b = spark.createDataFrame([(1,)] * 5 + [(None,)], "k INT")
+    assert rows(joins.keep_matching(a, b, ["k"])) == rows(a.join(b, "k", "left_semi")) == [(1, "a")]
+    assert rows(joins.drop_matching(a, b, ["k"])) == rows(a.join(b, "k", "left_anti"))
+
+
 def test_copies_beyond_one_chunk(spark):
     df = spark.createDataFrame([("hot", 25), ("cold", 1), ("none", 0)], "k STRING, n BIGINT")
     got = aggregates.repeat_rows(df, "n", chunk=4, name="no")
