@@ -236,3 +236,12 @@ def test_repeated_message_counts_once_over_batches(spark, tmp_path):
     assert run() == 20
     put(spark, inp, [(line(2),), (line(3),)], "value STRING")
     assert run() == 30
+
+
+def test_update_mode_gives_the_changed_rows_of_each_batch(spark, tmp_path):
+    inp, ck, out = tmp_path / "in", str(tmp_path / "ck"), str(tmp_path / "out")
+    run = lambda: run_available_now(so.running_count(source(spark, inp, "word STRING"), "word"), "update", ck, out)
+    put(spark, inp, [("a",), ("b",)], "word STRING")
+    run()
+    put(spark, inp, [("a",)], "word STRING")
+    assert rows(run().select("word", "n", "batch_id")) == [("a", 1, 0), ("a", 2, 1), ("b", 1, 0)]
