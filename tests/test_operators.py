@@ -428,23 +428,26 @@ def _events(spark, minutes, given=None):
     return spark.createDataFrame(data, "id INT, user STRING, ts TIMESTAMP, g STRING")
 
 
-def test_gap_equal_to_the_limit_stays(spark):
-    got = sessions.sessionize(_events(spark, [0, 30, 90, 151]), "user", "ts", "id").orderBy("id")
+@pytest.mark.parametrize("hot", [0, 10 ** 6])
+def test_gap_equal_to_the_limit_stays(spark, hot):
+    got = sessions.sessionize(_events(spark, [0, 30, 90, 151]), "user", "ts", "id", hot_rows=hot).orderBy("id")
     assert [r.session_no for r in got.collect()] == [1, 1, 1, 2]
 
 
-def test_given_id_is_kept_and_carried(spark):
+@pytest.mark.parametrize("hot", [0, 10 ** 6])
+def test_given_id_is_kept_and_carried(spark, hot):
     df = _events(spark, [0, 10, 20, 70, 80, 200], {1: "S9"})
-    got = sessions.sessionize(df, "user", "ts", "id", given=F.col("g"), bucket_seconds=900).orderBy("id")
+    got = sessions.sessionize(df, "user", "ts", "id", given=F.col("g"), bucket_seconds=900, hot_rows=hot).orderBy("id")
     assert [r.session_id for r in got.collect()] == ["u_1", "S9", "S9", "S9", "S9", "u_3"]
 
 
-@pytest.mark.parametrize("bucket", [60, 3600, 10 ** 7])
+@pytest.mark.parametrize("bucket", [60, 3600, 10 ** 6, 10 ** 7])
 def test_sessions_do_not_depend_on_buckets(spark, bucket):
     rnd = random.Random(8)
     minutes = sorted(rnd.randrange(0, 6000) for _ in range(150))
     given = {i: f"g{i}" for i in range(0, 150, 17)}
-    got = sessions.sessionize(_events(spark, minutes, given), "user", "ts", "id", given=F.col("g"), bucket_seconds=bucket)
+    got = sessions.sessionize(_events(spark, minutes, given), "user", "ts", "id", given=F.col("g"), bucket_seconds=bucket,
+                              hot_rows=10 ** 6 if bucket == 10 ** 6 else 0)
     want, no, last, current = [], 0, None, None
     for i, m in enumerate(minutes):
         if i in given:
@@ -456,11 +459,12 @@ def test_sessions_do_not_depend_on_buckets(spark, bucket):
     assert sorted(tuple(r) for r in got.select("id", "session_no", "session_id").collect()) == want
 
 
+@pytest.mark.parametrize("hot", [0, 10 ** 6])
 @pytest.mark.parametrize("gap", [60, 3600, 90_000])
-def test_plain_sessions_match_a_loop(spark, gap):
+def test_plain_sessions_match_a_loop(spark, gap, hot):
     rnd = random.Random(4)
     minutes = sorted(rnd.randrange(0, 9000) for _ in range(200))
-    got = sessions.sessionize(_events(spark, minutes), "user", "ts", "id", gap_seconds=gap)
+    got = sessions.sessionize(_events(spark, minutes), "user", "ts", "id", gap_seconds=gap, hot_rows=hot)
     want, no, last = [], 0, None
     for i, m in enumerate(minutes):
         if last is None or (m - last) * 60 > gap:
@@ -473,5 +477,15 @@ def test_plain_sessions_match_a_loop(spark, gap):
 def test_sessions_keep_rows_without_a_user(spark):
     df = spark.createDataFrame([(1, None, dt.datetime(2024, 1, 1), None), (2, "u", dt.datetime(2024, 1, 1), None)],
                                "id INT, user STRING, ts TIMESTAMP, g STRING")
-    assert sessions.sessionize(df, "user", "ts", "id").count() == 2
-    assert sessions.sessionize(df, "user", "ts", "id", given=F.col("g")).count() == 2
+    for hot in (0, 10 ** 6):
+        assert sessions.sessionize(df, "user", "ts", "id", hot_rows=hot).count() == 2
+        assert sessions.sessionize(df, "user", "ts", "id", given=F.col("g"), hot_rows=hot).count() == 2
+
+
+def test_only_the_hot_user_is_split(spark):
+    """A mix of one large and many small users gives the same sessions as one window for all."""
+    base = spark.range(4000).select(
+        "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("user"),
+        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(86400 * 20))).alias("ts"))
+    run = lambda hot: rows(sessions.sessionize(base, "user", "ts", "id", hot_rows=hot))
+    assert run(500) == run(10 ** 6)
