@@ -41,6 +41,12 @@ def period_bounds(period: str) -> tuple[dt.datetime, dt.datetime]:
     return start, start + dt.timedelta(days=1)
 
 
+def period_sql(column: str, period: str) -> str:
+    """:func:`in_period` as SQL text."""
+    start, end = period_bounds(period)
+    return f"({column} >= TIMESTAMP_NTZ '{start}' AND {column} < TIMESTAMP_NTZ '{end}')"
+
+
 def in_period(col: Column, period: str) -> Column:
     """Timestamp in a period, as two plain comparisons so that scans can skip row groups."""
     start, end = (F.lit(str(b)).cast("timestamp_ntz") for b in period_bounds(period))

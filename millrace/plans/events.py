@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.dates import in_period
+from millrace.functions.dates import in_period, period_sql
 from millrace.functions.text import joined_key, lookup, sorted_set
 from millrace.operators.joins import drop_matching
 from millrace.sinks.writers import to_messages
@@ -30,10 +30,17 @@ class EventContext:
     day: str
     commenders: Sequence[str] = ()
     history_start: str = "20200101"
+    _opened: dict = field(default_factory=dict, repr=False, compare=False)
+
+    def __post_init__(self):
+        if not self.day.isdigit():  # it becomes part of SQL text
+            raise ValueError(f"not a business date: {self.day!r}")
 
     def table(self, name: str) -> DataFrame:
-        found = self.tables[name]
-        return found() if callable(found) else found
+        if name not in self._opened:
+            found = self.tables[name]
+            self._opened[name] = found() if callable(found) else found
+        return self._opened[name]
 
 
 @dataclass(frozen=True)
@@ -46,11 +53,12 @@ class MatchRule:
     date: str
     accepts: Mapping[str, tuple] = field(default_factory=dict)
 
-    def condition(self, ctx: EventContext) -> Column:
-        dtype = ctx.table(self.table).schema[self.date].dataType
-        on_day = (in_period(F.col(self.date), ctx.day) if dtype.typeName().startswith("timestamp")
-                  else F.col(self.date) == F.lit(ctx.day).cast(dtype))
-        return reduce(lambda a, b: a & b, (F.col(c).isin(*v) for c, v in self.accepts.items()), on_day)
+    def condition(self, types: Mapping[str, str], day: str) -> str:
+        """SQL predicate; the date is compared in the type of its column."""
+        kind = types[self.date]
+        on_day = (period_sql(self.date, day) if kind.startswith("timestamp")
+                  else f"{self.date} = '{day}'" if kind == "string" else f"{self.date} = CAST('{day}' AS {kind})")
+        return " AND ".join([on_day, *(f"{c} IN ({', '.join(map(repr, v))})" for c, v in self.accepts.items())])
 
 
 # Rule code, table, customer column, date column, accepted values.
@@ -83,12 +91,14 @@ def individual_customers(ctx: EventContext) -> DataFrame:
     return base.select(F.col("custid").cast("string").alias("cust_id"), F.col("mobileno").alias("cust_telno"))
 
 
-def _candidates(df: DataFrame, customer: str, code: Column | str, ctx: EventContext, **extra: Column) -> DataFrame:
-    """Rows in the common shape of all rules; the customer key is text on both sides of the later join."""
-    code = F.lit(code) if isinstance(code, str) else code
-    return df.select(
-        F.col(customer).cast("string").alias("cust_id"), code.alias("busi_no"), F.lit(ctx.day).alias("busi_date"),
-        *[extra.get(c, F.lit(None)).cast("string").alias(c) for c in EXTRA_COLUMNS])
+def _candidates(df: DataFrame, customer: str, code: str, ctx: EventContext, **extra: str) -> DataFrame:
+    """Rows in the common shape of all rules, from SQL text for the code and the extra columns.
+
+    The customer key is text on both sides of the later join.
+    """
+    return df.selectExpr(
+        f"CAST({customer} AS STRING) AS cust_id", f"{code} AS busi_no", f"'{ctx.day}' AS busi_date",
+        *[f"CAST({extra.get(c, 'NULL')} AS STRING) AS {c}" for c in EXTRA_COLUMNS])
 
 
 def matched(ctx: EventContext, rules: Sequence[MatchRule]) -> list[DataFrame]:
@@ -98,13 +108,15 @@ def matched(ctx: EventContext, rules: Sequence[MatchRule]) -> list[DataFrame]:
         groups.setdefault((rule.table, rule.customer), []).append(rule)
     out = []
     for (table, customer), members in groups.items():
-        conds = [r.condition(ctx) for r in members]
-        df = ctx.table(table).where(reduce(lambda a, b: a | b, conds))
-        if len(members) == 1:
-            out.append(_candidates(df, customer, members[0].code, ctx))
-        else:
-            codes = F.explode(F.array_compact(F.array(*[F.when(c, F.lit(r.code)) for r, c in zip(members, conds)])))
-            out.append(_candidates(df.withColumn("_code", codes), customer, F.col("_code"), ctx))
+        df = ctx.table(table)
+        types = dict(df.dtypes)
+        conds = {r.code: r.condition(types, ctx.day) for r in members}
+        df = df.where(" OR ".join(f"({c})" for c in conds.values()))
+        code = f"'{members[0].code}'"
+        if len(members) > 1:
+            cases = ", ".join(f"IF({c}, '{k}', NULL)" for k, c in conds.items())
+            code = f"explode(array_compact(array({cases})))"
+        out.append(_candidates(df, customer, code, ctx))
     return out
 
 
@@ -117,22 +129,22 @@ def opened_online(ctx: EventContext) -> DataFrame:
 
 
 def opened_rule(ctx: EventContext) -> DataFrame:
-    return _candidates(opened_online(ctx), "custid", "010109", ctx, orgid=F.col("orgid"))
+    return _candidates(opened_online(ctx), "custid", "'010109'", ctx, orgid="orgid")
 
 
 def commended_rule(ctx: EventContext) -> DataFrame:
     """010110: the same, recommended by one of the listed people."""
     named = ctx.table("oa_s_cczq").where(F.trim("commender_name").isin(*ctx.commenders))
     rows = opened_online(ctx).join(named, F.col("custid").cast("string") == F.col("cust_code").cast("string"))
-    return _candidates(rows, "custid", "010110", ctx, orgid=F.col("orgid"), commender_name=F.col("commender_name"))
+    return _candidates(rows, "custid", "'010110'", ctx, orgid="orgid", commender_name="commender_name")
 
 
 def market_rule(ctx: EventContext) -> DataFrame:
     """011001: the markets opened that day, as one label per customer."""
     opened = ctx.table("secuid").where(
         (F.col("securight") == MARKET_RIGHT) & (F.col("status") == 0) & (F.col("opendate") == ctx.day))
-    markets = opened.groupBy("custid").agg(sorted_set(F.col("market")).alias("markets"))
-    return _candidates(markets, "custid", "011001", ctx, market=lookup(MARKET_LABELS, F.col("markets")))
+    markets = opened.groupBy("custid").agg(lookup(MARKET_LABELS, sorted_set(F.col("market"))).alias("market"))
+    return _candidates(markets, "custid", "'011001'", ctx, market="market")
 
 
 def auto_invest_rule(ctx: EventContext) -> DataFrame:
@@ -140,7 +152,7 @@ def auto_invest_rule(ctx: EventContext) -> DataFrame:
     agreements = ctx.table("otc_auto_invest_agr").where(
         (F.col("agr_stat") == AUTO_INVEST_ACTIVE) & (F.col("app_date") == ctx.day))
     rows = agreements.join(ctx.table("otc_inst_base_info").select("inst_sno", "inst_id"), "inst_sno", "left")
-    return _candidates(rows, "cust_code", "011401", ctx, ordersno=F.col("app_sno"), fundcode=F.col("inst_id"))
+    return _candidates(rows, "cust_code", "'011401'", ctx, ordersno="app_sno", fundcode="inst_id")
 
 
 def _signed(ctx: EventContext) -> tuple[DataFrame, DataFrame]:
@@ -155,7 +167,7 @@ def signed_rule(ctx: EventContext) -> DataFrame:
     """011403: signed up and did not cancel anything that day."""
     signed, cancelled = _signed(ctx)
     kept = drop_matching(signed.select("cust_code").distinct(), cancelled, ["cust_code"])
-    return _candidates(kept, "cust_code", "011403", ctx)
+    return _candidates(kept, "cust_code", "'011403'", ctx)
 
 
 def switched_rule(ctx: EventContext) -> DataFrame:
@@ -168,13 +180,13 @@ def switched_rule(ctx: EventContext) -> DataFrame:
     span = lambda df, p: df.groupBy("cust_code").agg(F.min("inst_sno").alias(p + "lo"), F.max("inst_sno").alias(p + "hi"))
     both = span(signed, "s_").join(span(cancelled, "c_"), "cust_code")
     return _candidates(both.where((F.col("s_lo") != F.col("c_hi")) | (F.col("s_hi") != F.col("c_lo"))),
-                       "cust_code", "011404", ctx)
+                       "cust_code", "'011404'", ctx)
 
 
 def appointed_rule(ctx: EventContext) -> DataFrame:
     """011405: the date is stored as a number."""
     rows = ctx.table("eccustsign").where(F.col("orderdate") == int(ctx.day))
-    return _candidates(rows.select("custid").distinct(), "custid", "011405", ctx)
+    return _candidates(rows.select("custid").distinct(), "custid", "'011405'", ctx)
 
 
 def dividend_rule(ctx: EventContext) -> DataFrame:
@@ -182,13 +194,13 @@ def dividend_rule(ctx: EventContext) -> DataFrame:
     rows = ctx.table("otc_trd_orders").where(
         (F.col("busi_date") == ctx.day) & (F.col("app_date") == int(ctx.day))
         & (F.col("trd_id") == DIVIDEND_TRADE) & (F.col("div_method") == DIVIDEND_METHOD))
-    return _candidates(rows.select("cust_code").distinct(), "cust_code", "011406", ctx)
+    return _candidates(rows.select("cust_code").distinct(), "cust_code", "'011406'", ctx)
 
 
 def private_fund_rule(ctx: EventContext) -> DataFrame:
     rows = ctx.table("private_fund_invest").where(
         (F.col("fund_invest_type") == PRIVATE_FUND_TYPE) & (F.col("apply_date") == ctx.day))
-    return _candidates(rows.select("cust_code").distinct(), "cust_code", "011407", ctx)
+    return _candidates(rows.select("cust_code").distinct(), "cust_code", "'011407'", ctx)
 
 
 def first_transfer_rule(ctx: EventContext) -> DataFrame:
@@ -199,7 +211,7 @@ def first_transfer_rule(ctx: EventContext) -> DataFrame:
     moves = [ctx.table(n).where(done & since).select("custid", "busi_date")
              for n in ("logbanktran", "logbanktran_margin")]
     per_customer = moves[0].union(moves[1]).groupBy("custid").agg(F.min("busi_date").alias("first_date"))
-    return _candidates(per_customer.where(F.col("first_date") == ctx.day), "custid", "012101", ctx)
+    return _candidates(per_customer.where(F.col("first_date") == ctx.day), "custid", "'012101'", ctx)
 
 
 SPECIAL_RULES: dict[str, Callable[[EventContext], DataFrame]] = {
