@@ -23,6 +23,11 @@ def narrow(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where the body uses it for every element of an array."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 

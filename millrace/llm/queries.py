@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm.common import table
+from millrace.llm import language, quality
+from millrace.llm.common import crc_part, narrow, table
 from millrace.llm.exact import exact_groups
 from millrace.llm.simhash import near_groups
+from millrace.llm.winnow import contamination
 from millrace.workload.registry import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,12 +33,54 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_quality_classifier")
+def op2(spark, folder):
+    """Quality score of every document, learned from two of three parts of the labels."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.fit(docs, labels.where(crc_part(F.col("doc_id"), 3) != 1))
+    scored = quality.score(narrow(docs), model)
+    return scored.select("doc_id", (crc_part(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+                         quality.predicted().alias("predicted"))
+
+
+@query("op3_language_id")
+def op3(spark, folder):
+    """Language of every document, learned from three of four parts of the documents."""
+    docs = table(spark, folder, "documents")
+    part = crc_part(F.col("doc_id"), 4)
+    found = language.identify(docs, docs.where(part != 2))
+    return found.select("doc_id", (part == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark, folder):
     """Fingerprint and near-duplicate component of every document."""
     return near_groups(table(spark, folder, "documents"))
 
 
+@query("op7_benchmark_decontamination", r"""
+WITH w AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+l AS (SELECT kind, id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM w),
+iw AS (SELECT id AS item_id, n, array_to_string(ws[s : s + n - 1], ' ') AS g FROM (
+         SELECT id, ws, least(13, len(ws)) AS n, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS s
+         FROM l WHERE kind = 'i' AND len(ws) > 0)),
+dw AS (SELECT id AS doc_id, n, s, array_to_string(ws[s : s + n - 1], ' ') AS g FROM (
+         SELECT id, ws, n, unnest(range(1, len(ws) - n + 2)) AS s
+         FROM l, (SELECT DISTINCT n FROM iw) WHERE kind = 'd' AND len(ws) >= n)),
+h AS (SELECT DISTINCT doc_id, s, n, item_id FROM dw JOIN iw USING (g, n)),
+p AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM h) GROUP BY 1),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM h) GROUP BY 1)
+SELECT l.id AS doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM l LEFT JOIN p ON p.doc_id = l.id LEFT JOIN t ON t.doc_id = l.id WHERE kind = 'd'""")
+def op7(spark, folder):
+    """Words of every document that occur in windows of the benchmark's items."""
+    return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op9_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
