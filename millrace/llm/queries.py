@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from millrace.llm import language, quality
 from millrace.llm.common import crc_part, narrow, table
 from millrace.llm.exact import exact_groups
+from millrace.llm.pii import personal_spans
+from millrace.llm.sentencepiece import encode_documents
 from millrace.llm.simhash import near_groups
+from millrace.llm.tokens import line_tokens
 from millrace.llm.winnow import contamination
 from millrace.workload.registry import prepare
 
@@ -33,6 +36,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_sentencepiece")
+def op1(spark, folder):
+    """Piece ids of every document, and whether decoding them gives its text."""
+    return encode_documents(table(spark, folder, "documents"))
+
+
 @query("op2_quality_classifier")
 def op2(spark, folder):
     """Quality score of every document, learned from two of three parts of the labels."""
@@ -52,6 +61,12 @@ def op3(spark, folder):
     return found.select("doc_id", (part == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query("op5_pii")
+def op5(spark, folder):
+    """Personal data in every document."""
+    return personal_spans(table(spark, folder, "documents"))
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark, folder):
     """Fingerprint and near-duplicate component of every document."""
@@ -88,3 +103,9 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""")
 def op9(spark, folder):
     """The group of equal texts that every document is in."""
     return exact_groups(table(spark, folder, "documents"))
+
+
+@query("op10_token_counts")
+def op10(spark, folder):
+    """Tokens of every line of every document."""
+    return line_tokens(table(spark, folder, "documents"))
