@@ -15,6 +15,7 @@ from millrace.llm.sentencepiece import encode_documents
 from millrace.llm.simhash import near_groups
 from millrace.llm.tokens import line_tokens
 from millrace.llm.winnow import contamination
+from millrace.llm.wrappers import main_text
 from millrace.workload.registry import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +97,12 @@ def op7(spark, folder):
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op8_html_extraction")
+def op8(spark, folder):
+    """Main text of every page."""
+    return main_text(table(spark, folder, "pages"))
+
+
 @query("op9_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
