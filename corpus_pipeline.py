@@ -4,33 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm import sentencepiece
 from millrace.llm.common import table
 from millrace.llm.exact import drop_exact
+from millrace.llm.quality import drop_rejected
 from millrace.llm.simhash import drop_near
+from millrace.llm.winnow import drop_contaminated
 from millrace.session import materialize
 from millrace.workload.registry import prepare
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier, fitted on all labels of ``docs``, calls good."""
+    prepare(spark)
+    return drop_rejected(docs, table(spark, sf_dir, "labels"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each distinct text stays: the one with the largest doc_id."""
+    """One document of each distinct text: the one with the largest doc_id."""
     prepare(spark)
     return drop_exact(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the smallest doc_id."""
+    """One document of each group of near-duplicates: the one with the smallest doc_id."""
     prepare(spark)
     return drop_near(docs)
 
 
-STAGES = [("exact dedup", exact), ("SimHash near-dedup", near)]
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by an item of ``benchmark``."""
+    prepare(spark)
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids instead of the text, with their number and whether decoding them gives the text."""
+    prepare(spark)
+    return sentencepiece.encode(docs, sentencepiece.load())
+
+
+STAGES = [("quality classifier", quality), ("exact dedup", exact), ("SimHash near-dedup", near),
+          ("benchmark decontamination", clean), ("SentencePiece encoding", encode)]
 
 #: SQL has no XXH64, zstandard or tokenizer, so the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage's rows are written and reread."""
+    """All stages over ``documents``; the rows of all but the last are written and reread."""
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

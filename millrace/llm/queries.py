@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm import language, quality
 from millrace.llm.common import crc_part, narrow, table
 from millrace.llm.exact import exact_groups
+from millrace.llm.lines import line_report
 from millrace.llm.pii import personal_spans
 from millrace.llm.sentencepiece import encode_documents
 from millrace.llm.simhash import near_groups
@@ -62,6 +63,12 @@ def op3(spark, folder):
     return found.select("doc_id", (part == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query("op4_line_dedup")
+def op4(spark, folder):
+    """The lines of every document that go because a similar line stays elsewhere."""
+    return line_report(table(spark, folder, "documents"))
+
+
 @query("op5_pii")
 def op5(spark, folder):
     """Personal data in every document."""
