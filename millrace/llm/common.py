@@ -38,10 +38,10 @@ def map_texts(df: DataFrame, fn: Callable[[], Callable[[list], list]], schema: s
 
     ``fn`` is called once per task and gives the batch function, which takes the list of texts
     and gives one list per new column, so what it builds lives as long as the task. The text
-    column is not returned.
+    column is not returned, and a column with the name of a new one is replaced.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    kept = [c for c in df.columns if c != text_col]
+    kept = [c for c in df.columns if c != text_col and c not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = fn()
@@ -59,6 +59,14 @@ def crc_part(id_col: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))) % parts
 
 
+def thinned(order: Column, keep: int, count: Column) -> Column:
+    """Whether a row is one of about ``2 * keep`` of ``count`` rows, by a hash; true of all if they are few.
+
+    The rows with the smallest hashes are then picked from these, so that no task ever sorts a whole table.
+    """
+    return F.pmod(order, F.lit(1 << 30)) * count < F.lit(2 * keep).cast("double") * (1 << 30)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges: one ``(node, root)`` row per node, the root the smallest.
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_texts, narrow
+from millrace.llm.common import map_texts, narrow, thinned
 
 #: The automata are built from at most so many texts of a language, an excerpt of each, and so many letters in all.
 TEXTS, EXCERPT, LETTERS = 400, 400, 160_000
@@ -141,17 +141,19 @@ class Parser:
 
 
 def samples(df: DataFrame) -> dict[str, str]:
-    """Normalised sample text of each language in ``doc_id, text, lang``; rows without a language are not used.
+    """Normalised sample text of each language in ``doc_id, text, lang``; rows without a language or text are not used.
 
     The ``TEXTS`` rows of a language with the smallest hash of the id give an excerpt each, at a place
     that follows from the id. All languages get an equal part of ``LETTERS``.
     """
-    order = Window.partitionBy("lang").orderBy("o", "doc_id")
-    chosen = df.where("lang IS NOT NULL AND doc_id IS NOT NULL").select(
-        "doc_id", "lang", F.xxhash64("doc_id").alias("o")).withColumn("r", F.row_number().over(order)).where(
-        F.col("r") <= TEXTS)
+    ids = df.where("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang", F.xxhash64("doc_id").alias("o"))
+    count = ids.groupBy("lang").agg(F.count("*").alias("count"))
+    order = Window.partitionBy("lang").orderBy(F.pmod("o", F.lit(1 << 30)), "doc_id")
+    # A row per language, so it may be broadcast.
+    chosen = ids.join(F.broadcast(count), "lang").where(thinned(F.col("o"), TEXTS, F.col("count")))
+    chosen = chosen.withColumn("r", F.row_number().over(order)).where(F.col("r") <= TEXTS)
     # At most TEXTS short rows per language, so they may be broadcast.
-    texts = df.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "lang", "o")), "doc_id")
+    texts = df.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen.select("doc_id", "lang", "o")), "doc_id")
     start = F.pmod(F.xxhash64("o"), F.greatest(F.length("text") - EXCERPT, F.lit(0)).cast("long") + 1).cast("int") + 1
     rows = texts.select("lang", "o", F.substr("text", start, F.lit(EXCERPT)).alias("part")).collect()
     langs = sorted({r.lang for r in rows})

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_texts, narrow
+from millrace.llm.common import map_texts, narrow, thinned
 
 #: The classifier is fitted on at most so many labelled rows of each class, half of them for dictionaries.
 FIT_ROWS = 4000
@@ -71,7 +71,7 @@ def fit(docs: DataFrame, labels: DataFrame):
     """Dictionaries and calibration from labelled rows, or the share of good ones if one class is missing.
 
     ``labels`` has ``doc_id, quality``; rows with a null in either, or another quality, are not used.
-    Of each class the ``FIT_ROWS`` rows with the smallest hash of the id are taken; only excerpts of
+    Of each class at most ``FIT_ROWS`` rows are taken, those with the smallest hash of the id; only excerpts of
     theirs and four numbers per row come to the driver.
     """
     labels = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(
@@ -79,7 +79,8 @@ def fit(docs: DataFrame, labels: DataFrame):
     count = {r.quality: r["count"] for r in labels.groupBy("quality").count().collect()}
     if len(count) < 2:
         return None, 0.5 if not count else float(next(iter(count)))
-    chosen = [labels.where(F.col("quality") == q).orderBy("o", "doc_id").limit(FIT_ROWS) for q in (0, 1)]
+    chosen = [labels.where((F.col("quality") == q) & thinned(F.col("o"), FIT_ROWS, F.lit(count[q])))
+              .orderBy(F.pmod("o", F.lit(1 << 30)), "doc_id").limit(FIT_ROWS) for q in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1])  # 2 * FIT_ROWS short rows at most, so it may be broadcast
     rows = narrow(docs).join(F.broadcast(chosen), "doc_id").where("text <> ''")
     role = F.pmod(F.xxhash64("doc_id", F.lit("role")), F.lit(2))
@@ -136,5 +137,5 @@ def drop_rejected(df: DataFrame, labels: DataFrame) -> DataFrame:
     The text stays as it is, null included; a null text is scored as an empty one.
     """
     model = fit(df, labels)
-    scored = score(df.withColumn("_text", F.col("text")).withColumn("text", F.coalesce("text", F.lit(""))), model)
-    return scored.where(F.col("score") >= 0.5).withColumn("text", F.col("_text")).select(*df.columns)
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    return score(rows, model).where(F.col("score") >= 0.5).select("row.*")

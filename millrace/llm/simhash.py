@@ -129,4 +129,5 @@ def drop_near(df: DataFrame) -> DataFrame:
     Rows that repeat an id stay or go together; a row without id stays, since nothing names it.
     """
     groups = near_groups(df).where(~same(F.col("doc_id"), F.col("component_id"))).select(F.col("doc_id").alias("_id"))
-    return df.join(groups.distinct(), F.col("doc_id") == F.col("_id"), "left_anti")
+    groups = groups.distinct()
+    return df.join(groups, df["doc_id"] == groups["_id"], "left_anti")

@@ -143,4 +143,4 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, least: int = 20) -> D
     bad = _judged(narrow(df), benchmark, least).where("contaminated").select(
         F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
     text = F.coalesce(df["text"], F.lit(""))
-    return df.join(bad, same(df["doc_id"], F.col("_id")) & (F.xxhash64(text) == F.col("_th")), "left_anti")
+    return df.join(bad, same(df["doc_id"], bad["_id"]) & (F.xxhash64(text) == bad["_th"]), "left_anti")
