@@ -2,7 +2,8 @@
 
 The base patterns give spans of four kinds. High-recall generators propose further, overlapping spans, each
 with small whole-number features of its format and of what stands around it. A candidate inside a base span
-of its kind is a positive example and any other a negative one; counts of equal feature rows over the whole
+of its kind is a positive example and any other a negative one, but for parts of a match of a base pattern that
+does not count, such as two numbers that run into each other; counts of equal feature rows over the whole
 table, a table of bounded size, are all that the trees are grown from. Per kind, the lowest score from which
 on enough of the examples are positive is the threshold, so what reads like personal data and escapes
 the base patterns, such as a number that runs into the next one, is added. Base spans always stay, and of
@@ -45,22 +46,40 @@ CUES = r"(?i)(?:tel|phone|call|fax|mobile|card|visa|credit|e-?mail|contact|host|
 FEATURES = ("gen", "digits", "luhn", "plus", "paren", "seps", "prev", "next", "cue")
 ROUNDS, DEPTH, RATE, RIDGE, PRECISION = 30, 3, 0.3, 1.0, 0.8
 
+CHUNK = 200
 _SPAN = "array<struct<start:int,end:int,s:string,before:string,after:string>>"
 
 
+def running(sizes: Column) -> Column:
+    """For each element of an array, the sum of those before it.
+
+    Summed in chunks, then over the chunks, as growing one long array element by element is quadratic.
+    """
+    def sums(part: Column) -> Column:
+        return F.aggregate(part, F.array(F.lit(0)), lambda seen, x: F.array_append(seen, F.element_at(seen, -1) + x))
+
+    def joined(chunks: Column) -> Column:
+        totals = sums(F.transform(chunks, lambda c: F.element_at(c, -1)))
+        return let(totals, lambda t: F.flatten(F.transform(chunks, lambda c, i: F.transform(
+            F.slice(c, 1, F.size(c) - 1), lambda x: x + F.get(t, i)))))
+
+    starts = F.sequence(F.lit(1), F.size(sizes), F.lit(CHUNK))
+    return let(F.transform(starts, lambda at: sums(F.slice(sizes, at, CHUNK))), joined)
+
+
 def occurrences(text: Column, pattern: str) -> Column:
     """Matches of a pattern with their code-point spans and a few characters before and after."""
     def spans(found: Column, gaps: Column, at: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(found) - 1), lambda k: F.struct(
-            (F.get(at, k) + F.length(F.get(gaps, k))).alias("start"), F.get(at, k + 1).alias("end"),
-            F.get(found, k).alias("s"), F.right(F.get(gaps, k), F.lit(20)).alias("before"),
-            F.left(F.get(gaps, k + 1), F.lit(1)).alias("after")))
+        def one(s: Column, k: Column) -> Column:
+            start = F.get(at, k) + F.length(F.get(gaps, k))
+            return F.struct(start.alias("start"), (start + F.length(s)).alias("end"), s.alias("s"),
+                            F.right(F.get(gaps, k), F.lit(20)).alias("before"), F.left(F.get(gaps, k + 1), F.lit(1)).alias("after"))
+
+        return F.transform(found, one)
 
     def placed(found: Column, gaps: Column) -> Column:
-        sizes = F.transform(F.sequence(F.lit(0), F.size(found) - 1),
-                            lambda k: F.length(F.get(gaps, k)) + F.length(F.get(found, k)))
-        at = F.aggregate(sizes, F.array(F.lit(0)), lambda seen, x: F.array_append(seen, F.element_at(seen, -1) + x))
-        return let(at, lambda a: spans(found, gaps, a))
+        sizes = F.transform(found, lambda s, k: F.length(F.get(gaps, k)) + F.length(s))
+        return let(let(sizes, running), lambda at: spans(found, gaps, at))
 
     none = F.array().cast(_SPAN)
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(
@@ -82,11 +101,11 @@ def valid(kind: str, s: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(text: Column) -> Column:
-    """All base spans as an array of ``(start, kind, end)``, kinds numbered as listed."""
+def base_matches(text: Column) -> Column:
+    """All matches of base patterns as an array of ``(start, kind, end, ok)``, kinds numbered as listed."""
     def of(i: int, kind: str) -> Column:
-        kept = F.filter(occurrences(text, BASE[kind]), lambda x: valid(kind, x["s"]))
-        return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), F.lit(i).alias("kind"), x["end"].alias("end")))
+        return F.transform(occurrences(text, BASE[kind]), lambda x: F.struct(
+            x["start"].alias("start"), F.lit(i).alias("kind"), x["end"].alias("end"), valid(kind, x["s"]).alias("ok")))
 
     return F.array_sort(F.concat(*(of(i, k) for i, k in enumerate(KINDS))))
 
@@ -160,13 +179,21 @@ class Boosted:
 
 
 def fit(found: DataFrame) -> tuple[Boosted, list[float]] | None:
-    """Trees and a threshold per kind from ``base`` and ``cands``; nothing without positive examples.
+    """Trees and a threshold per kind from ``matches`` and ``cands``; nothing without positive examples.
 
     Counts of distinct feature rows come to the driver; the features' ranges bound their number.
     """
-    inside = F.exists("base", lambda b: (b["kind"] == F.col("c.kind")) & (b["start"] <= F.col("c.start")) & (b["end"] >= F.col("c.end")))
-    rows = found.where(F.size("cands") > 0).select("base", F.explode("cands").alias("c")).select(
-        F.col("c.kind").alias("kind"), *(F.col(f"c.{f}").alias(f) for f in FEATURES), F.when(inside, 1).otherwise(0).alias("y"))
+    def example(c: Column) -> Column:
+        def over(b: Column) -> Column:
+            return (b["kind"] == c["kind"]) & (b["start"] <= c["start"]) & (b["end"] >= c["end"])
+
+        # A part of a match that does not count may well be personal data: it is no example of either.
+        unknown = F.exists("matches", lambda b: ~b["ok"] & over(b) & (b["end"] - b["start"] > c["end"] - c["start"]))
+        inside = F.exists("matches", lambda b: b["ok"] & over(b))
+        return F.struct(c.alias("c"), F.when(inside, 1).when(~unknown, 0).alias("y"))
+
+    rows = found.where(F.size("cands") > 0).select(F.explode(F.transform("cands", example)).alias("e")).where("e.y IS NOT NULL")
+    rows = rows.select(F.col("e.c.kind").alias("kind"), *(F.col(f"e.c.{f}").alias(f) for f in FEATURES), F.col("e.y").alias("y"))
     counted = rows.groupBy("kind", *FEATURES).agg(F.sum("y").alias("y"), F.count("*").alias("n")).orderBy("kind", *FEATURES).collect()
     x = np.array([[r[f] for f in FEATURES] for r in counted], np.int64)
     y, n = np.array([r.y for r in counted], float), np.array([r.n for r in counted], float)
@@ -195,9 +222,11 @@ def personal_spans(df: DataFrame) -> DataFrame:
     list. Rows are independent of each other but for the trees; other columns are ignored.
     """
     text = F.col("text")
-    found = materialize(narrow(df).select("doc_id", base_spans(text).alias("base"), candidates(text).alias("cands")), "candidates")
+    found = materialize(narrow(df).select("doc_id", base_matches(text).alias("matches"), candidates(text).alias("cands")), "candidates")
     model = fit(found)
     triple = "array<struct<start:int,kind:int,end:int>>"
+    base = F.transform(F.filter("matches", lambda b: b["ok"]), lambda b: F.struct(b["start"], b["kind"], b["end"]))
+    found = found.select("doc_id", "cands", base.cast(triple).alias("base"))
     added = F.array().cast(triple)
     if model:
         trees, cuts = model
@@ -219,6 +248,6 @@ def personal_spans(df: DataFrame) -> DataFrame:
 
 def redact(df: DataFrame) -> DataFrame:
     """Every document's spans as rows ``doc_id, kind, start, end``."""
-    one = F.split(F.explode(F.split("spans", ",")), ":")
-    return personal_spans(df).where("spans <> ''").select("doc_id", one.alias("x")).select(
+    one = personal_spans(df).where("spans <> ''").select("doc_id", F.explode(F.split("spans", ",")).alias("span"))
+    return one.select("doc_id", F.split("span", ":").alias("x")).select(
         "doc_id", F.col("x")[0].alias("kind"), F.col("x")[1].cast("int").alias("start"), F.col("x")[2].cast("int").alias("end"))

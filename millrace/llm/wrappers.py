@@ -33,7 +33,7 @@ WORD = re.compile("[a-z]+")
 #: Elements whose content is no markup, and elements without content.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "template"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
+INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "img", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time",
           "tt", "u", "var", "wbr"}
 #: Elements that end an open element of the named kinds.
@@ -111,6 +111,8 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
         if tag in INLINE:
             if tag == "a":
                 in_link = 0 if found[1] else 1
+            elif tag == "br":
+                text.append(" ")
             continue
         if tag in RAW:
             if not found[1]:
