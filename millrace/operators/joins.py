@@ -4,27 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-#: Broadcast bounds: rows, and bytes of their JSON text (above the size of the rows themselves).
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 << 20
+#: Rows that a side may be declared to have at most, if nothing else is said.
+LOOKUP_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint when rows and bytes are measured to be within the bounds; otherwise unchanged,
-    so Spark shuffles. The measurement reads ``max_rows + 1`` rows at most, whatever the table holds.
+def lookup(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
+    """A side declared to have at most ``max_rows`` rows, to be broadcast.
+
+    The bound is held while the join runs: beyond it the query fails and loses no row. Nothing runs
+    while the plan is built, and the count reads ``max_rows + 1`` rows at most. For a side without a
+    bound, write a plain join: Spark then decides by file sizes and at run time.
     """
-    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
-    rows, volume = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
-    return F.broadcast(df) if rows <= max_rows and volume <= max_bytes else df
+    few = df.limit(max_rows + 1).withColumn("_rows", F.count(F.lit(1)).over(W.partitionBy(F.lit(0))))
+    too_many = F.raise_error(F.lit(f"more than the declared {max_rows} rows"))
+    return F.broadcast(few.where(F.when(F.col("_rows") > max_rows, too_many.cast("boolean")).otherwise(True)).drop("_rows"))
+
 
+def join_pairs(left: DataFrame, right: DataFrame, condition: Column, how: str = "left", max_right: int = LOOKUP_ROWS) -> DataFrame:
+    """Both rows as structs ``l`` and ``r``, an unmatched side as a NULL struct.
 
-def join_pairs(left: DataFrame, right: DataFrame, condition: Column, how: str = "left") -> DataFrame:
-    """Both rows as structs ``l`` and ``r``, an unmatched side as a NULL struct."""
+    Any condition is allowed, so every pair is looked at: the right side must be a :func:`lookup`.
+    """
     # Structs are built before the join, so that an unmatched side is one NULL and not a struct of NULLs.
     ls = left.select(F.struct("*").alias("l"))
-    rs = right.select(F.struct("*").alias("r"))
+    rs = lookup(right.select(F.struct("*").alias("r")), max_right)
     return ls.join(rs, condition, how)
 
 

@@ -5,48 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
-#: A user with more events than this is worked on in time buckets.
-HOT_ROWS = 1_000_000
-
-
 def sessionize(df: DataFrame, user: str, ts: str, order: str, gap_seconds: int = 3600, given: Column | None = None,
-               bucket_seconds: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+               bucket_seconds: int = 60) -> DataFrame:
     """Add ``session_no`` (1, 2, … per user) and ``session_id``.
 
     A gap longer than ``gap_seconds`` starts a session, a gap of exactly that length does not.
     A row with a non-NULL ``given`` takes that id, and the rows after it stay in that session.
-    Other ids are ``<user>_<session_no>``, so a re-run assigns the same ids.
+    Other ids are ``<user>_<session_no>``, so a re-run assigns the same ids. Rows without a time come
+    first and are a session of their own; rows without a user are one more user.
 
-    Events of a user are ordered in one window, unless the user has more than ``hot_rows`` of them.
-    Those users, of whom there can be at most ``rows / hot_rows``, are spread over time buckets, of
-    which only a summary row each is ordered. Without such users AQE drops that part of the plan.
+    All users take the same way: events are spread over time buckets, and only a summary row of each
+    bucket is ordered per user. With given ids, events are also ordered within their bucket of
+    ``bucket_seconds``.
     """
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    bucket = F.floor(us / F.lit((bucket_seconds or gap_seconds) * 1_000_000))
     rows = df.withColumns({"_us": us, "_given": (F.lit(None) if given is None else given).cast("string")})
-    hot = df.groupBy(F.col(user).alias("_hot")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    hot = F.broadcast(hot.select("_hot"))
-    is_hot = F.col(user).eqNullSafe(F.col("_hot"))
-    few = _by_window(rows.join(hot, is_hot, "left_anti"), df.columns, user, order, gap_seconds, given is not None)
-    many = rows.join(hot, is_hot, "left_semi")
     if given is None:
-        return few.union(_by_time(many, df.columns, user, gap_seconds))
-    return few.union(_with_given(many.withColumn("_bucket", bucket), df.columns, user, order, gap_seconds))
-
-
-def _by_window(rows: DataFrame, columns: list[str], user: str, order: str, gap_seconds: int, with_given: bool) -> DataFrame:
-    """Users with a bounded number of events: one ordered window each."""
-    by_time = W.partitionBy(user).orderBy("_us", order)
-    so_far = by_time.rowsBetween(W.unboundedPreceding, W.currentRow)
-    late = F.col("_us") - F.lag("_us").over(by_time) > F.lit(gap_seconds * 1_000_000)
-    start = F.when(F.col("_given").isNotNull(), 1).otherwise(F.coalesce(late.cast("int"), F.lit(1)))
-    out = rows.withColumn("_start", start).withColumn("session_no", F.sum("_start").over(so_far))
-    own = _own_id(user, F.col("session_no"))
-    if not with_given:
-        return out.select(*columns, "session_no", own.alias("session_id"))
-    anchor = F.when(F.col("_start") == 1, F.struct(F.col("_given").alias("g")))
-    out = out.withColumn("_anchor", F.last(anchor, ignorenulls=True).over(so_far))
-    return out.select(*columns, "session_no", F.coalesce(F.col("_anchor.g"), own).alias("session_id"))
+        return _by_time(rows, df.columns, user, gap_seconds)
+    bucket = F.floor(us / F.lit(bucket_seconds * 1_000_000))
+    return _with_given(rows.withColumn("_bucket", bucket), df.columns, user, order, gap_seconds)
 
 
 def _by_time(rows: DataFrame, columns: list[str], user: str, gap_seconds: int) -> DataFrame:
@@ -79,7 +56,8 @@ def _with_given(rows: DataFrame, columns: list[str], user: str, order: str, gap_
     gap = F.lit(gap_seconds * 1_000_000)
     by_time = W.partitionBy(user, "_bucket").orderBy("_us", order)
     so_far = by_time.rowsBetween(W.unboundedPreceding, W.currentRow)
-    flagged = rows.withColumn("_prev", F.lag("_us").over(by_time)).withColumn(
+    first = F.row_number().over(by_time) == 1
+    flagged = rows.withColumns({"_prev": F.lag("_us").over(by_time), "_first": first}).withColumn(
         # The first row of a bucket has no predecessor here; it is judged against the bucket before.
         "_start", F.when(F.col("_given").isNotNull(), 1)
                    .otherwise(F.coalesce(((F.col("_us") - F.col("_prev")) > gap).cast("int"), F.lit(0))))
@@ -92,7 +70,7 @@ def _with_given(rows: DataFrame, columns: list[str], user: str, order: str, gap_
 
     buckets = flagged.groupBy(F.col(user).alias("_u"), F.col("_bucket").alias("_b")).agg(
         F.min("_us").alias("_from"), F.max("_us").alias("_to"), F.sum("_start").alias("_starts"),
-        F.max(F.col("_prev").isNull() & F.col("_given").isNotNull()).alias("_given_first"),
+        F.max(F.col("_first") & F.col("_given").isNotNull()).alias("_given_first"),
         F.max("_anchor").alias("_last"))
     per_user = W.partitionBy("_u").orderBy("_b")
     prev_to = F.lag("_to").over(per_user)

@@ -16,26 +16,32 @@ def approx_quantiles(df: DataFrame, column: str, probs: Sequence[float], error:
         "q.prob", "q.value")
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], small: int = 100_000) -> dict[float, float]:
-    """Exact quantiles with linear interpolation, without sorting or holding the column."""
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], leaf: int = 100_000) -> dict[float, float]:
+    """Exact quantiles with linear interpolation, without sorting or holding the column.
+
+    Between equal neighbours, infinite ones too, nothing is interpolated. ``leaf`` bounds the values
+    that the last step sorts in one task and has no effect on the result.
+    """
     values = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
     n = values.count()
     if not n:
         return {}
-    if n <= small:
-        return dict(zip(probs, values.agg(F.percentile("x", [float(p) for p in probs])).first()[0]))
     at = {p: (n - 1) * p for p in probs}
-    found = order_statistics(values, sorted({min(int(r) + i, n - 1) for r in at.values() for i in (0, 1)}), n, small)
-    low = {p: found[int(r)] for p, r in at.items()}
-    return {p: low[p] + (found[min(int(r) + 1, n - 1)] - low[p]) * (r - int(r)) for p, r in at.items()}
+    found = order_statistics(values, sorted({min(int(r) + i, n - 1) for r in at.values() for i in (0, 1)}), n, leaf)
+
+    def between(rank: float) -> float:
+        low, high, part = found[int(rank)], found[min(int(rank) + 1, n - 1)], rank - int(rank)
+        return low if low == high or not part else low + (high - low) * part
 
+    return {p: between(r) for p, r in at.items()}
 
-def order_statistics(values: DataFrame, ranks: Sequence[int], n: int, small: int) -> dict[int, float]:
+
+def order_statistics(values: DataFrame, ranks: Sequence[int], n: int, leaf: int) -> dict[int, float]:
     """Values at zero-based ``ranks`` of column ``x``, which has ``n`` values and no NULL.
 
     For each rank a sketch gives two values around it; exact counts then tell whether one of them
     is the answer, or how many values lie strictly between them. That number falls by about a
-    thousand per pass, ties or not. All ranks share the scans; once at most ``small`` values
+    thousand per pass, ties or not. All ranks share the scans; once at most ``leaf`` values
     are left, those are sorted. Only counts and bracket ends reach the driver.
     """
     x, accuracy, found = F.col("x"), 10_000, {}
@@ -65,7 +71,7 @@ def order_statistics(values: DataFrame, ranks: Sequence[int], n: int, small: int
         return F.when((x > bracket[0]) & (x < bracket[1]), x)
 
     settle({r: (low, high) for r in ranks})
-    while wide := {r: b for r, b in open_ranks.items() if b[3] > small}:
+    while wide := {r: b for r, b in open_ranks.items() if b[3] > leaf}:
         # Ranks in one bracket share its sketch; neighbouring ranks also share the same grid cell.
         cell = {r: int((r - first) / count * accuracy) for r, (_, _, first, count) in wide.items()}
         edges = lambda r: [max(0.0, (cell[r] - 2) / accuracy), min(1.0, (cell[r] + 3) / accuracy)]
@@ -98,23 +104,40 @@ def describe_long(df: DataFrame, columns: Sequence[str], percentiles: Sequence[f
 
 
 def frequent_items(df: DataFrame, column: str, support: float) -> DataFrame:
-    """Values that make up at least ``support`` of all rows, with their exact counts.
+    """Values that make up at least ``support`` of all rows, NULL among them, with their exact counts.
 
     The frequent-items sketch gives at most ``1/support`` candidates and misses none; only
     those are counted, so the many rare values never enter a shuffle.
     """
-    candidates = df.stat.freqItems([column], support).first()[0]
-    total = df.count()
-    kept = df.where(F.col(column).isin(list(candidates))).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return kept.where(F.col("n") >= F.lit(support * total))
+    (candidates,) = df.stat.freqItems([column], support).first()
+    kept = df.where(_one_of(column, candidates)).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return kept.where(F.col("n") >= F.lit(support * df.count()))
+
 
+def _one_of(column: str, candidates: Sequence) -> Column:
+    known = F.col(column).isin([c for c in candidates if c is not None])
+    return F.coalesce(known, F.lit(False)) | F.col(column).isNull() if None in candidates else known
 
-def crosstab(df: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
-    """Counts of ``row`` by the listed values of ``column``, 0 where a pair does not occur."""
-    return df.groupBy(row).agg(*[F.count_if(F.col(column) == v).alias(str(v)) for v in values])
+
+def frequent_items_of(df: DataFrame, columns: Sequence[str], support: float) -> DataFrame:
+    """``(column, value, n)`` of the frequent values of several columns, as text, from two shared scans."""
+    candidates = df.stat.freqItems(list(columns), support).first()
+    pairs = [F.when(_one_of(c, found), F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")))
+             for c, found in zip(columns, candidates)]
+    counted = df.select(F.explode(F.array_compact(F.array(*pairs))).alias("p")).groupBy("p.column", "p.value").agg(
+        F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") >= F.lit(support * df.count()))
+
+
+def crosstab(df: DataFrame, row: str, column: str) -> DataFrame:
+    """Counts of ``row`` by every value of ``column``, 0 where a pair does not occur; NULL is ``null``.
+
+    The values are found first; above ``spark.sql.pivotMaxValues`` of them Spark raises an error.
+    """
+    named = df.select(row, F.coalesce(F.col(column).cast("string"), F.lit("null")).alias("_value"))
+    return named.groupBy(row).pivot("_value").agg(F.count(F.lit(1))).na.fill(0)
 
 
-BLOOM_BROADCAST_BYTES = 64 << 20
 _BLOCK_BITS = 32_768  # bits of one bitmap, as built by bitmap_construct_agg
 
 
@@ -136,8 +159,7 @@ def bloom_filter(df: DataFrame, column: str, bloom: DataFrame, expected_items: i
                  hashes: int = 6) -> DataFrame:
     """Rows whose value may be in the filter: no row that is in it is lost.
 
-    One join on the block number. The size of the filter is known from its blocks: up to
-    ``BLOOM_BROADCAST_BYTES`` it is broadcast, beyond it both sides are shuffled by the many blocks.
+    One join on the block number, whose side to broadcast, if any, Spark picks by the filter's size.
     """
     blocks = max(1, -(-expected_items * bits_per_item // _BLOCK_BITS))
     block, bits = _bloom_bits(F.col(column), blocks, hashes)
@@ -149,10 +171,7 @@ def bloom_filter(df: DataFrame, column: str, bloom: DataFrame, expected_items: i
     test = is_set(bits[0])
     for b in bits[1:]:
         test = test & is_set(b)
-    filter_rows = bloom.select("block", "bits")
-    if blocks * _BLOCK_BITS // 8 <= BLOOM_BROADCAST_BYTES:
-        filter_rows = F.broadcast(filter_rows)
-    probed = df.withColumn("block", block).join(filter_rows, "block")
+    probed = df.withColumn("block", block).join(bloom.select("block", "bits"), "block")
     return probed.where(test).select(*df.columns)
 
 

@@ -225,13 +225,24 @@ def test_day_slice(spark):
 # --- joins and aggregates --------------------------------------------------------------------
 
 
-def test_broadcast_only_below_the_bound(spark):
+def test_lookup_is_broadcast_and_holds_its_bound(spark):
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    big, small_side = spark.range(1000), spark.range(10)
-    assert "broadcast" in plan(big.join(joins.broadcast_if_small(small_side, 10), "id"))
-    assert "broadcast" not in plan(big.join(joins.broadcast_if_small(small_side, 9), "id"))
-    assert "broadcast" not in plan(big.join(joins.broadcast_if_small(small_side, 10, max_bytes=20), "id"))
-    assert "broadcast" in plan(big.join(joins.broadcast_if_small(small_side.where("id < 0")), "id"))
+    big, few = spark.range(1000), spark.range(10)
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    before = jobs()
+    joined = big.join(joins.lookup(few, 10), "id")
+    assert "broadcast" in plan(joined) and jobs() == before  # nothing ran while the plan was built
+    assert joined.count() == 10
+    with pytest.raises(Exception, match="more than the declared 9 rows"):
+        big.join(joins.lookup(few, 9), "id").count()
+    assert big.join(joins.lookup(few.where("id < 0")), "id").count() == 0
+
+
+def test_pairs_of_an_unbounded_side_fail(spark):
+    pairs = lambda n: joins.join_pairs(spark.range(3), spark.range(n), F.col("l.id") < F.col("r.id"), max_right=5)
+    assert pairs(5).count() == 4 + 3 + 2
+    with pytest.raises(Exception, match="more than the declared 5 rows"):
+        pairs(6).count()
 
 
 def test_char_padding(spark, tmp_path):
@@ -342,11 +353,33 @@ def test_exact_quantiles_by_narrowing(spark, values):
 
     df = spark.createDataFrame([(v,) for v in values], "x DOUBLE")
     probs = (0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0)
-    got = st.exact_quantiles(df, "x", probs, small=20)  # a small bound forces the narrowing passes
+    got = st.exact_quantiles(df, "x", probs, leaf=20)  # a small leaf forces the narrowing passes
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(values, p)), rel=1e-12)
 
 
+@pytest.mark.parametrize("leaf", [1, 100_000])
+def test_quantiles_of_infinities_and_ties(spark, leaf):
+    inf = float("inf")
+    df = lambda *v: spark.createDataFrame([(x,) for x in v], "x DOUBLE")
+    assert st.exact_quantiles(df(inf, inf, inf, 1.0, None), "x", (0.5, 0.9, 0.0), leaf) == {0.5: inf, 0.9: inf, 0.0: 1.0}
+    assert st.exact_quantiles(df(-inf, -inf, 2.0, 2.0, 2.0), "x", (0.25, 0.75), leaf) == {0.25: -inf, 0.75: 2.0}
+    assert st.exact_quantiles(df(None), "x", (0.5,), leaf) == {}
+
+
+def test_frequent_items_count_nulls(spark):
+    df = spark.createDataFrame([(None, "x")] * 6 + [("a", None)] * 4, "p STRING, q STRING")
+    assert rows(st.frequent_items(df, "p", 0.3)) == [("a", 4), (None, 6)] or rows(st.frequent_items(df, "p", 0.3)) == [(None, 6), ("a", 4)]
+    got = {tuple(r) for r in st.frequent_items_of(df, ["p", "q"], 0.5).collect()}
+    assert got == {("p", None, 6), ("q", "x", 6)}
+
+
+def test_crosstab_finds_its_values(spark):
+    df = spark.createDataFrame([("r", "a"), ("r", "Z"), ("s", None)], "k STRING, v STRING")
+    got = {r.k: r.asDict() for r in st.crosstab(df, "k", "v").collect()}
+    assert got == {"r": {"k": "r", "a": 1, "Z": 1, "null": 0}, "s": {"k": "s", "a": 0, "Z": 0, "null": 1}}
+
+
 def test_bloom_filter_loses_nothing(spark):
     members = spark.range(0, 20000, 7).withColumnRenamed("id", "x")
     n = members.count()
@@ -428,16 +461,15 @@ def _events(spark, minutes, given=None):
     return spark.createDataFrame(data, "id INT, user STRING, ts TIMESTAMP, g STRING")
 
 
-@pytest.mark.parametrize("hot", [0, 10 ** 6])
-def test_gap_equal_to_the_limit_stays(spark, hot):
-    got = sessions.sessionize(_events(spark, [0, 30, 90, 151]), "user", "ts", "id", hot_rows=hot).orderBy("id")
+def test_gap_equal_to_the_limit_stays(spark):
+    got = sessions.sessionize(_events(spark, [0, 30, 90, 151]), "user", "ts", "id").orderBy("id")
     assert [r.session_no for r in got.collect()] == [1, 1, 1, 2]
 
 
-@pytest.mark.parametrize("hot", [0, 10 ** 6])
-def test_given_id_is_kept_and_carried(spark, hot):
+@pytest.mark.parametrize("bucket", [60, 900])
+def test_given_id_is_kept_and_carried(spark, bucket):
     df = _events(spark, [0, 10, 20, 70, 80, 200], {1: "S9"})
-    got = sessions.sessionize(df, "user", "ts", "id", given=F.col("g"), bucket_seconds=900, hot_rows=hot).orderBy("id")
+    got = sessions.sessionize(df, "user", "ts", "id", given=F.col("g"), bucket_seconds=bucket).orderBy("id")
     assert [r.session_id for r in got.collect()] == ["u_1", "S9", "S9", "S9", "S9", "u_3"]
 
 
@@ -446,8 +478,7 @@ def test_sessions_do_not_depend_on_buckets(spark, bucket):
     rnd = random.Random(8)
     minutes = sorted(rnd.randrange(0, 6000) for _ in range(150))
     given = {i: f"g{i}" for i in range(0, 150, 17)}
-    got = sessions.sessionize(_events(spark, minutes, given), "user", "ts", "id", given=F.col("g"), bucket_seconds=bucket,
-                              hot_rows=10 ** 6 if bucket == 10 ** 6 else 0)
+    got = sessions.sessionize(_events(spark, minutes, given), "user", "ts", "id", given=F.col("g"), bucket_seconds=bucket)
     want, no, last, current = [], 0, None, None
     for i, m in enumerate(minutes):
         if i in given:
@@ -459,12 +490,11 @@ def test_sessions_do_not_depend_on_buckets(spark, bucket):
     assert sorted(tuple(r) for r in got.select("id", "session_no", "session_id").collect()) == want
 
 
-@pytest.mark.parametrize("hot", [0, 10 ** 6])
 @pytest.mark.parametrize("gap", [60, 3600, 90_000])
-def test_plain_sessions_match_a_loop(spark, gap, hot):
+def test_plain_sessions_match_a_loop(spark, gap):
     rnd = random.Random(4)
     minutes = sorted(rnd.randrange(0, 9000) for _ in range(200))
-    got = sessions.sessionize(_events(spark, minutes), "user", "ts", "id", gap_seconds=gap, hot_rows=hot)
+    got = sessions.sessionize(_events(spark, minutes), "user", "ts", "id", gap_seconds=gap)
     want, no, last = [], 0, None
     for i, m in enumerate(minutes):
         if last is None or (m - last) * 60 > gap:
@@ -474,18 +504,22 @@ def test_plain_sessions_match_a_loop(spark, gap, hot):
     assert sorted(tuple(r) for r in got.select("id", "session_no", "session_id").collect()) == want
 
 
-def test_sessions_keep_rows_without_a_user(spark):
-    df = spark.createDataFrame([(1, None, dt.datetime(2024, 1, 1), None), (2, "u", dt.datetime(2024, 1, 1), None)],
-                               "id INT, user STRING, ts TIMESTAMP, g STRING")
-    for hot in (0, 10 ** 6):
-        assert sessions.sessionize(df, "user", "ts", "id", hot_rows=hot).count() == 2
-        assert sessions.sessionize(df, "user", "ts", "id", given=F.col("g"), hot_rows=hot).count() == 2
+def test_sessions_keep_rows_without_a_user_or_a_time(spark):
+    """Rows without a time come first and are one session; both ways of finding sessions agree on it."""
+    at = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    df = spark.createDataFrame([(1, None, at(0), None), (2, "u", at(0), None), (3, "u", None, None), (4, "u", None, None),
+                                (5, "u", at(30), None), (6, None, None, None)], "id INT, user STRING, ts TIMESTAMP, g STRING")
+    want = [(1, 2), (2, 2), (3, 1), (4, 1), (5, 2), (6, 1)]
+    for given in (None, F.col("g")):
+        got = sessions.sessionize(df, "user", "ts", "id", given=given)
+        assert sorted(tuple(r) for r in got.select("id", "session_no").collect()) == want
 
 
-def test_only_the_hot_user_is_split(spark):
-    """A mix of one large and many small users gives the same sessions as one window for all."""
+def test_a_bucket_with_very_many_events(spark):
+    """A hot user whose events fall into few buckets gets the sessions of the others."""
     base = spark.range(4000).select(
-        "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("user"),
-        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(86400 * 20))).alias("ts"))
-    run = lambda hot: rows(sessions.sessionize(base, "user", "ts", "id", hot_rows=hot))
-    assert run(500) == run(10 ** 6)
+        "id", F.when(F.col("id") % 3 == 0, 100).otherwise(F.col("id") % 50).alias("user"),
+        F.timestamp_seconds(F.when(F.col("id") % 3 == 0, F.col("id") % 40).otherwise(F.pmod(F.xxhash64("id"), F.lit(86400 * 20)))).alias("ts"))
+    plain = rows(sessions.sessionize(base, "user", "ts", "id"))
+    assert plain == rows(sessions.sessionize(base, "user", "ts", "id", given=F.lit(None), bucket_seconds=30))
+    assert {r[-1] for r in plain if r[1] == 100} == {"100_1"}
