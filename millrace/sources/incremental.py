@@ -2,17 +2,15 @@
 
 ``offset_slice`` works on any DataFrame, JDBC tables included, and its range filter is pushed
 into the scan. ``poll`` drives it: each call hands over the rows that are new since the last
-call. ``OffsetTableSource`` is the same contract as a Structured Streaming source over Parquet.
+call, in slices of a bounded size if one is given.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from millrace.functions.types import type_by_name
 
@@ -43,9 +41,12 @@ def offset_slice(df: DataFrame, spec: str, start, end, inclusive: bool) -> DataF
 
 
 def poll(table: DataFrame, spec: str, state_path: str, handle: Callable[[DataFrame, int], None],
-         starting: str = "earliest") -> bool:
+         starting: str = "earliest", max_rows: int | None = None) -> bool:
     """Hand the next slice to ``handle(rows, batch_id)``; false when nothing is new.
 
+    With ``max_rows`` a slice holds about that many rows: its end is an offset that the table has, found
+    by a sketch, and the next call goes on after it, so no row is lost. Rows of one offset stay together.
+
     The range is logged before the batch runs and confirmed after it, so a batch that was cut
     short is handed over again with the same id and range. ``handle`` must therefore be
     idempotent per batch id, like every sink in :mod:`millrace.sinks`.
@@ -55,7 +56,7 @@ def poll(table: DataFrame, spec: str, state_path: str, handle: Callable[[DataFra
     if log and not log[-1]["done"]:
         entry = log[-1]
     else:
-        entry = _next_range(table, spec, log[-1] if log else None, starting)
+        entry = _next_range(table, spec, log[-1] if log else None, starting, max_rows)
         if entry is None:
             return False
         _write_log(spark, state_path, {**entry, "done": False})
@@ -64,29 +65,38 @@ def poll(table: DataFrame, spec: str, state_path: str, handle: Callable[[DataFra
     return True
 
 
-def _next_range(table: DataFrame, spec: str, last: dict | None, starting: str) -> dict | None:
+def _next_range(table: DataFrame, spec: str, last: dict | None, starting: str, max_rows: int | None) -> dict | None:
     """The first range of a table, or the range after the last one; None when it holds nothing."""
+    col, dtype = offset_column(table, spec)
     if last is None:
         lo, hi = offset_bounds(table, spec).first()
         if hi is None:
             return None
-        start = {"earliest": lo, "latest": hi}.get(starting, starting)
-        return {"id": 0, "start": start, "end": hi, "inclusive": True}
-    col, dtype = offset_column(table, spec)
-    # Only rows beyond the last end are looked at, so the scan can skip the files read before.
-    newer = table.where(col > F.lit(last["end"]).cast(dtype))
-    hi = newer.agg(F.max(col.cast(dtype))).first()[0]
-    return None if hi is None else {"id": last["id"] + 1, "start": last["end"], "end": hi, "inclusive": False}
+        entry = {"id": 0, "start": {"earliest": lo, "latest": hi}.get(starting, starting), "inclusive": True}
+        newer = table.where(col >= F.lit(str(entry["start"])).cast(dtype))
+    else:
+        # Only rows beyond the last end are looked at, so the scan can skip the files read before.
+        entry = {"id": last["id"] + 1, "start": last["end"], "inclusive": False}
+        newer = table.where(col > F.lit(last["end"]).cast(dtype))
+    top = [F.max(col.cast(dtype)), F.count(col)]
+    hi, n = newer.agg(*top).first()
+    if hi is None:
+        return None
+    if max_rows and n > max_rows:
+        hi = newer.agg(F.percentile_approx(col.cast(dtype), max_rows / n, 10_000)).first()[0]
+    return {**entry, "end": hi}
 
 
-_LOG = "id BIGINT, start STRING, `end` STRING, inclusive BOOLEAN, done BOOLEAN"
+_ENTRY = "id BIGINT, start STRING, `end` STRING, inclusive BOOLEAN, done BOOLEAN"
+_LOG = f"{_ENTRY}, batch BIGINT"
 
 
 def _read_log(spark: SparkSession, path: str) -> list[dict]:
-    """The newest log entry, in a list; a finished entry outranks its own start."""
+    """The newest log entry, in a list. There is one folder per batch; the listing tells the newest."""
     try:
-        rows = spark.read.schema(_LOG).json(path)
-        last = rows.orderBy(F.desc("id"), F.desc("done")).limit(1).collect()
+        log = spark.read.schema(_LOG).json(path)
+        newest = log.agg(F.max("batch")).first()[0]
+        last = log.where(F.col("batch") == newest).collect()
     except AnalysisException as error:  # no log yet
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -95,114 +105,6 @@ def _read_log(spark: SparkSession, path: str) -> list[dict]:
 
 
 def _write_log(spark: SparkSession, path: str, entry: dict) -> None:
-    spark.createDataFrame([(entry["id"], str(entry["start"]), str(entry["end"]), entry["inclusive"],
-                            entry["done"])], _LOG).coalesce(1).write.mode("append").json(path)
-
-
-class _Range(InputPartition):
-    """Row groups of one file, and the offsets ``(low, high]`` to keep."""
-
-    def __init__(self, path: str, groups: list[int], low: int | None, high: int):
-        self.path, self.groups, self.low, self.high = path, groups, low, high
-
-
-class OffsetTableSource(DataSource):
-    """``readStream.format("offset_table")`` over a Parquet path.
-
-    Options: ``path``, ``offsetColumn`` (a stored integer column), ``startingOffset``
-    (``earliest``, ``latest`` or a value). Each batch reads one task per file whose offset range
-    overlaps the batch, and only the matching row groups of that file.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "offset_table"
-
-    def _options(self) -> dict[str, str]:
-        return {k.lower(): v for k, v in self.options.items()}
-
-    def schema(self) -> T.StructType:
-        import pyarrow.dataset as ds
-        from pyspark.sql.pandas.types import from_arrow_schema
-
-        return from_arrow_schema(ds.dataset(self._options()["path"], format="parquet").schema)
-
-    def streamReader(self, schema: T.StructType) -> "OffsetTableReader":
-        options = self._options()
-        if "offsetcolumn" not in options:
-            raise ValueError("option offsetColumn is required")
-        return OffsetTableReader(options["path"], options["offsetcolumn"],
-                                 options.get("startingoffset", "earliest"), schema)
-
-
-class OffsetTableReader(DataSourceStreamReader):
-    def __init__(self, path: str, column: str, starting: str, schema: T.StructType):
-        by_lower = {f.name.lower(): f.name for f in schema.fields}
-        if column.lower() not in by_lower:
-            raise ValueError(f"offset column {column!r} not in {schema.names}")
-        self.path, self.column, self.starting, self.names = path, by_lower[column.lower()], starting, schema.names
-        self._ranges: dict[str, list[tuple[int, int, int]]] = {}
-
-    def _row_groups(self) -> dict[str, list[tuple[int, int, int]]]:
-        """Per file the (row group, min, max) of the offset, from footers; each file is read once."""
-        import pyarrow.dataset as ds
-
-        def read(fragment) -> None:
-            found = []
-            for group in fragment.row_groups:
-                stats = (group.statistics or {}).get(self.column)
-                if stats and stats.get("max") is not None:
-                    found.append((group.id, stats["min"], stats["max"]))
-                elif stats is None and group.num_rows:
-                    values = fragment.subset(row_group_ids=[group.id]).to_table(columns=[self.column])
-                    values = values.column(0).drop_null().to_pylist()
-                    if values:
-                        found.append((group.id, min(values), max(values)))
-            self._ranges[fragment.path] = found
-
-        fresh = [f for f in ds.dataset(self.path, format="parquet").get_fragments() if f.path not in self._ranges]
-        with ThreadPoolExecutor(16) as pool:
-            list(pool.map(read, fresh))
-        return self._ranges
-
-    def _extreme(self, pick, index: int):
-        values = [g[index] for groups in self._row_groups().values() for g in groups]
-        return pick(values) if values else None
-
-    def initialOffset(self) -> dict:
-        # "after" is exclusive; the first slice includes its start, hence the step back by one.
-        if self.starting == "earliest":
-            return {"after": None}
-        start = self._extreme(max, 2) if self.starting == "latest" else int(self.starting)
-        return {"after": None if start is None else start - 1}
-
-    def latestOffset(self) -> dict:
-        top = self._extreme(max, 2)
-        return self.initialOffset() if top is None else {"after": top}
-
-    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        low, high = start["after"], end["after"]
-        if high is None or low == high:
-            return []
-        out = []
-        for path, groups in self._row_groups().items():
-            hit = [g for g, lo, hi in groups if lo <= high and (low is None or hi > low)]
-            if hit:
-                out.append(_Range(path, hit, low, high))
-        return out
-
-    def read(self, partition: _Range) -> Iterator:
-        import pyarrow.compute as pc
-        import pyarrow.dataset as ds
-        from pyarrow.fs import FileSystem
-
-        filesystem, _ = FileSystem.from_uri(self.path)
-        keep = pc.field(self.column) <= partition.high
-        if partition.low is not None:
-            keep = keep & (pc.field(self.column) > partition.low)
-        (fragment,) = ds.dataset(partition.path, format="parquet", filesystem=filesystem).get_fragments()
-        yield from fragment.subset(row_group_ids=partition.groups).to_batches(columns=self.names, filter=keep)
-
-    def commit(self, end: dict) -> None:
-        pass
-
+    """A batch's entry; that it is done replaces that it began."""
+    row = (entry["id"], str(entry["start"]), str(entry["end"]), entry["inclusive"], entry["done"])
+    spark.createDataFrame([row], _ENTRY).coalesce(1).write.mode("overwrite").json(f"{path}/batch={entry['id']}")

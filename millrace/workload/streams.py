@@ -6,18 +6,15 @@ them where the stream is text or messages and where several micro-batches matter
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.functions.records import TRADE, parse_delimited
-from millrace.operators import joins
 from millrace.plans import balances, bank_transfers
 from millrace.session import work_path
 from millrace.sinks.writers import batch_folder_sink, read_batches
 from millrace.sources import incremental
 from millrace.sources.envelopes import ENVELOPE, decode, to_envelope
-from millrace.sources.files import stream_table, table
+from millrace.sources.files import table
 from millrace.streaming import operators as so
 from millrace.streaming.run import run_available_now, run_foreach_batch, stream_sql
 from millrace.workload.jobs import (BALANCE_SQL, FUND_SQL, SEED_DAY, TRANSFER_SQL, fund_records, seed_and_trades,
@@ -25,20 +22,32 @@ from millrace.workload.jobs import (BALANCE_SQL, FUND_SQL, SEED_DAY, TRANSFER_SQ
 from millrace.workload.registry import query
 from millrace.workload.scalars import ledger_lines, trade_lines
 
-BATCHES = 3  # micro-batches of a staged stream
+BATCHES, FILES = 3, 4  # micro-batches of a staged stream, and files of each
 
 
 def events_stream(spark, d) -> DataFrame:
-    """Events with an event time that watermarks accept."""
-    return stream_table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    """Events in several batches in the order of their time, which watermarks accept."""
+    events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    path, per_trigger = stage(events, "events", order="ts")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
+
 
+def stage(df: DataFrame, label: str, fmt: str = "parquet", order: str | None = None) -> tuple[str, int]:
+    """Copy of the rows as a stream input, and the files per trigger that give ``BATCHES`` batches.
 
-def stage(df: DataFrame, label: str, fmt: str = "parquet") -> tuple[str, int]:
-    """Copy of the rows as a stream input, and the files per trigger that give ``BATCHES`` batches."""
+    With ``order``, the batches follow each other by that column: a source reads older files first.
+    """
     path = work_path(df.sparkSession, label)
-    parts = max(df.sparkSession.sparkContext.defaultParallelism, BATCHES)
-    df.repartition(parts).write.format(fmt).save(path)
-    return path, math.ceil(parts / BATCHES)
+    if order is None:
+        df.repartition(BATCHES * FILES).write.format(fmt).save(path)
+        return path, FILES
+    cuts = df.agg(F.percentile_approx(order, [i / BATCHES for i in range(1, BATCHES)], 1000)).first()[0] or []
+    batch = F.lit(0)
+    for cut in cuts:
+        batch = batch + F.coalesce((F.col(order) > F.lit(cut)).cast("int"), F.lit(0))
+    for i in range(BATCHES):
+        df.where(batch == i).repartition(FILES).write.format(fmt).mode("append").save(path)
+    return path, FILES
 
 
 # --- windows (batch and stream share the expression) -----------------------------------------
@@ -80,7 +89,9 @@ def stream_watermark_agg(spark, d):
 @query("stream_word_count", """
 SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY 1""")
 def stream_word_count(spark, d):
-    return run_available_now(so.running_count(so.words(stream_table(spark, d, "documents"), "text"), "word"), "complete")
+    path, per_trigger = stage(table(spark, d, "documents").select("text"), "texts")
+    stream = spark.readStream.schema("text STRING").option("maxFilesPerTrigger", per_trigger).parquet(path)
+    return run_available_now(so.running_count(so.words(stream, "text"), "word"), "complete")
 
 
 @query("stream_running_count", "SELECT event_type, count(*) AS n FROM events WHERE value > 10 GROUP BY 1")
@@ -113,13 +124,13 @@ def stream_dedup_rows(spark, d):
 # --- pass-through, parsing, union ------------------------------------------------------------
 
 
-@query("stream_file_scan", "SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_nationkey < 20")
+@query("stream_file_scan", "SELECT c_custkey, c_name, c_nationkey FROM customer")
 def stream_file_scan(spark, d):
     """A directory of CSV files with a given schema."""
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     path, per_trigger = stage(c.select(F.to_csv(F.struct("*"), {"sep": ";"}).alias("value")), "customer-csv", "text")
     stream = spark.readStream.option("sep", ";").option("maxFilesPerTrigger", per_trigger).schema(c.schema).csv(path)
-    return run_available_now(stream.where("c_nationkey < 20"))
+    return run_available_now(stream)
 
 
 @query("stream_passthrough", "SELECT CAST(user_id AS VARCHAR) AS key, event_type AS value FROM events")
@@ -154,13 +165,13 @@ def stream_sql_view(spark, d):
                                         "SELECT event_id, upper(event_type) AS kind FROM mr_events WHERE value > 20"))
 
 
-@query("stream_foreach_batch", "SELECT event_id, event_type, value FROM events WHERE event_type = 'purchase'")
+@query("stream_foreach_batch", "SELECT event_id, event_type, value FROM events")
 def stream_foreach_batch(spark, d):
     path, per_trigger = stage(table(spark, d, "events").select("event_id", "event_type", "value"), "events")
     stream = spark.readStream.schema("event_id BIGINT, event_type STRING, value DOUBLE").option(
         "maxFilesPerTrigger", per_trigger).parquet(path)
     out = work_path(spark, "batches")
-    run_foreach_batch(stream.where("event_type = 'purchase'"), batch_folder_sink(out))
+    run_foreach_batch(stream, batch_folder_sink(out))
     return read_batches(spark, out).drop("batch_id")
 
 
@@ -181,23 +192,23 @@ WHERE a.event_type = 'click' AND b.event_type = 'view'""")
 def stream_stream_join(spark, d):
     e = events_stream(spark, d)
     clicks = e.where("event_type = 'click'").select(F.col("event_id").alias("click_id"), "user_id", F.col("ts").alias("t1"))
-    views = events_stream(spark, d).where("event_type = 'view'").select(
+    views = e.where("event_type = 'view'").select(
         F.col("event_id").alias("view_id"), F.col("user_id").alias("viewer"), F.col("ts").alias("t2"))
     joined = so.interval_stream_join(clicks, views, ("user_id", "viewer"), ("t1", "t2"), ("10 seconds", "15 seconds"), 6 * 3600)
     return run_available_now(joined.select("click_id", "view_id", "user_id"))
 
 
 @query("stream_refreshing_lookup", """
-SELECT event_id, user_id, c_name FROM events JOIN customer ON user_id = c_custkey WHERE event_type = 'signup'""")
+SELECT event_id, user_id, c_name FROM events JOIN customer ON user_id = c_custkey""")
 def stream_refreshing_lookup(spark, d):
     """A side table that is read again between batches once it is older than its time to live."""
     path, per_trigger = stage(table(spark, d, "events").select("event_id", "event_type", "user_id"), "events")
     stream = spark.readStream.schema("event_id BIGINT, event_type STRING, user_id BIGINT").option(
         "maxFilesPerTrigger", per_trigger).parquet(path)
-    names = so.RefreshingLookup(lambda: joins.broadcast_if_small(
-        table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_name")), ttl=6)
+    names = so.RefreshingLookup(
+        lambda: table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_name"), ttl=6)
     out = work_path(spark, "named")
-    run_foreach_batch(stream.where("event_type = 'signup'"), batch_folder_sink(
+    run_foreach_batch(stream, batch_folder_sink(
         out, lambda rows: rows.join(names.current(), "user_id").select("event_id", "user_id", "c_name")))
     return read_batches(spark, out).drop("batch_id")
 
@@ -217,6 +228,21 @@ def stream_balance(spark, d):
     return balances.balances_from(spark, seed, out)
 
 
+@query("balance_compacted", BALANCE_SQL)
+def balance_compacted(spark, d):
+    """Batches of changes, some folded into a base; a folded one that comes again does not count twice."""
+    seed, trades = seed_and_trades(spark, d)
+    deltas, out = balances.stock_deltas(trades, SEED_DAY), work_path(spark, "deltas")
+    part = F.pmod(F.xxhash64("rowkey", "last_no", "delta"), F.lit(3))
+    sink = balances.delta_sink(out)
+    for i in (0, 1):
+        sink(deltas.where(part == i), i)
+    balances.compact(spark, out, 1)
+    sink(deltas.where(part == 1), 1)
+    sink(deltas.where(part == 2), 2)
+    return balances.balances_from(spark, seed, out)
+
+
 @query("stream_fund_balance", FUND_SQL)
 def stream_fund_balance(spark, d):
     """Two text streams, trades and ledger records, into one balance."""
@@ -237,7 +263,9 @@ def bank_transfer_stream(spark, d):
     path, per_trigger = stage(transfer_messages(table(spark, d, "events")), "transfer-messages")
     stream = spark.readStream.schema("value BINARY, version BIGINT").option("maxFilesPerTrigger", per_trigger).parquet(path)
     out = work_path(spark, "transfers")
-    run_foreach_batch(bank_transfers.transfer_rows(stream), batch_folder_sink(out))
+    store = bank_transfers.transfer_store(out, ["version"])
+    run_foreach_batch(bank_transfers.transfer_rows(stream), store.sink())
+    store.compact(spark, 1)
     return bank_transfers.read_transfers(spark, out, ["version"])
 
 
@@ -265,26 +293,26 @@ def incremental_stream(spark, d):
     return read_batches(spark, out)
 
 
+@query("incremental_slices", f"SELECT o_orderkey, {_OFFSET} AS pos, true AS bounded FROM orders")
+def incremental_slices(spark, d):
+    """Polls of a bounded size over a stored offset column; the slices hold every row once."""
+    path, state, out = (work_path(spark, x) for x in ("offset-table", "offsets", "polled"))
+    table(spark, d, "orders").select("o_orderkey", F.expr(_OFFSET).alias("pos")).repartitionByRange("pos").write.parquet(path)
+    rows = spark.read.parquet(path)
+    most = rows.count() // 3
+    while incremental.poll(rows, "pos", state, batch_folder_sink(out), max_rows=most):
+        pass
+    sizes = read_batches(spark, out).groupBy("batch_id").agg((F.count(F.lit(1)) <= 1.1 * most + 10).alias("bounded"))
+    return read_batches(spark, out).join(sizes, "batch_id").select("o_orderkey", "pos", "bounded")
+
+
 @query("bank_transfer_incremental", TRANSFER_SQL)
 def bank_transfer_incremental(spark, d):
     """Transfers from a growing ledger table instead of messages, read by day and version."""
     records, spec = transfer_records(table(spark, d, "events")), "bigint(bizdate) * 1000000 + version:long"
     first = records.where("bizdate < 20240116")
     state, out = work_path(spark, "offsets"), work_path(spark, "transfers")
-    sink = batch_folder_sink(out, lambda rows: bank_transfers.project_transfers(rows, ["version"]))
+    sink = bank_transfers.transfer_store(out, ["version"]).sink(lambda rows: bank_transfers.project_transfers(rows, ["version"]))
     for version in (first, records):
         incremental.poll(version, spec, state, sink)
     return bank_transfers.read_transfers(spark, out, ["version"])
-
-
-@query("offset_table_stream", f"""
-SELECT o_orderkey, o_orderstatus, {_OFFSET} AS pos FROM orders WHERE {_OFFSET} >= 40000000""")
-def offset_table_stream(spark, d):
-    """The same contract as a stream source, from a given offset on."""
-    path = work_path(spark, "offset-table")
-    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.expr(_OFFSET).alias("pos"))
-    o.repartitionByRange("pos").write.parquet(path)
-    spark.dataSource.register(incremental.OffsetTableSource)
-    stream = (spark.readStream.format("offset_table").option("path", path).option("offsetColumn", "pos")
-              .option("startingOffset", "40000000").load())
-    return run_available_now(stream)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import records
 from millrace.plans import balances
-from millrace.sinks.writers import RowWriter
+from millrace.sinks.writers import RowWriter, batch_folder_sink
 from millrace.sources import files, incremental
 from millrace.streaming import operators as so
 from millrace.streaming.run import run_available_now, run_foreach_batch, start_continuous
@@ -188,28 +188,24 @@ def test_processing_time_trigger(spark, tmp_path):
     assert seen == [1]
 
 
-def test_offset_table_source(spark, tmp_path):
-    path, ck, out = str(tmp_path / "t"), str(tmp_path / "ck"), str(tmp_path / "out")
-    spark.dataSource.register(incremental.OffsetTableSource)
-    add = lambda *v: spark.createDataFrame([(x,) for x in v], "o BIGINT").coalesce(1).write.mode("append").parquet(path)
+def test_polls_in_slices_lose_nothing(spark, tmp_path):
+    path, state, out = (str(tmp_path / x) for x in ("t", "state", "out"))
+    spark.range(1000).select(F.col("id").alias("o")).repartitionByRange(4, "o").write.parquet(path)
+    polls = 0
+    while incremental.poll(spark.read.parquet(path), "o", state, batch_folder_sink(out), max_rows=300):
+        polls += 1
+    assert polls == 4 and len(list((tmp_path / "state").glob("batch=*"))) == polls
+    assert all(len(list(folder.glob("*.json"))) == 1 for folder in (tmp_path / "state").glob("batch=*"))
+    got = spark.read.parquet(out)
+    assert sorted(r.o for r in got.collect()) == list(range(1000))
+    assert got.groupBy("batch_id").count().agg(F.max("count")).first()[0] <= 310
 
-    def run(start="3"):
-        stream = spark.readStream.format("offset_table").option("path", path).option("offsetColumn", "O").option("startingOffset", start).load()
-        return sorted(r.o for r in run_available_now(stream, "append", ck, out).collect())
 
-    add(1, 2, 3, 4, 5, None)
-    assert run() == [3, 4, 5]
-    add(6, 7)
-    assert run() == [3, 4, 5, 6, 7]
-    assert run() == [3, 4, 5, 6, 7]
-
-
-def test_offset_table_latest(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.dataSource.register(incremental.OffsetTableSource)
-    spark.createDataFrame([(1,), (5,)], "o BIGINT").write.parquet(path)
-    stream = spark.readStream.format("offset_table").option("path", path).option("offsetColumn", "o").option("startingOffset", "latest").load()
-    assert [r.o for r in run_available_now(stream).collect()] == [5]
+def test_offset_range_reaches_the_scan(spark, tmp_path):
+    spark.range(100).select(F.col("id").alias("o")).write.parquet(str(tmp_path / "t"))
+    rows_after = incremental.offset_slice(spark.read.parquet(str(tmp_path / "t")), "o", 10, 20, inclusive=False)
+    plan = rows_after._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(o,10)" in plan and "LessThanOrEqual(o,20)" in plan
 
 
 def test_lines_carry_their_arrival_time(spark, tmp_path):
@@ -230,7 +226,7 @@ def test_repeated_message_counts_once_over_batches(spark, tmp_path):
     def run():
         trades = source(spark, inp, "value STRING").transform(balances.distinct_messages).transform(records.parse_delimited, records.TRADE)
         run_foreach_batch(balances.stock_deltas(trades, 20200101), balances.delta_sink(out), ck)
-        return spark.read.parquet(out).agg(F.sum("delta")).first()[0]
+        return balances.delta_store(out).read(spark).agg(F.sum("delta")).first()[0]
 
     put(spark, inp, [(line(1),), (line(1),), (line(2),)], "value STRING")
     assert run() == 20
