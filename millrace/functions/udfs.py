@@ -38,21 +38,32 @@ def mergeable_average(df: DataFrame, keys: list[str], value: str, name: str, par
     return merged.select(*keys, finish_avg(F.col("_state")).alias(name))
 
 
+#: Buffers that a task merges before it sends them on.
+PARTIAL_KEYS = 50_000
+
+
 def user_aggregate(df: DataFrame, keys: list[str], buffer: str, result: str,
                    reduce: Callable[[pd.DataFrame], pd.DataFrame], merge: Callable[[pd.DataFrame], pd.DataFrame],
                    finish: Callable[[pd.DataFrame], pd.Series], name: str) -> DataFrame:
     """Aggregate written in Python, with partial results before the shuffle.
 
     ``reduce`` turns an Arrow batch of rows into one buffer row per key, ``merge`` combines buffer
-    rows of one key, ``finish`` gives the result of a merged buffer. ``buffer`` and ``result`` are
+    rows of equal keys, ``finish`` gives the result of a merged buffer. ``buffer`` and ``result`` are
     the DDL of the buffer columns and of the result. Only buffers are shuffled, and a task sees
     the buffers of a key as an iterator of batches, never as a whole.
     """
     key_ddl = ", ".join(f"`{k}` {t}" for k, t in df.select(*keys).dtypes)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        merged = None
         for batch in batches:
-            yield reduce(batch)
+            found = reduce(batch)
+            merged = found if merged is None else merge(pd.concat([merged, found], ignore_index=True))
+            if len(merged) > PARTIAL_KEYS:  # very many keys: what is merged so far goes on
+                yield merged
+                merged = None
+        if merged is not None:
+            yield merged
 
     def final(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         merged = None

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.text import joined_key
 from millrace.functions.types import as_text
+from millrace.sinks.folded import FoldedBatches
 
 FAMILY = "cf"
 CELL_COLUMNS = ["rowkey", "family", "qualifier", "value"]
@@ -81,6 +82,17 @@ def latest_cells(cells: DataFrame, version: Sequence[str]) -> DataFrame:
     return merged.select("rowkey", "family", "qualifier", F.col("_newest.value").alias("value"))
 
 
+def latest_versions(cells: DataFrame, version: Sequence[str]) -> DataFrame:
+    """As :func:`latest_cells`, with the version columns kept, so that results can be merged again."""
+    newest = F.max(F.struct(*version, "value")).alias("_newest")
+    return cells.groupBy("rowkey", "family", "qualifier").agg(newest).select("rowkey", "family", "qualifier", "_newest.*")
+
+
+def cell_store(path: str, version: Sequence[str]) -> FoldedBatches:
+    """Stored cells that batches upsert into: a batch costs what it holds, and a replay changes nothing."""
+    return FoldedBatches(path, lambda cells: latest_versions(cells, version))
+
+
 def keyed_upsert(existing: DataFrame, incoming: DataFrame, version: Sequence[str]) -> DataFrame:
     """Cell-level upsert: a column that is absent from a newer row keeps its older value."""
     return latest_cells(existing.unionByName(incoming), version)

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.text import joined_key
-from millrace.operators.cells import rows_to_cells, slice_by_day
-from millrace.sinks.writers import batch_folder_sink
+from millrace.operators.cells import rows_to_cells, slice_by_day, split_keyless
+from millrace.sinks.folded import FoldedBatches
 
 # Balance keys, and the trade flags that add to or subtract from a stock balance.
 STOCK_KEY = ("fundid", "secuid", "orgid", "market", "stkcode", "serverid")
@@ -43,7 +43,11 @@ def signed_quantity(flag: Column, quantity: Column) -> Column:
 
 
 def stock_deltas(trades: DataFrame, after_day: int | None = None) -> DataFrame:
-    """``key, delta, no, day`` per counted trade; ``after_day`` keeps trades later than the seed."""
+    """``key, delta, no, day`` per counted trade; ``after_day`` keeps trades later than the seed.
+
+    Trades without a complete key have no balance; :func:`rejects` gives them.
+    """
+    trades, _ = split_keyless(trades, STOCK_KEY)
     rows = trades if after_day is None else trades.where(F.col("trddate") > after_day)
     rows = rows.where(counts(F.col("bsflag"), F.col("matchtype")))
     return rows.select(joined_key(*map(F.col, STOCK_KEY)).alias("rowkey"),
@@ -52,7 +56,11 @@ def stock_deltas(trades: DataFrame, after_day: int | None = None) -> DataFrame:
 
 
 def fund_deltas(trades: DataFrame, ledger: DataFrame, after_day: int | None = None) -> DataFrame:
-    """Union of trade clearing amounts and ledger effects, as ``key, delta, no, day``."""
+    """Union of trade clearing amounts and ledger effects, as ``key, delta, no, day``.
+
+    Records without a complete key have no balance; :func:`rejects` gives them.
+    """
+    trades, ledger = split_keyless(trades, FUND_KEY)[0], split_keyless(ledger, FUND_KEY)[0]
     key = joined_key(*map(F.col, FUND_KEY)).alias("rowkey")
     a = trades.select(key, F.col("clearamt").alias("delta"), F.col("matchsno").alias("last_no"),
                       F.col("trddate").alias("last_day"))
@@ -62,6 +70,11 @@ def fund_deltas(trades: DataFrame, ledger: DataFrame, after_day: int | None = No
     return both if after_day is None else both.where(F.col("last_day") > after_day)
 
 
+def rejects(records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Records of which a part of the key is missing or cannot be read."""
+    return split_keyless(records, keys)[1]
+
+
 def sum_deltas(deltas: DataFrame) -> DataFrame:
     """One row per key: total change and the latest (day, no)."""
     total = deltas.groupBy("rowkey").agg(F.sum("delta").alias("delta"),
@@ -77,22 +90,23 @@ def running_balance(seed: DataFrame, deltas: DataFrame) -> DataFrame:
     return merged.withColumnRenamed("delta", "balance")
 
 
-def delta_sink(path: str, to_deltas=sum_deltas):
-    """Stream sink: each batch's changes, summed per key, in the folder of its batch id.
+def delta_store(path: str) -> FoldedBatches:
+    """Summed changes by batch id; a batch costs what it holds, and folding keeps the latest (day, no)."""
+    return FoldedBatches(path, sum_deltas)
 
-    A replayed batch overwrites its folder, so it counts once; the cost of a batch depends on the
-    batch alone and not on the number of balances.
-    """
-    return batch_folder_sink(path, to_deltas)
+
+def delta_sink(path: str, to_deltas=sum_deltas):
+    """Stream sink: each batch's changes, summed per key. A replayed batch counts once, folded or not."""
+    return delta_store(path).sink(to_deltas)
 
 
 def balances_from(spark: SparkSession, seed: DataFrame, path: str) -> DataFrame:
     """Balances now: the seed and all batches written by :func:`delta_sink`."""
-    return running_balance(seed, spark.read.parquet(path))
+    deltas = delta_store(path).read(spark)
+    empty = spark.createDataFrame([], "rowkey STRING, delta BIGINT, last_no BIGINT, last_day BIGINT")
+    return running_balance(seed, empty if deltas is None else deltas)
 
 
-def compact(spark: SparkSession, seed: DataFrame, path: str, upto: int, out: str) -> DataFrame:
-    """New seed that includes all batches up to ``upto``; later batches are added to it as before."""
-    done = spark.read.parquet(path).where(F.col("batch_id") <= upto)
-    running_balance(seed, done).select("rowkey", "balance").write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+def compact(spark: SparkSession, path: str, upto: int) -> None:
+    """Fold the batches up to ``upto``; balances stay as they are."""
+    delta_store(path).compact(spark, upto)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.records import LEDGER_JSON, parse_json
 from millrace.functions.text import joined_key, null_to_empty
+from millrace.sinks.folded import FoldedBatches
 
 # Business codes of transfers; output column by input column; row key columns.
 TRANSFER_CODES = ("160021", "160022", "140055", "140057")
@@ -58,7 +59,16 @@ def merge_transfers(rows: DataFrame, version: Sequence[str]) -> DataFrame:
     return newest.select("rowkey", *[F.col(f"_new.{c}").alias(c) for c in OUTPUT_COLUMNS])
 
 
+def transfer_store(path: str, version: Sequence[str]) -> FoldedBatches:
+    """Stored transfers that batches upsert into, newest by the version columns."""
+    def fold(rows: DataFrame) -> DataFrame:
+        newest = rows.groupBy("rowkey").agg(F.max(F.struct(*version, *OUTPUT_COLUMNS)).alias("_new"))
+        return newest.select("rowkey", "_new.*")
+
+    return FoldedBatches(path, fold)
+
+
 def read_transfers(spark: SparkSession, path: str, version: Sequence[str]) -> DataFrame:
-    """Merged transfers from the batch folders of the stream sink."""
-    return merge_transfers(spark.read.parquet(path), [*version, "batch_id"])
+    """Merged transfers of the store."""
+    return transfer_store(path, version).read(spark).select("rowkey", *OUTPUT_COLUMNS)
 

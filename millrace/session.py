@@ -83,13 +83,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, for row work that is far dearer than a shuffle.
-
-    Only a table with fewer files than the session has cores is moved; a large table is
-    already split finely enough and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -12,16 +12,22 @@ def write_files(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
     df.write.format(fmt).mode(mode).options(**options).partitionBy(*partition_by).save(path)
 
 
-def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], files_per_key: int = 1) -> None:
+def write_partitioned(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Directory per key value. Rows are clustered first, so that a task does not open a file per key.
 
-    ``files_per_key`` spreads a large key over several tasks.
+    The clustering is a rebalance: Spark splits a large key over as many tasks as its bytes need.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_key))
-    clustered = df.repartition(*[F.col(k) for k in keys], salt) if files_per_key > 1 else df.repartition(*keys)
+    df.createOrReplaceTempView("mr_rebalanced")
+    names = ", ".join(f"`{k}`" for k in keys)
+    clustered = df.sparkSession.sql(f"SELECT /*+ REBALANCE({names}) */ * FROM mr_rebalanced")
     clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
+def bucket_count(rows: int, rows_per_bucket: int = 2_000_000, least: int = 8) -> int:
+    """Buckets for a table of so many rows: a power of two, so that tables of different sizes still line up."""
+    return max(least, 1 << max(0, -(-rows // rows_per_bucket) - 1).bit_length())
+
+
 def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, keys: Sequence[str]) -> None:
     """Bucketed and sorted table: later joins and groupings on ``keys`` need no shuffle."""
     (df.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))

@@ -366,6 +366,15 @@ def running_balance(spark, d):
     return balances.running_balance(seed, balances.stock_deltas(trades, SEED_DAY))
 
 
+@query("balance_rejects", f"""
+SELECT matchsno, stkcode, trddate FROM ({TRADE_SQL}) WHERE matchsno % 7 = 0""")
+def balance_rejects(spark, d):
+    """Trades whose organisation cannot be read move no balance; they come out on a side."""
+    trades = trade_lines(spark, d).transform(parse_delimited, TRADE)
+    damaged = trades.withColumn("orgid", F.when(F.col("matchsno") % 7 != 0, F.col("orgid")))
+    return balances.rejects(damaged, balances.STOCK_KEY).select("matchsno", "stkcode", "trddate")
+
+
 _FUND_KEY = "{c} || '_0001_0_1'"
 
 

@@ -17,7 +17,7 @@ ORACLES: dict[str, str] = {}
 def prepare(spark: SparkSession) -> None:
     """Settings that results depend on, and small-machine settings for local sessions."""
     for name in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit",
-                 "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+                 "spark.sql.adaptive.forceOptimizeSkewedJoin", "spark.sql.streaming.stateStore.providerClass"):
         spark.conf.set(name, RECOMMENDED[name])
     # Functions travel with their code, so executors need no copy of the package.
     cloudpickle.register_pickle_by_value(millrace)

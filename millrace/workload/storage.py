@@ -10,7 +10,7 @@ from millrace.functions.dates import compact_day
 from millrace.functions.records import parse_delimited
 from millrace.functions.text import joined_key, padded_key, salted_key
 from millrace.functions.types import schema_from_names
-from millrace.operators.cells import (cells_to_wide, export_sorted, key_range, keyed_upsert, rows_to_cells)
+from millrace.operators.cells import (cells_to_wide, export_sorted, key_range, cell_store, rows_to_cells)
 from millrace.session import cut_lineage, work_path
 from millrace.sinks import writers
 from millrace.sources import files, incremental
@@ -152,7 +152,7 @@ def partitioned_write(spark, d):
     """Directory per status; the filter on it prunes whole directories."""
     path = work_path(spark, "orders-by-status")
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    writers.write_partitioned(o, path, ["o_orderstatus"], files_per_key=4)
+    writers.write_partitioned(o, path, ["o_orderstatus"])
     return spark.read.parquet(path).where("o_orderstatus <> 'P'")
 
 
@@ -164,8 +164,9 @@ SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey""")
 def bucketed_table(spark, d):
     """Two tables bucketed on the join key: the join reads them without a shuffle."""
     o, c = _temp_name("mr_orders_b"), _temp_name("mr_customer_b")
-    writers.write_bucketed(table(spark, d, "orders").select("o_custkey", "o_orderkey"), o, work_path(spark, o), 8, ["o_custkey"])
-    writers.write_bucketed(table(spark, d, "customer").select("c_custkey", "c_name"), c, work_path(spark, c), 8, ["c_custkey"])
+    buckets = writers.bucket_count(table(spark, d, "orders").count())
+    writers.write_bucketed(table(spark, d, "orders").select("o_custkey", "o_orderkey"), o, work_path(spark, o), buckets, ["o_custkey"])
+    writers.write_bucketed(table(spark, d, "customer").select("c_custkey", "c_name"), c, work_path(spark, c), buckets, ["c_custkey"])
     return spark.table(o).join(spark.table(c).hint("merge"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
 
 
@@ -179,11 +180,11 @@ def managed_table(spark, d):
     return spark.table(name)
 
 
-@query("catalog_table_scan", "SELECT p_partkey, p_brand, p_size FROM part WHERE p_size > 25")
+@query("catalog_table_scan", "SELECT p_partkey, p_brand, p_size FROM part")
 def catalog_table_scan(spark, d):
     name = _temp_name("mr_part")
     table(spark, d, "part").select("p_partkey", "p_brand", "p_size").write.option("path", work_path(spark, name)).saveAsTable(name)
-    return spark.table(name).where("p_size > 25")
+    return spark.table(name)
 
 
 @query("external_table", "SELECT n_nationkey, n_name, c_custkey FROM nation JOIN customer ON c_nationkey = n_nationkey")
@@ -288,19 +289,25 @@ def keyed_upsert_query(spark, d):
     cells = wide.unpivot(["rowkey", "o_orderdate", "o_orderkey"], ["o_orderstatus", "priority"], "qualifier", "value")
     cells = cells.where("value IS NOT NULL").withColumn("family", F.lit("cf"))
     cut = F.lit("1998-01-01").cast("timestamp_ntz")
-    return keyed_upsert(cells.where(F.col("o_orderdate") < cut), cells.where(F.col("o_orderdate") >= cut),
-                        ["o_orderdate", "o_orderkey"])
-
-
-@query("gen_keyed_rows", """
-SELECT lpad(CAST(i AS VARCHAR), 8, '0') AS rowkey, 'cf' AS family, 'field' AS qualifier, 'abc' AS value
-FROM (SELECT unnest(range(0, (SELECT count(*) + 1 FROM lineitem))) AS i)""")
-def gen_keyed_rows(spark, d):
-    """As many generated keyed rows as there are line items, written as a sorted export."""
-    rows = spark.range(table(spark, d, "lineitem").count() + 1)
-    cells = rows.select(padded_key(F.col("id")).alias("rowkey"), F.lit("cf").alias("family"),
-                        F.lit("field").alias("qualifier"), F.lit("abc").alias("value"))
-    path = work_path(spark, "generated")
+    old, new = cells.where(F.col("o_orderdate") < cut), cells.where(F.col("o_orderdate") >= cut)
+    store = cell_store(work_path(spark, "cells"), ["o_orderdate", "o_orderkey"])
+    write = store.sink()
+    write(old, 0)
+    store.compact(spark, 0)
+    for rows, batch_id in ((new, 1), (new, 1), (old, 0)):  # batches that come again change nothing
+        write(rows, batch_id)
+    return store.read(spark).select("rowkey", "family", "qualifier", "value")
+
+
+@query("keyed_rows", """
+SELECT lpad(CAST(l_orderkey AS VARCHAR), 8, '0') || '_' || l_linenumber AS rowkey, 'cf' AS family, 'field' AS qualifier,
+       CAST(l_quantity AS BIGINT)::VARCHAR AS value FROM lineitem""")
+def keyed_rows(spark, d):
+    """A cell of every line item under its zero-padded key, written as a sorted export."""
+    key = joined_key(padded_key(F.col("l_orderkey")), F.col("l_linenumber"))
+    cells = table(spark, d, "lineitem").select(key.alias("rowkey"), F.lit("cf").alias("family"), F.lit("field").alias("qualifier"),
+                                               F.col("l_quantity").cast("bigint").cast("string").alias("value"))
+    path = work_path(spark, "keyed")
     export_sorted(cells, path)
     return spark.read.parquet(path)
 

@@ -61,10 +61,24 @@ def test_replayed_batch_counts_once_and_compaction_keeps_balances(spark, tmp_pat
     sink(delta(5, 1), 0)
     sink(delta(-2, 2), 1)
     path = str(tmp_path / "d")
-    assert balances.balances_from(spark, seed, path).first().balance == 103
-    base = balances.compact(spark, seed, path, 0, str(tmp_path / "base"))
-    later = spark.read.parquet(path).where("batch_id > 0")
-    assert balances.running_balance(base, later).first().balance == 103
+    now = lambda: tuple(balances.balances_from(spark, seed, path).first())
+    assert now() == ("k", 103, 2, 1)
+    balances.compact(spark, path, 0)
+    assert now() == ("k", 103, 2, 1)
+    sink(delta(5, 1), 0)  # folded already
+    sink(delta(10, 3), 2)
+    assert now() == ("k", 113, 3, 1)
+    balances.compact(spark, path, 2)
+    balances.compact(spark, path, 1)  # an older cut changes nothing
+    assert now() == ("k", 113, 3, 1)
+
+
+def test_trades_without_a_key_are_rejected(spark):
+    ddl = "fundid BIGINT, secuid STRING, orgid STRING, market STRING, stkcode STRING, serverid BIGINT, bsflag STRING, matchtype STRING, matchqty BIGINT, matchsno BIGINT, trddate BIGINT"
+    trades = spark.createDataFrame([(1, "s", "o", "0", "c", 1, "03", "0", 10, 1, 1), (1, None, "o", "0", "c", 1, "03", "0", 20, 2, 1),
+                                    (2, "s", "o", "0", None, 1, "03", "0", 30, 3, 1)], ddl)
+    assert balances.sum_deltas(balances.stock_deltas(trades)).count() == 1
+    assert sorted(r.matchsno for r in balances.rejects(trades, balances.STOCK_KEY).collect()) == [2, 3]
 
 
 # --- events ----------------------------------------------------------------------------------
