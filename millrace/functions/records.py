@@ -2,37 +2,54 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Record layouts, in wire order.
 TRADE_FIELDS = """
-serverid:L matchsno:L operdate:L custid:L fundid:L moneytype fundkind fundlevel fundgroup orgid
-brhid secuid rptsecuid bsflag rptbs matchtype ordersno orderid market stkcode
-stkname stktype trdid orderprice:D bondintr:D orderqty:L seat matchtime:L matchprice:D matchqty:L
-matchamt:D matchcode clearamt:D operid:L operlevel operorg operway bankcode bankbranch banknetplace
-sourcetype recnum:L bankorderid bankid exteffectamt:D bankrtnflag remark creditid creditflag trddate:L
+serverid BIGINT, matchsno BIGINT, operdate BIGINT, custid BIGINT, fundid BIGINT, moneytype STRING,
+fundkind STRING, fundlevel STRING, fundgroup STRING, orgid STRING, brhid STRING, secuid STRING,
+rptsecuid STRING, bsflag STRING, rptbs STRING, matchtype STRING, ordersno STRING, orderid STRING,
+market STRING, stkcode STRING, stkname STRING, stktype STRING, trdid STRING, orderprice DECIMAL(38,18),
+bondintr DECIMAL(38,18), orderqty BIGINT, seat STRING, matchtime BIGINT, matchprice DECIMAL(38,18),
+matchqty BIGINT, matchamt DECIMAL(38,18), matchcode STRING, clearamt DECIMAL(38,18), operid BIGINT,
+operlevel STRING, operorg STRING, operway STRING, bankcode STRING, bankbranch STRING, banknetplace STRING,
+sourcetype STRING, recnum BIGINT, bankorderid STRING, bankid STRING, exteffectamt DECIMAL(38,18),
+bankrtnflag STRING, remark STRING, creditid STRING, creditflag STRING, trddate BIGINT
 """
 LEDGER_FIELDS = """
-serverid:L operdate:L cleardate:L bizdate:L sno:L relativesno:L custid:L custname fundid:L moneytype
-orgid brhid custkind custgroup fundkind fundlevel fundgroup digestid:L fundeffect:D fundbal:D
-secuid market biztype stkcode stktype bankcode trdbankcode bankbranch banknetplace stkname
-stkeffect:L stkbal:L orderid trdid orderqty:L orderprice:D bondintr:D orderdate:L ordertime:L matchqty:L
-matchamt:D seat matchtimes:L matchprice:D matchtime:L matchcode fee_jsxf:D fee_sxf:D fee_yhs:D fee_ghf:D
-fee_qsf:D fee_jygf:D fee_jsf:D fee_zgf:D fee_qtf:D bsflag feefront:D sourcetype bankid agentid:L
-operid:L operway operorg operlevel netaddr chkoper:L checkflag brokerid:L custmgrid:L funduser0:L
-funduser1:L privilege:D remark ordersno:L pathid cancelflag reportkind creditid creditflag creditmethod
-rfscontractno:L busi_date
+serverid BIGINT, operdate BIGINT, cleardate BIGINT, bizdate BIGINT, sno BIGINT, relativesno BIGINT,
+custid BIGINT, custname STRING, fundid BIGINT, moneytype STRING, orgid STRING, brhid STRING, custkind STRING,
+custgroup STRING, fundkind STRING, fundlevel STRING, fundgroup STRING, digestid BIGINT,
+fundeffect DECIMAL(38,18), fundbal DECIMAL(38,18), secuid STRING, market STRING, biztype STRING,
+stkcode STRING, stktype STRING, bankcode STRING, trdbankcode STRING, bankbranch STRING, banknetplace STRING,
+stkname STRING, stkeffect BIGINT, stkbal BIGINT, orderid STRING, trdid STRING, orderqty BIGINT,
+orderprice DECIMAL(38,18), bondintr DECIMAL(38,18), orderdate BIGINT, ordertime BIGINT, matchqty BIGINT,
+matchamt DECIMAL(38,18), seat STRING, matchtimes BIGINT, matchprice DECIMAL(38,18), matchtime BIGINT,
+matchcode STRING, fee_jsxf DECIMAL(38,18), fee_sxf DECIMAL(38,18), fee_yhs DECIMAL(38,18),
+fee_ghf DECIMAL(38,18), fee_qsf DECIMAL(38,18), fee_jygf DECIMAL(38,18), fee_jsf DECIMAL(38,18),
+fee_zgf DECIMAL(38,18), fee_qtf DECIMAL(38,18), bsflag STRING, feefront DECIMAL(38,18), sourcetype STRING,
+bankid STRING, agentid BIGINT, operid BIGINT, operway STRING, operorg STRING, operlevel STRING, netaddr STRING,
+chkoper BIGINT, checkflag STRING, brokerid BIGINT, custmgrid BIGINT, funduser0 BIGINT, funduser1 BIGINT,
+privilege DECIMAL(38,18), remark STRING, ordersno BIGINT, pathid STRING, cancelflag STRING, reportkind STRING,
+creditid STRING, creditflag STRING, creditmethod STRING, rfscontractno BIGINT, busi_date STRING
 """
 LEDGER_JSON_FIELDS = """
-serverid:I operdate:I cleardate:I bizdate:I sno:I relativesno:I custid:L custname fundid:L moneytype
-orgid brhid custkind custgroup fundkind fundlevel fundgroup digestid:I fundeffect fundbal
-secuid market biztype stkcode stktype bankcode trdbankcode bankbranch banknetplace stkname
-stkeffect:L stkbal:L orderid trdid orderqty:L orderprice bondintr orderdate:I ordertime:I matchqty:L
-matchamt seat matchtimes:I matchprice matchtime:I matchcode fee_jsxf fee_sxf fee_yhs fee_ghf
-fee_qsf fee_jygf fee_jsf fee_zgf fee_qtf bsflag feefront sourcetype bankid agentid:L
-operid:I operway operorg operlevel netaddr chkoper:I checkflag brokerid:L custmgrid:L funduser0:L
-funduser1:I privilege remark ordersno:I pathid cancelflag reportkind creditid creditflag
-prodcode settrate fortuneid:L collecttime
+serverid INT, operdate INT, cleardate INT, bizdate INT, sno INT, relativesno INT, custid BIGINT,
+custname STRING, fundid BIGINT, moneytype STRING, orgid STRING, brhid STRING, custkind STRING,
+custgroup STRING, fundkind STRING, fundlevel STRING, fundgroup STRING, digestid INT, fundeffect STRING,
+fundbal STRING, secuid STRING, market STRING, biztype STRING, stkcode STRING, stktype STRING, bankcode STRING,
+trdbankcode STRING, bankbranch STRING, banknetplace STRING, stkname STRING, stkeffect BIGINT, stkbal BIGINT,
+orderid STRING, trdid STRING, orderqty BIGINT, orderprice STRING, bondintr STRING, orderdate INT,
+ordertime INT, matchqty BIGINT, matchamt STRING, seat STRING, matchtimes INT, matchprice STRING, matchtime INT,
+matchcode STRING, fee_jsxf STRING, fee_sxf STRING, fee_yhs STRING, fee_ghf STRING, fee_qsf STRING,
+fee_jygf STRING, fee_jsf STRING, fee_zgf STRING, fee_qtf STRING, bsflag STRING, feefront STRING,
+sourcetype STRING, bankid STRING, agentid BIGINT, operid INT, operway STRING, operorg STRING, operlevel STRING,
+netaddr STRING, chkoper INT, checkflag STRING, brokerid BIGINT, custmgrid BIGINT, funduser0 BIGINT,
+funduser1 INT, privilege STRING, remark STRING, ordersno INT, pathid STRING, cancelflag STRING,
+reportkind STRING, creditid STRING, creditflag STRING, prodcode STRING, settrate STRING, fortuneid BIGINT,
+collecttime STRING
 """
 # Text columns of the JSON ledger record that hold decimals.
 LEDGER_JSON_DECIMALS = {
@@ -47,26 +64,32 @@ LEDGER_JSON_DECIMALS = {
 }
 # Snapshot table layouts.
 STOCK_SNAPSHOT_FIELDS = """
-serverid:L custid:L orgid fundid:L moneytype market secuid seat stkcode stklastbal:L
-stkbal:L stkavl:L stkbuy:L stksale:L stkbuysale:L stkuncomebuy:L stkuncomesale:L stkfrz:L stkunfrz:L stknightfrz:L
-stktrdfrz:L stktrdunfrz:L stkdiff:L stksalediff:L stkremain:L stkcorpremain:L creditstkbal:L creditstkbuysale:L
-stkflag lastbuycost:D lastprofitcost:D buycost:D profitcost:D mktval:D stkavl_in:L
-stkavl_out:L stkbuysale2:L stkdecimal:D bizdate:L
+serverid BIGINT, custid BIGINT, orgid STRING, fundid BIGINT, moneytype STRING, market STRING, secuid STRING,
+seat STRING, stkcode STRING, stklastbal BIGINT, stkbal BIGINT, stkavl BIGINT, stkbuy BIGINT, stksale BIGINT,
+stkbuysale BIGINT, stkuncomebuy BIGINT, stkuncomesale BIGINT, stkfrz BIGINT, stkunfrz BIGINT,
+stknightfrz BIGINT, stktrdfrz BIGINT, stktrdunfrz BIGINT, stkdiff BIGINT, stksalediff BIGINT, stkremain BIGINT,
+stkcorpremain BIGINT, creditstkbal BIGINT, creditstkbuysale BIGINT, stkflag STRING, lastbuycost DECIMAL(38,18),
+lastprofitcost DECIMAL(38,18), buycost DECIMAL(38,18), profitcost DECIMAL(38,18), mktval DECIMAL(38,18),
+stkavl_in BIGINT, stkavl_out BIGINT, stkbuysale2 BIGINT, stkdecimal DECIMAL(38,18), bizdate BIGINT
 """
 FUND_SNAPSHOT_FIELDS = """
-serverid:L orgid fundseq:L fundid:L moneytype custid:L fundlastbal:D fundbal:D fundavl:D overdraw:D
-fundbuy:D fundsale:D funduncomebuy:D funduncomesale:D fundfrz:D fundunfrz:D fundtrdfrz:D fundtrdunfrz:D
-fundnightfrz:D fundloan:D creditbal:D creditbuysale:D creditavl:D creditbuy:D creditsale:D creditamtused:D
-fundflag otherasset:D marketvalue:D fundstandby:D fundbuysale:D fundbalprefrz:D busi_date
+serverid BIGINT, orgid STRING, fundseq BIGINT, fundid BIGINT, moneytype STRING, custid BIGINT,
+fundlastbal DECIMAL(38,18), fundbal DECIMAL(38,18), fundavl DECIMAL(38,18), overdraw DECIMAL(38,18),
+fundbuy DECIMAL(38,18), fundsale DECIMAL(38,18), funduncomebuy DECIMAL(38,18), funduncomesale DECIMAL(38,18),
+fundfrz DECIMAL(38,18), fundunfrz DECIMAL(38,18), fundtrdfrz DECIMAL(38,18), fundtrdunfrz DECIMAL(38,18),
+fundnightfrz DECIMAL(38,18), fundloan DECIMAL(38,18), creditbal DECIMAL(38,18), creditbuysale DECIMAL(38,18),
+creditavl DECIMAL(38,18), creditbuy DECIMAL(38,18), creditsale DECIMAL(38,18), creditamtused DECIMAL(38,18),
+fundflag STRING, otherasset DECIMAL(38,18), marketvalue DECIMAL(38,18), fundstandby DECIMAL(38,18),
+fundbuysale DECIMAL(38,18), fundbalprefrz DECIMAL(38,18), busi_date STRING
 """
 
-_KINDS = {"": T.StringType(), "L": T.LongType(), "I": T.IntegerType(), "D": T.DecimalType(38, 18)}
+_TYPES = {"STRING": T.StringType(), "BIGINT": T.LongType(), "INT": T.IntegerType(), "DECIMAL(38,18)": T.DecimalType(38, 18)}
 
 
 def record_schema(fields: str) -> T.StructType:
-    """Schema from ``name[:kind]`` words; no kind is text, L bigint, I int, D decimal."""
-    pairs = (word.partition(":") for word in fields.split())
-    return T.StructType([T.StructField(name, _KINDS[kind]) for name, _, kind in pairs])
+    """Schema of a list of ``name TYPE``, without the session that Spark's own parser needs."""
+    pairs = re.findall(r"(\w+) ([A-Z]+(?:\(\d+,\d+\))?)", fields)
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 TRADE = record_schema(TRADE_FIELDS)

@@ -69,6 +69,27 @@ def map_rows(spark, d):
         F.format_string("Key: %d, Value: %s", "c_custkey", "c_mktsegment").alias("pair"))
 
 
+@query("transform_chain", """
+SELECT o_custkey || '_' || o_orderkey AS key, round(o_totalprice * 2, 2) AS doubled FROM orders WHERE o_orderstatus = 'F'""")
+def transform_chain(spark, d):
+    """Whole-frame functions, one after the other."""
+    def finished(df):
+        return df.where("o_orderstatus = 'F'")
+
+    def keyed(df, *keys):
+        return df.withColumn("key", F.concat_ws("_", *keys))
+
+    return (table(spark, d, "orders").transform(finished).transform(keyed, "o_custkey", "o_orderkey")
+            .select("key", F.round(F.col("o_totalprice") * 2, 2).alias("doubled")))
+
+
+@query("hash_layout", "SELECT o_custkey, count(*) AS n, 1 AS partitions FROM orders GROUP BY 1")
+def hash_layout(spark, d):
+    """After a repartition by key, all rows of a key are in one partition."""
+    laid = table(spark, d, "orders").repartition("o_custkey").select("o_custkey", F.spark_partition_id().alias("part"))
+    return laid.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("part").cast("int").alias("partitions"))
+
+
 @query("flatmap_words", "SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents")
 def flatmap_words(spark, d):
     return table(spark, d, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("word"))

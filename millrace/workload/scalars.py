@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from millrace.functions import udfs
-from millrace.functions.dates import compact_day, compact_day_via_unixtime
+from millrace.functions.dates import compact_day, compact_day_via_unixtime, in_period
 from millrace.functions.records import (LEDGER, LEDGER_JSON, TRADE, format_delimited, ledger_decimals, parse_delimited, parse_json,
                                         with_fallback)
 from millrace.functions.text import lookup, null_to_empty, padded_key
@@ -227,6 +227,25 @@ def udaf_user_code(spark, d):
     return out.withColumn("average", F.round("average", 4))
 
 
+@query("udaf_empty_groups", """
+SELECT c_nationkey, count(*) AS n, CAST(NULL AS DOUBLE) AS average FROM customer GROUP BY 1""")
+def udaf_empty_groups(spark, d):
+    """The average of nothing is NULL, however many rows a group has."""
+    c = table(spark, d, "customer").select("c_nationkey", F.when(F.col("c_acctbal") < -1e9, F.col("c_acctbal")).alias("x"))
+    state = c.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"), udfs.avg_state(F.col("x")).alias("state"))
+    return state.select("c_nationkey", "n", udfs.finish_avg(F.col("state")).alias("average"))
+
+
+@query("business_periods", """
+SELECT strftime(o_orderdate, '%Y%m%d') AS day, count(*) AS n, count(*) FILTER (strftime(o_orderdate, '%Y%m') = '199603') AS in_month,
+       count(*) FILTER (strftime(o_orderdate, '%Y') = '1996') AS in_year FROM orders GROUP BY 1""")
+def business_periods(spark, d):
+    """Days as text, and the days of a month and of a year by period bounds."""
+    o, day = table(spark, d, "orders"), F.col("o_orderdate")
+    return o.groupBy(compact_day(day).alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(in_period(day, "199603")).alias("in_month"), F.count_if(in_period(day, "1996")).alias("in_year"))
+
+
 @query("map_in_pandas", """
 SELECT event_id, upper(event_type) AS kind, value * 2 AS doubled FROM events WHERE value > 10""")
 def map_in_pandas(spark, d):

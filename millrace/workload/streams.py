@@ -121,6 +121,35 @@ def stream_dedup_rows(spark, d):
     return run_available_now(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@query("stream_late_rows", """
+SELECT event_id, event_type FROM events WHERE ts >= (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events)""")
+def stream_late_rows(spark, d):
+    """The later half arrives first, in two batches; what is older than the watermark comes too late and is dropped.
+
+    Rows are judged by the watermark that the batch before the last one set, hence the second batch.
+    """
+    e = table(spark, d, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    middle = e.agg(((F.unix_micros(F.min("ts")) + F.unix_micros(F.max("ts"))) / 2).alias("m")).first()["m"]
+    late, path = F.unix_micros("ts") < middle, work_path(spark, "late")
+    odd = F.col("event_id") % 2 == 1
+    for part in (~late & odd, ~late & ~odd, late):
+        e.where(part).repartition(FILES).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", FILES).parquet(path)
+    return run_available_now(so.dedup_forever(stream, "ts", "0 seconds", ["event_id", "ts"])).select("event_id", "event_type")
+
+
+@query("stream_restart", "SELECT event_id, event_type, value FROM events")
+def stream_restart(spark, d):
+    """A stream that is stopped and goes on from its checkpoint when more has come: no row twice, none lost."""
+    e = table(spark, d, "events").select("event_id", "event_type", "value")
+    path, checkpoint, out = (work_path(spark, x) for x in ("restart", "checkpoint", "restarted"))
+    result = None
+    for i in range(BATCHES):
+        e.where(F.pmod(F.xxhash64("event_id"), F.lit(BATCHES)) == i).write.mode("append").parquet(path)
+        result = run_available_now(spark.readStream.schema(e.schema).parquet(path), checkpoint=checkpoint, out=out)
+    return result
+
+
 # --- pass-through, parsing, union ------------------------------------------------------------
 
 

@@ -160,11 +160,11 @@ def test_events_go_out_once(spark, tmp_path):
 
 
 def test_transfer_text_rows(spark):
-    good = '{"sno":5,"custid":77,"fundid":10000000001,"custname":" Li ","digestid":160021,"operdate":20200101,"bizdate":20200102}'
+    good = '{"sno":5,"custid":77,"fundid":60210007,"custname":" Li ","digestid":160021,"operdate":20200101,"bizdate":20200102}'
     df = spark.createDataFrame([(good,), ('{"digestid":1}',), ("{bad",), ('{"fundid":123,"digestid":140057}',)], "value STRING")
     got = {r.cptl_acid: r for r in bank_transfers.transfer_rows(df).collect()}
-    assert set(got) == {"10000000001", "123"}
-    assert got["10000000001"].rowkey == "10000000001_20200101_20200102_5" and got["10000000001"].cust_name == "Li"
+    assert set(got) == {"60210007", "123"}
+    assert got["60210007"].rowkey == "60210007_20200101_20200102_5" and got["60210007"].cust_name == "Li"
     assert got["123"].reverse_cptl_acid == "321" and got["123"].brch_id == ""
     assert len(bank_transfers.OUTPUT_COLUMNS) == 13 and len(LEDGER_JSON) == 83
 

@@ -40,10 +40,10 @@ def test_record_layouts():
 
 
 def test_delimited_people(spark):
-    lines = spark.createDataFrame([("Michael, 29",), ("Andy, 30",), ("Justin, 19",), ("broken",), (None,)], "value STRING")
+    lines = spark.createDataFrame([("Edith, 51",), ("Olaf, 44",), ("Mina, 16",), ("broken",), (None,)], "value STRING")
     schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("age", T.IntegerType())])
     got = records.parse_delimited(lines, schema, trim=True)
-    assert rows(got.where("age BETWEEN 13 AND 19")) == [("Justin", 19)]
+    assert rows(got.where("age BETWEEN 13 AND 19")) == [("Mina", 16)]
     assert got.count() == 5
     assert got.where("name = 'broken'").first().age is None
 
@@ -56,11 +56,11 @@ def test_format_and_parse_are_inverse(spark):
 
 
 def test_json_records(spark):
-    df = spark.createDataFrame([('{"name":"Michael"}',), ('{"name":"Andy","age":30}',), ("{bad",),
+    df = spark.createDataFrame([('{"name":"Edith"}',), ('{"name":"Olaf","age":44}',), ("{bad",),
                                 ('{"name":"X","age":"old"}',), (None,)], "value STRING")
     schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("age", T.LongType())])
     assert rows(records.parse_json(df, schema)) == sorted(
-        [("Michael", None), ("Andy", 30), (None, None), ("X", None), (None, None)], key=str)
+        [("Edith", None), ("Olaf", 44), (None, None), ("X", None), (None, None)], key=str)
 
 
 def test_joined_key_and_lookup(spark):
@@ -100,18 +100,18 @@ def test_period_filter_reaches_the_scan(spark, small):
 
 def test_people_json(spark, tmp_path):
     path = tmp_path / "people.json"
-    path.write_text('{"name":"Michael"}\n{"name":"Andy","age":30}\n{"name":"Justin","age":19}\n')
+    path.write_text('{"name":"Edith"}\n{"name":"Olaf","age":44}\n{"name":"Mina","age":16}\n')
     people = files.read_json(spark, str(path))
-    assert rows(people.where("age > 21").select("name")) == [("Andy",)]
-    assert rows(people.groupBy("age").count()) == [(19, 1), (30, 1), (None, 1)]
+    assert rows(people.where("age > 21").select("name")) == [("Olaf",)]
+    assert rows(people.groupBy("age").count()) == [(16, 1), (44, 1), (None, 1)]
 
 
 def test_people_csv(spark, tmp_path):
     path = tmp_path / "people.csv"
-    path.write_text("name;age;job\nJorge;30;Developer\nBob;32;Developer\n")
+    path.write_text("name;age;job\nIlse;27;Baker\nTom;58;Baker\n")
     people = files.read_csv(spark, str(path), sep=";")
     assert people.dtypes == [("name", "string"), ("age", "int"), ("job", "string")]
-    assert people.agg(F.sum("age")).first()[0] == 62
+    assert people.agg(F.sum("age")).first()[0] == 85
 
 
 def test_merged_schema(spark, tmp_path):
