@@ -30,6 +30,7 @@ DEPTH = 60
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile("[a-z]+")
+HUMP = re.compile("(?<=[a-z])(?=[A-Z])")
 #: Elements whose content is no markup, and elements without content.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "template"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -134,7 +135,8 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
             pop_to({"p"}, HOLDS | {"li", "td", "th"})
         names = ""
         if found[3]:
-            names = " ".join("".join(v) for _, *v in ATTRIBUTE.findall(found[3])).lower()
+            names = " ".join("".join(v) for _, *v in ATTRIBUTE.findall(found[3]))
+            names = HUMP.sub(" ", names).lower()
         words = set(WORD.findall(names)) if names else ()
         label = f"{tag} {' '.join(sorted(words))}" if words else tag
         parent = stack[-1][1]
@@ -145,7 +147,8 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
         else:
             article = parent.article or tag in ARTICLE or bool(words and not ARTICLE_NAMES.isdisjoint(words))
             # Within the article, its own header is part of it.
-            named = bool(words and not NAMES.isdisjoint(words)) and tag not in ("body", "html", "main", "article")
+            named = bool(words) and tag not in ("body", "html", "main", "article") and (
+                not NAMES.isdisjoint(words) or "header" in words and not parent.article)
             apart = parent.apart or (tag in APART and not (tag == "header" and parent.article)) or named
             node = Node(label, apart, article, f"{parent.path}/{label}")
             parent.children.append(node)
