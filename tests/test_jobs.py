@@ -81,6 +81,13 @@ def test_trades_without_a_key_are_rejected(spark):
     assert sorted(r.matchsno for r in balances.rejects(trades, balances.STOCK_KEY).collect()) == [2, 3]
 
 
+def test_rules_share_one_copy_of_the_orders(spark, small):
+    from millrace.workload.jobs import business_events
+
+    plan = business_events(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") == 0 and "orders-by-day" in plan
+
+
 # --- events ----------------------------------------------------------------------------------
 
 DAY = "20200302"
