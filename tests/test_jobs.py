@@ -171,7 +171,7 @@ def test_transfer_text_rows(spark):
     df = spark.createDataFrame([(good,), ('{"digestid":1}',), ("{bad",), ('{"fundid":123,"digestid":140057}',)], "value STRING")
     got = {r.cptl_acid: r for r in bank_transfers.transfer_rows(df).collect()}
     assert set(got) == {"60210007", "123"}
-    assert got["60210007"].rowkey == "60210007_20200101_20200102_5" and got["60210007"].cust_name == "Li"
+    assert got["60210007"].rowkey == "70001206_20200101_20200102_5" and got["60210007"].cust_name == "Li"
     assert got["123"].reverse_cptl_acid == "321" and got["123"].brch_id == ""
     assert len(bank_transfers.OUTPUT_COLUMNS) == 13 and len(LEDGER_JSON) == 83
 
