@@ -145,7 +145,10 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-SHINGLE = re.compile(r"(?s)(?:(?<![^\W_])|(?<=[^\W_]{8}))(?=([^\W_].{0,11}))")
+def brute_set(line):
+    """Pairs of neighbouring runs of a line."""
+    runs = re.findall("[\u4e00-\u9fff]|[^\\W_]{1,8}", line.lower())
+    return set(zip(runs, runs[1:])) if len(runs) > 1 else set(runs)
 
 
 def brute_lines(rows):
@@ -156,7 +159,7 @@ def brute_lines(rows):
             if re.search(r"[^\W_]", line):
                 places.setdefault(line, set()).add((2**63 - 1 if i is None else i, n))
     kinds = list(places)
-    sets = [set(SHINGLE.findall(x.lower())) for x in kinds]
+    sets = [brute_set(x) for x in kinds]
     parent = list(range(len(kinds)))
 
     def find(x):
