@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 from helpers import EXTRA, ODD, docs, rows_of
+from pyspark.sql import functions as F
 
 from millrace.llm import exact, lines, simhash
 from millrace.llm.common import components
@@ -195,3 +196,28 @@ def test_fuzzy_lines(spark, monkeypatch, dense):
         if i and i >= 100:
             assert kept[i] == "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in wanted)
     assert lines.line_report(docs(spark, [])).count() == 0
+
+
+def character_set(line, k=5):
+    """Every k consecutive characters of a line in lower case with single spaces."""
+    line = re.sub("[ \t]+", " ", line.lower()).strip(" ")
+    return {line[i:i + k] for i in range(max(len(line) - k, 0) + 1)}
+
+
+def test_lines_are_sets_of_character_shingles(spark, monkeypatch):
+    typo = "the old library near the river was closed for two weeks because of heavy winter storms"
+    kana = "".join(chr(0x3042 + i * 7 % 80) for i in range(40))
+    signs = "price: 10.5% +/- 0.3% (see note [4]); total = 1,204.00 EUR -- {net}"
+    rng = random.Random(8)
+    long = text_of(rng, 60) + " 😀é"
+    pool = [typo, typo.replace("library", "libary"), kana, "ん" + kana, signs, signs.replace("--", "—"), signs.replace(" ", "  "), long,
+            long.replace("😀", "😁"), long[:70], long[:66], long[:64], "abcd", "ABCD", "abce", "abcdef", "one two", "one  two ", typo[::-1]]
+    df = docs(spark, [(i, x) for i, x in enumerate(pool)])
+    found = {r.line: set(r.set) for r in lines.lines(df).select("line", lines.shingles(F.col("line")).alias("set")).collect()}
+    for x in found:
+        for y in found:
+            a, b = character_set(x), character_set(y)
+            assert len(found[x]) == len(a) and len(found[x] & found[y]) == len(a & b)
+    monkeypatch.setitem(globals(), "brute_set", character_set)
+    gone = {r.doc_id for r in lines.line_report(df).collect() if r.removed}
+    assert gone == {i for i, _ in brute_lines(list(enumerate(pool)))} >= {1, 3, 6, 8}
