@@ -221,3 +221,14 @@ def test_lines_are_sets_of_character_shingles(spark, monkeypatch):
     monkeypatch.setitem(globals(), "brute_set", character_set)
     gone = {r.doc_id for r in lines.line_report(df).collect() if r.removed}
     assert gone == {i for i, _ in brute_lines(list(enumerate(pool)))} >= {1, 3, 6, 8}
+
+
+def test_short_similar_lines_share_a_band(spark):
+    rng = random.Random(9)
+    stems = ["".join(chr(rng.randint(0x4e00, 0x9fff)) for _ in range(12)) for _ in range(10_000)]
+    # 9 shingles each, 8 of them common: similarity 0.8.
+    found = lines.signatures(lines.lines(docs(spark, [(i, f"{x}a\n{x}b") for i, x in enumerate(stems)]))).select("first", "bands").collect()
+    bands = {divmod(int(r["first"]), 1 << 31): set(r.bands) for r in found}
+    missed = sum(bands[i, 0].isdisjoint(bands[i, 1]) for i in range(len(stems)))
+    # 0.66 % are expected.
+    assert len(bands) == 2 * len(stems) and missed < 0.01 * len(stems)
