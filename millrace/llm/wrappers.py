@@ -5,8 +5,11 @@ aligned with that of its host's reference page by simple tree matching: two node
 do, and the children of matching nodes are aligned, in order, for the most matches. Text blocks are then
 known by the reference node they fall on. Over all pages of the host, a block that stands on the same node
 with the same text in at least half of the pages (each distinct page counted once) is template; what varies
-is content. Parts that their element or class names as menus, headers, footers, sidebars, notices, adverts,
-forms or comments, and blocks that consist of links, are template wherever they stand.
+is content. This is decided first, over all blocks. Alignment cannot tell the article from other parts that
+vary, such as adverts or comments, so of the varying blocks those go that their element or class names call
+menus, headers, footers, sidebars, notices, adverts, forms or comments, and those that consist of links and
+are not in the article; unless nothing would be left but these names. If at least half of the text that stays
+is marked as the article, the rest goes too.
 """
 
 from __future__ import annotations
@@ -16,10 +19,10 @@ import re
 from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ARROW_ROWS
+from millrace.llm.common import ARROW_ROWS, let
 from millrace.session import materialize
 
 #: A block is template from this share of its host's distinct pages on, if there are at least so many.
@@ -51,7 +54,7 @@ NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "bann
          "respond", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar",
          "widget", "alert", "search", "login", "signup", "feedback", "responses"}
 ARTICLE = {"article", "main"}
-ARTICLE_NAMES = {"articlebody", "main"}
+FLAGS = ("apart", "links", "article")
 
 
 class Node:
@@ -133,9 +136,11 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
             pop_to({"p"}, HOLDS | {"li", "td", "th"})
         if tag == "p":
             pop_to({"p"}, HOLDS | {"li", "td", "th"})
-        names = ""
+        names, marked = "", False
         if found[3]:
-            names = " ".join("".join(v) for _, *v in ATTRIBUTE.findall(found[3]))
+            named_as = [(k.lower(), "".join(v)) for k, *v in ATTRIBUTE.findall(found[3])]
+            marked = any("main" in v.lower().split() if k == "role" else "articlebody" in v.lower().split() for k, v in named_as)
+            names = " ".join(v for _, v in named_as)
             names = HUMP.sub(" ", names).lower()
         words = set(WORD.findall(names)) if names else ()
         label = f"{tag} {' '.join(sorted(words))}" if words else tag
@@ -145,7 +150,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
         elif parent.children and parent.children[-1].label == label:
             node = parent.children[-1]
         else:
-            article = parent.article or tag in ARTICLE or bool(words and not ARTICLE_NAMES.isdisjoint(words))
+            article = parent.article or tag in ARTICLE or marked
             # Within the article, its own header is part of it.
             named = bool(words) and tag not in ("body", "html", "main", "article") and (
                 not NAMES.isdisjoint(words) or "header" in words and not parent.article)
@@ -202,23 +207,34 @@ def reference_of(page: str) -> tuple[Node, dict[int, int]]:
     return root, numbered(root)
 
 
-def cut(page: str, reference: tuple[Node, dict[int, int]]) -> list[tuple[str, int]]:
-    """Candidate blocks of a page in order: text, and a hash of the text and the reference node it falls on."""
+def cut(page: str, reference: tuple[Node, dict[int, int]]) -> list[tuple[str, int, bool, bool, bool]]:
+    """Blocks of a page in order: text, a hash of the text and the reference node it falls on, and whether its names
+    call it another part than the article, whether it consists of links outside the article, and whether it is marked as the article."""
     root, blocks = parse(page)
-    blocks = [(node, text) for node, text, links in blocks if not node.apart and 2 * links <= len(text)]
-    if any(node.article for node, _ in blocks):
-        blocks = [(node, text) for node, text in blocks if node.article]
     if not blocks:
         return []
     other, places = reference
     place = {id(x): str(places[id(y)]) for x, y in align(root, other)[1]}
     out = []
-    for node, text in blocks:
+    for node, text, links in blocks:
         key = blake2b(f"{place.get(id(node), node.path)}\n{text}".encode(), digest_size=8).digest()
-        out.append((text, int.from_bytes(key, "big", signed=True)))
+        out.append((text, int.from_bytes(key, "big", signed=True), node.apart, 2 * links > len(text) and not node.article, node.article))
     return out
 
 
+def unnamed(blocks: Column) -> Column:
+    """The blocks that names do not call another part; all of them if names would leave none."""
+    return let(F.filter(blocks, lambda b: ~b["apart"]), lambda kept: F.when(F.size(kept) > 0, kept).otherwise(blocks))
+
+
+def article_of(blocks: Column) -> Column:
+    """The blocks marked as the article if they are at least half of the text, or else all."""
+    def length(rows: Column) -> Column:
+        return F.aggregate(rows, F.lit(0).cast("long"), lambda n, b: n + F.length(b["t"]))
+
+    return let(F.filter(blocks, lambda b: b["article"]), lambda kept: F.when(2 * length(kept) >= length(blocks), kept).otherwise(blocks))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """One row per page: ``page_id, url, text, n_chars``.
 
@@ -235,7 +251,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     first = materialize(first, "references")
     joined = rows.join(first, "host", "left")
     rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    kind = pa.list_(pa.struct([("t", pa.string()), ("k", pa.int64())]))
+    kind = pa.list_(pa.struct([("t", pa.string()), ("k", pa.int64()), *((c, pa.bool_()) for c in FLAGS)]))
 
     def run(batches):
         known: dict[str, tuple] = {}
@@ -247,7 +263,7 @@ def main_text(pages: DataFrame) -> DataFrame:
                 if len(known) >= 32:
                     known.clear()
                 known[reference] = reference_of(reference)
-            return [{"t": t, "k": k} for t, k in cut(page, known[reference])]
+            return [dict(zip(("t", "k", *FLAGS), block)) for block in cut(page, known[reference])]
 
         for batch in batches:
             found = list(map(blocks_of, batch.column("html").to_pylist(), batch.column("reference").to_pylist()))
@@ -256,7 +272,7 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     types = dict(pages.dtypes)
     blocks = joined.mapInArrow(run, f"page_id {types['page_id']}, url {types['url']}, host string, "
-                                    "blocks array<struct<t:string,k:bigint>>")
+                                    f"blocks array<struct<t:string,k:bigint,{','.join(f'{c}:boolean' for c in FLAGS)}>>")
     blocks = materialize(blocks, "blocks")
     # Copies of a page count once, as otherwise a much copied article would look like template.
     distinct = blocks.select("host", F.array_distinct(F.transform("blocks", lambda b: b["k"])).alias("ks")).select(
@@ -268,7 +284,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     template = seen.join(size, "host").where(F.col("n") >= SHARE * F.col("pages")).groupBy("host").agg(
         F.collect_list("k").alias("template"))
     template = materialize(template, "templates")
-    kept = F.filter("blocks", lambda b: ~F.coalesce(F.array_contains(F.col("template"), b["k"]), F.lit(False)))
+    varying = F.filter("blocks", lambda b: ~F.coalesce(F.array_contains(F.col("template"), b["k"]), F.lit(False)))
+    kept = let(let(F.filter(varying, lambda b: ~b["links"]), unnamed), article_of)
     text = F.array_join(F.transform(kept, lambda b: b["t"]), " ")
     return blocks.join(template, "host", "left").select("page_id", "url", text.alias("text")).withColumn(
         "n_chars", F.length("text").cast("long"))

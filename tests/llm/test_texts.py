@@ -213,3 +213,17 @@ def test_articles_of_the_pages(spark):
         inner = re.search("<article>(.*?)</article>", r.html, re.S)[1]
         inner = re.sub("</?(?:b|i|em|strong|a|span)\\b[^>]*>", "", inner)
         assert text[r.page_id] == " ".join(html.unescape(re.sub("<[^>]+>", " ", inner)).split())
+
+
+@pytest.mark.parametrize("body, wanted", [
+    ('<div class="main-teaser">Teaser {0}</div><div class="x"><p>Body {0} of the page</p></div>', "Teaser {0} Body {0} of the page"),
+    ('<article><p>Short words</p></article><div><p>Body {0} of the page</p></div>', "Body {0} of the page"),
+    ('<article><p>Read {0}</p></article><div><p>Body {0} of the page, which is long</p></div>', "Read {0} Body {0} of the page, which is long"),
+    ('<article><p>Body {0}</p><p>See <a href="/">the long list of sources {0}</a></p></article>', "Body {0} See the long list of sources {0}"),
+    ('<div class="discussion"><p>Body {0}</p></div><div class="menu"><a href="/">Go to {0}</a></div>', "Body {0}"),
+    ('<div role="main"><p>Body {0} of the page</p></div><div>Other {0}</div>', "Body {0} of the page"),
+    ('<div itemprop="text articleBody"><p>Body {0} of the page</p></div><div>Other {0}</div>', "Body {0} of the page")])
+def test_alignment_decides_before_names(spark, body, wanted):
+    rows = [(i, "http://h.example", f"<body><div>Top line</div>{body.format(i)}<div>All rights</div></body>") for i in range(6)]
+    found = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: wanted.format(i) for i in range(6)}
