@@ -96,6 +96,33 @@ def test_parsing_counts_phrases():
     assert parser.parse(["", "12 !", "the"])[:2] == [(None, 0.0), (None, 0.0)]
 
 
+@pytest.mark.parametrize("places", [50_000_000, 1])
+def test_every_letter_of_every_script_counts(monkeypatch, places):
+    monkeypatch.setattr(language, "PLACES", places)
+    rng = random.Random(12)
+    # Words of scripts with many letters; two languages share their letters and differ in their words.
+    words = {lang: ["".join(chr(rng.randint(*letters)) for _ in range(2)) for _ in range(600)]
+             for lang, letters in {"ja": (0x5000, 0x57ff), "zh": (0x5000, 0x57ff), "ko": (0xac00, 0xafff)}.items()}
+    words["en"] = "the cat and dog were here with many other animals of all kinds".split() * 40
+    samples = {lang: language.normalise(" ".join(rng.choices(w, k=900))) for lang, w in words.items()}
+    parser = language.Parser(samples)
+    for lang, w in words.items():
+        for n in (1, 30, 300):
+            text = " ".join(rng.choices(w, k=n)) + " \u1200 the"
+            norm = language.normalise(text)
+            bits = {k: phrases_of(norm, s) * np.log2(len(s)) for k, s in samples.items()}
+            best, second = sorted(sorted(bits), key=bits.get)[:2]
+            found, score = parser.parse([text])[0]
+            assert found == best and score == pytest.approx(1 - bits[best] / bits[second])
+            assert n < 30 or found == lang
+
+
+def test_samples_do_not_shrink_with_the_number_of_languages(spark):
+    rng = random.Random(13)
+    learn = docs(spark, [(i, "".join(rng.choices("abcdefgh", k=400)), f"l{i % 8}") for i in range(8 * 120)])
+    assert {len(s) for s in language.samples(learn).values()} == {40_000}
+
+
 def test_language_of_held_out_documents(spark):
     found = QUERIES["op3_language_id"](spark, MEDIUM)
     rows = found.join(spark.read.parquet(f"{MEDIUM}/documents.parquet"), "doc_id").where("held_out AND lang IS NOT NULL").collect()
