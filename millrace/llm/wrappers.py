@@ -5,7 +5,7 @@ aligned with that of its host's reference page by simple tree matching: two node
 do, and the children of matching nodes are aligned, in order, for the most matches. Text blocks are then
 known by the reference node they fall on. Over all pages of the host, a block that stands on the same node
 with the same text in at least half of the pages (each distinct page counted once) is template; what varies
-is content. This is decided first, over all blocks. Alignment cannot tell the article from other parts that
+is content; of two or three pages, all must have it. This is decided first, over all blocks. Alignment cannot tell the article from other parts that
 vary, such as adverts or comments, so of the varying blocks those go that their element or class names call
 menus, headers, footers, sidebars, notices, adverts, forms or comments, and those that consist of links and
 are not in the article; unless nothing would be left but these names. If at least half of the text that stays
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import ARROW_ROWS, let
 from millrace.session import materialize
 
-#: A block is template from this share of its host's distinct pages on, if there are at least so many.
+#: A block is template from this share of its host's distinct pages on, if there are at least so many. Of fewer, all must have it.
 SHARE, LEAST_PAGES = 0.5, 4
 #: Deeper elements count as children of an element at this depth.
 DEPTH = 60
@@ -227,11 +227,13 @@ def unnamed(blocks: Column) -> Column:
     return let(F.filter(blocks, lambda b: ~b["apart"]), lambda kept: F.when(F.size(kept) > 0, kept).otherwise(blocks))
 
 
+def length(blocks: Column) -> Column:
+    """Characters of the blocks."""
+    return F.aggregate(blocks, F.lit(0).cast("long"), lambda n, b: n + F.length(b["t"]))
+
+
 def article_of(blocks: Column) -> Column:
     """The blocks marked as the article if they are at least half of the text, or else all."""
-    def length(rows: Column) -> Column:
-        return F.aggregate(rows, F.lit(0).cast("long"), lambda n, b: n + F.length(b["t"]))
-
     return let(F.filter(blocks, lambda b: b["article"]), lambda kept: F.when(2 * length(kept) >= length(blocks), kept).otherwise(blocks))
 
 
@@ -279,12 +281,17 @@ def main_text(pages: DataFrame) -> DataFrame:
         "host", "ks", F.xxhash64("ks").alias("page")).dropDuplicates(["host", "page"])
     size = distinct.groupBy("host").agg(F.count("*").alias("pages"))
     seen = distinct.select("host", F.explode("ks").alias("k")).groupBy("host", "k").agg(F.count("*").alias("n")).where(
-        F.col("n") >= LEAST_PAGES)
+        F.col("n") > 1)
     # At most 1 / SHARE times a page's mean number of blocks can be template, so a host's list is short.
-    template = seen.join(size, "host").where(F.col("n") >= SHARE * F.col("pages")).groupBy("host").agg(
-        F.collect_list("k").alias("template"))
+    few, often = F.col("pages") < LEAST_PAGES, (F.col("n") >= LEAST_PAGES) & (F.col("n") >= SHARE * F.col("pages"))
+    template = seen.join(size, "host").where(often | few & (F.col("n") == F.col("pages"))).groupBy("host").agg(
+        F.collect_list("k").alias("template"), F.max(few).alias("few"))
     template = materialize(template, "templates")
-    varying = F.filter("blocks", lambda b: ~F.coalesce(F.array_contains(F.col("template"), b["k"]), F.lit(False)))
+    constant = lambda b: F.coalesce(F.array_contains(F.col("template"), b["k"]), F.lit(False))
+    # Few pages may be versions of one article: its own text stays, and so does a page that would lose most of its text.
+    of_few = let(F.filter("blocks", lambda b: ~constant(b) | b["article"]),
+                 lambda kept: F.when(2 * length(kept) >= length(F.col("blocks")), kept).otherwise(F.col("blocks")))
+    varying = F.when(F.col("few"), of_few).otherwise(F.filter("blocks", lambda b: ~constant(b)))
     kept = let(let(F.filter(varying, lambda b: ~b["links"]), unnamed), article_of)
     text = F.array_join(F.transform(kept, lambda b: b["t"]), " ")
     return blocks.join(template, "host", "left").select("page_id", "url", text.alias("text")).withColumn(

@@ -227,3 +227,19 @@ def test_alignment_decides_before_names(spark, body, wanted):
     rows = [(i, "http://h.example", f"<body><div>Top line</div>{body.format(i)}<div>All rights</div></body>") for i in range(6)]
     found = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert found == {i: wanted.format(i) for i in range(6)}
+
+
+@pytest.mark.parametrize("pages", [2, 3])
+def test_template_of_few_pages(spark, pages):
+    frame = "<body><div>Top line</div><div><p>{0}</p></div><div>All rights</div></body>"
+    shared = "A long passage that every version of the article has"
+    rows = [(i, "http://few.example", frame.format(f"Body {i} with words of its own")) for i in range(pages)]
+    rows += [(10 + i, "http://versions.example", frame.format(f"{shared}</p><table></table><p>Change {i}")) for i in range(pages)]
+    rows += [(20 + i, "http://marked.example", frame.format(f"<article><h1>Head</h1><p>Text {i} is longer</p></article>")) for i in range(pages)]
+    rows += [(30, "http://alone.example", frame.format("Body"))]
+    found = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(pages):
+        assert found[i] == f"Body {i} with words of its own"
+        assert found[10 + i] == f"Top line {shared} Change {i} All rights"
+        assert found[20 + i] == f"Head Text {i} is longer"
+    assert found[30] == "Top line Body All rights"
