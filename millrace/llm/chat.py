@@ -160,7 +160,8 @@ def _present(record: Column, path: str) -> Column:
     if "[]." in path:
         items, inner = path.split("[].", 1)
         return F.coalesce(F.exists(_items(record, items), lambda x: _text(x, inner).isNotNull()), F.lit(False))
-    return F.try_variant_get(record, f"$.{path}", "variant").isNotNull()
+    value = F.try_variant_get(record, f"$.{path}", "variant")
+    return value.isNotNull() & ~F.is_variant_null(value)
 
 
 def record_of(df: DataFrame, col: str) -> Column:

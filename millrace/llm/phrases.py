@@ -4,15 +4,15 @@
 2. One pass over all documents counts the proposed phrases and their negative border exactly. The border is
    never listed: a phrase is in either set exactly if it is one word, or what is left without its last and
    without its first word was proposed.
-3. A phrase of the border that turns out frequent is a failure of the sample. It is added to the proposed
-   ones, and a further pass counts only what this adds to the border, until no pass finds a new one. Four
-   passes are the most, as phrases grow by a word each time. Then every frequent phrase has been counted,
-   whatever the sample held.
+3. A phrase of the border that turns out frequent is a failure of the sample. One more pass then expands the
+   counted phrases until they are closed: a phrase that was not counted is, if both of its parts are frequent or
+   are such phrases themselves. Longer ones that a failure could make frequent are thus counted in the same pass,
+   and every frequent phrase has been counted, whatever the sample held.
 4. Frequent phrases are cut, scored and joined with what contains them, as plain tables.
 
 The proposed phrases are held as a Bloom filter of bounded size: one that it takes for proposed by mistake is
-counted as well and, like all others, kept only if it is frequent. Its verdict does not change between
-passes, so no phrase is counted in two of them.
+counted as well and, like all others, kept only if it is frequent. The second pass asks the first one's filter
+what was counted, so no phrase is counted in both.
 
 A task counts blocks of words of bounded size, so that a very long text is as good as many short ones, and
 sends a partial count per phrase and block.
@@ -20,6 +20,7 @@ sends a partial count per phrase and block.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,18 +36,18 @@ from millrace.session import materialize
 #: Words of the longest phrase, and occurrences that make a phrase frequent.
 LONGEST, LEAST = 4, 30
 #: One of so many documents is in the sample, where so many occurrences propose a phrase.
-SAMPLE, LOWERED = 8, 2
+SAMPLE, LOWERED = 16, 2
 #: A phrase goes if a longer one around it has so many percent of its occurrences.
 COVERED = 80
 TOP = 2000
 #: Bits a proposed phrase, and bits of the greatest filter (64 MB).
 BITS, MOST_BITS, PROBES = 12, 1 << 29, 4
 #: Words that are counted at a time, and bytes of a text that are cut into words at a time.
-BLOCK, SLICE = 1_000_000, 4_000_000
+BLOCK, SLICE = 2_000_000, 4_000_000
 ROWS = 100_000
 
-SEPARATORS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
-COUNTED = "lang string, phrase string, k int, n long"
+SEPARATORS = b".,;:!?\n\x0b\x0c\r"
+COUNTED = "key string, n long"
 
 
 def _byte_table() -> bytes:
@@ -92,30 +93,28 @@ def has(bloom: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def phrase_hashes(langs: list[str], phrases: list[str]) -> np.ndarray:
-    out = np.zeros(len(phrases), np.uint64)
-    for i, (lang, phrase) in enumerate(zip(langs, phrases)):
-        seed = lang_seed(lang)
-        first, *rest = [np.array([xxhash.xxh64_intdigest(w, seed)], np.uint64) for w in phrase.encode().split(b" ")]
-        for word in rest:
-            first = mixed(first, word)
-        out[i] = first[0]
+    """The hashes that :class:`Block` gives to phrases."""
+    seeds = {lang: lang_seed(lang) for lang in set(langs)}
+    split = [p.encode().split(b" ") for p in phrases]
+    sizes = np.array([len(w) for w in split], np.int64)
+    words = np.array([xxhash.xxh64_intdigest(w, seeds[lang]) for lang, ws in zip(langs, split) for w in ws], np.uint64)
+    start = np.cumsum(sizes) - sizes
+    out = words[start] if len(sizes) else words
+    for k in range(1, sizes.max(initial=0)):
+        more = np.flatnonzero(sizes > k)
+        out[more] = mixed(out[more], words[start[more] + k])
     return out
 
 
-def filter_of(phrases: DataFrame, bits: int, old: np.ndarray | None = None) -> tuple[np.ndarray, bool]:
-    """Filter of ``bits`` bits with ``(lang, phrase)`` rows beside those of ``old``, and whether any of them is new.
+def filter_of(phrases: DataFrame, bits: int, old: np.ndarray | None = None) -> np.ndarray:
+    """Filter of ``bits`` bits with ``(lang, phrase)`` rows, beside those of ``old``.
 
     Words of 64 bits are combined by their place before they come to the driver, so it gets ``bits / 64`` rows at most.
     """
-    spark = phrases.sparkSession
-    held = None if old is None else spark.sparkContext.broadcast(old)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = phrase_hashes(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())
-            if held is not None:
-                h = h[~has(held.value, h)]
-            at = np.concatenate(list(probes(h, bits))) if len(h) else np.zeros(0, np.uint64)
+            at = np.concatenate(list(probes(h, bits)))
             place, code = np.unique(at >> np.uint64(6), return_inverse=True)
             value = np.zeros(len(place), np.uint64)
             np.bitwise_or.at(value, code, np.uint64(1) << (at & np.uint64(63)))
@@ -123,11 +122,20 @@ def filter_of(phrases: DataFrame, bits: int, old: np.ndarray | None = None) -> t
 
     words = phrases.select("lang", "phrase").mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
     bloom = np.zeros(bits // 64, np.uint64) if old is None else old.copy()
-    if len(words):
-        bloom[words["at"].to_numpy()] |= words["bits"].to_numpy().view(np.uint64)
-    if held is not None:
-        held.unpersist()
-    return bloom, len(words) > 0
+    bloom[words["at"].to_numpy(np.int64)] |= words["bits"].to_numpy(np.int64).view(np.uint64)
+    return bloom
+
+
+def failures_of(phrases: DataFrame, known: np.ndarray) -> DataFrame:
+    """The ``(lang, phrase)`` rows that a filter does not have."""
+    held = phrases.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = phrase_hashes(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())
+            yield batch.filter(pa.array(~has(held.value, h)))
+
+    return phrases.select("lang", "phrase").mapInArrow(run, "lang string, phrase string")
 
 
 # Counting --------------------------------------------------------------------------------------------------
@@ -146,85 +154,97 @@ def tokens_of(text: bytes) -> Iterator[tuple[list[bytes], int]]:
         start = stop
 
 
+class Numbers(dict):
+    """Numbers of a language's words, given as they come."""
+
+    def __init__(self, words: list[bytes]) -> None:
+        super().__init__({b"\n": -1})
+        self.words = words
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.words)
+        self.words.append(word)
+        return number
+
+
 class Block:
     """Words that a task has read, as numbers that a language has for itself; -1 ends a piece."""
 
     def __init__(self) -> None:
-        self.numbers: dict[str, dict[bytes, int]] = {}
+        self.numbers: dict[str, Numbers] = {}
         self.words: list[bytes] = []
-        self.langs: list[str] = []
-        self.ids: list[int] = []
-        self.old: list[int] = []
+        self.ids = array("q")
+        self.old = array("q")
 
     def add(self, lang: str, words: list[bytes], carried: int) -> None:
-        numbers = self.numbers.setdefault(lang, {b"\n": -1})
-        for w in set(words) - numbers.keys():
-            numbers[w] = len(self.words)
-            self.words.append(w)
-            self.langs.append(lang)
+        numbers = self.numbers.get(lang)
+        if numbers is None:
+            numbers = self.numbers[lang] = Numbers(self.words)
         self.old.extend(range(len(self.ids), len(self.ids) + carried))
         self.ids.extend(map(numbers.__getitem__, words))
         self.ids.append(-1)
 
     def counts(self, longest: int, known: np.ndarray | None, before: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-        """Partial counts of the phrases that ``known`` admits, or of all without it, less those that ``before`` admits."""
+        """Partial counts of the phrases that ``known`` admits, or of all without it.
+
+        With ``before``, only phrases that this filter did not admit are counted, and each of them admits longer ones.
+        """
         if not self.words:
             return
         ids = np.array(self.ids, np.int64)
         fresh = np.ones(len(ids), bool)
-        fresh[self.old] = False
+        fresh[np.array(self.old, np.int64)] = False
         v = len(self.words)
-        names, order = np.unique(np.array(self.langs, object), return_inverse=True)
-        lang_names = pa.array(names.tolist(), pa.string())
-        word_hash = np.fromiter((xxhash.xxh64_intdigest(w, s) for w, s in zip(self.words, map(
-            {n: lang_seed(n) for n in names}.__getitem__, self.langs))), np.uint64, v)
+        lang = np.zeros(v, np.int64)
+        for i, numbers in enumerate(self.numbers.values()):
+            lang[np.fromiter(numbers.values(), np.int64, len(numbers))[1:]] = i
+        names, seeds = [n.encode() + b"\n" for n in self.numbers], [lang_seed(n) for n in self.numbers]
+        word_hash = np.fromiter(map(xxhash.xxh64_intdigest, self.words, map(seeds.__getitem__, lang.tolist())), np.uint64, v)
         words = pa.array(self.words, pa.binary())
-        place, here = ids, ids[ids >= 0]
-        phrase, hashes, lang = words, word_hash, order
+        # The phrase at each place by its number, -1 for none; by number: its key, its hash, and whether it is new.
+        key = pc.binary_join_element_wise(pa.array(names, pa.binary()).take(pa.array(lang)), words, b"")
+        place, hashes, new = ids, word_hash, np.zeros(v, bool)
         if before is None:
             count = np.bincount(ids[(ids >= 0) & fresh], minlength=v)
-            yield from self._rows(lang_names, lang, phrase.cast(pa.string()), 1, count)
-            total = np.bincount(order, weights=count, minlength=len(names)).astype(np.int64)
-            yield from self._rows(lang_names, np.arange(len(names)), pa.array([""] * len(names)), 0, total)
+            yield from self._rows(key, count)
+            yield from self._rows(pa.array(names, pa.binary()), np.bincount(lang, weights=count, minlength=len(names)))
         for k in range(2, longest + 1):
-            if not len(here):
+            good = np.ones(len(hashes), bool) if known is None else new | has(known, hashes)
+            past = good if before is None else has(before, hashes) & ~new
+            # The last entry stands for places without a phrase.
+            at_good = np.append(good, False)[place]
+            pair = np.flatnonzero(at_good[:-1] & at_good[1:])
+            if not len(pair):
                 return
-            # Whether the phrase at a place was proposed; -1 is a place without a phrase.
-            good, past = np.zeros(len(place), bool), np.zeros(len(place), bool)
-            at = np.flatnonzero(place >= 0)
-            good[at] = True if known is None else has(known, hashes)[place[at]]
-            if before is not None:
-                past[at] = has(before, hashes)[place[at]]
-            pair = np.flatnonzero(good[:-1] & good[1:])
             code, unique = pd.factorize(place[pair] * np.int64(v) + ids[pair + k - 1])
             head, last = unique // v, unique % v
             count = np.bincount(code[fresh[pair + k - 1]], minlength=len(unique))
+            key = pc.binary_join_element_wise(key.take(pa.array(head)), words.take(pa.array(last)), b" ")
+            hashes, new = mixed(hashes[head], word_hash[last]), np.zeros(len(unique), bool)
             if before is not None:
-                done = np.zeros(len(unique), bool)
-                done[code] = past[pair] & past[pair + 1]
-                count[done] = 0
-            phrase = pc.binary_join_element_wise(phrase.take(pa.array(head)), words.take(pa.array(last)), b" ")
-            hashes, lang = mixed(hashes[head], word_hash[last]), lang[head]
-            yield from self._rows(lang_names, lang, phrase.cast(pa.string()), k, count)
+                at_past = np.append(past, False)[place]
+                new[code[~(at_past[pair] & at_past[pair + 1])]] = True
+                count[~new] = 0
+            yield from self._rows(key, count)
             place = np.full(len(place) - 1, -1, np.int64)
             place[pair] = code
-            here = code
 
     @staticmethod
-    def _rows(names: pa.Array, lang: np.ndarray, phrase: pa.Array, k: int, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def _rows(key: pa.Array, count: np.ndarray) -> Iterator[pa.RecordBatch]:
         some = np.flatnonzero(count)
         for i in range(0, len(some), ROWS):
             at = some[i:i + ROWS]
-            yield pa.RecordBatch.from_arrays(
-                [names.take(pa.array(lang[at])), phrase.take(pa.array(at)), pa.array(np.full(len(at), k, np.int32)),
-                 pa.array(count[at].astype(np.int64))], names=["lang", "phrase", "k", "n"])
+            yield pa.RecordBatch.from_arrays([key.take(pa.array(at)).cast(pa.string()), pa.array(count[at].astype(np.int64))], names=["key", "n"])
+
 
+def count_phrases(docs: DataFrame, longest: int, least: int, known: np.ndarray | None = None, before: np.ndarray | None = None) -> DataFrame:
+    """Exact counts of ``(lang, text)`` rows' phrases, if at least ``least``: ``(lang, phrase, k, n)`` rows.
 
-def count_phrases(docs: DataFrame, longest: int, known: np.ndarray | None = None, before: np.ndarray | None = None) -> DataFrame:
-    """Exact counts of ``(lang, text)`` rows' phrases: ``(lang, phrase, k, n)``; ``k`` is 0 for all words of a language.
+    Rows with ``k`` 0 have the number of all words of a language, whatever it is; with ``before`` there are none.
 
     Without ``known`` all phrases of up to ``longest`` words are counted, with it single words and the phrases whose two
-    shorter parts the filter has; with ``before`` only phrases that this filter did not admit.
+    shorter parts the filter has; with ``before`` only phrases that this filter did not admit, and then also those that
+    have such a phrase as a part.
     """
     context = docs.sparkSession.sparkContext
     held = [None if b is None else context.broadcast(b) for b in (known, before)]
@@ -242,7 +262,11 @@ def count_phrases(docs: DataFrame, longest: int, known: np.ndarray | None = None
         yield from block.counts(longest, *filters)
 
     rows = docs.select("lang", F.encode("text", "UTF-8").alias("text")).mapInArrow(run, COUNTED)
-    return rows.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
+    # One key of language and phrase: words hold no line end, so what follows the last one is the phrase.
+    counted = rows.groupBy("key").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | F.endswith("key", F.lit("\n")))
+    phrase = F.substring_index("key", "\n", -1)
+    return counted.select(F.expr("substring(key, 1, length(key) - length(substring_index(key, '\n', -1)) - 1)").alias("lang"),
+                          phrase.alias("phrase"), F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " "))).alias("k"), "n")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sample: int = SAMPLE, lowered: int = LOWERED,
@@ -252,25 +276,29 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     Rows are ``(lang, phrase, k, n)``; rows with ``k`` 0 have the number of all words of a language. A phrase is counted
     within pieces of texts, overlaps included, and per language; a null language is ``und``, a null text is empty.
     """
-    rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    part = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0).select(
-        F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    proposed = materialize(count_phrases(part, longest - 1).where((F.col("k") > 0) & (F.col("n") >= lowered)), "proposed")
-    bits = min(max(1 << (proposed.count() * BITS).bit_length(), 1 << 16), most_bits)
-    known, _ = filter_of(proposed, bits)
-    enough = (F.col("n") >= least) | (F.col("k") == 0)
-    found, before = [], None
-    while True:
-        found.append(materialize(count_phrases(rows, longest, known, before).where(enough), "phrases"))
-        failures = found[-1].where(F.col("k").between(1, longest - 1))
-        wider, grown = filter_of(failures, bits, known)
-        if not grown:
-            break
-        known, before = wider, known
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out, len(found)
+    rows = docs.select("doc_id", F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    known = proposed_by(rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0), longest - 1, lowered, most_bits)
+    found = materialize(count_phrases(rows, longest, least, known), "phrases")
+    parts = found.where(F.col("k").between(1, longest - 1))
+    if not failures_of(parts, known).count():
+        return found, 1
+    exact = filter_of(parts, len(known) * 64)
+    more = materialize(count_phrases(rows, longest, least, exact, known), "phrases")
+    return found.unionByName(more), 2
+
+
+def proposed_by(sample: DataFrame, longest: int, lowered: int, most_bits: int) -> np.ndarray:
+    """Filter of the phrases of up to ``longest`` words that a sample has ``lowered`` times, found word by word."""
+    known = before = None
+    for k in range(1, longest + 1):
+        counted = materialize(count_phrases(sample, k, lowered, known, before).where(F.col("k") == k), "proposed")
+        if known is None:
+            # Longer phrases are several times as many as words; a fuller filter only admits more.
+            bits = min(max(1 << (counted.count() * BITS * 3).bit_length(), 1 << 16), most_bits)
+            known, before = filter_of(counted, bits), np.zeros(bits // 64, np.uint64)
+        else:
+            known, before = filter_of(counted, bits, known), known
+    return known
 
 
 # Scores ----------------------------------------------------------------------------------------------------
