@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.text import joined_key
 from millrace.functions.types import as_text
-from millrace.sinks.folded import FoldedBatches
+from millrace.sinks.folded import FoldedBatches, FoldedRanges
 
 FAMILY = "cf"
 CELL_COLUMNS = ["rowkey", "family", "qualifier", "value"]
@@ -93,6 +93,11 @@ def cell_store(path: str, version: Sequence[str]) -> FoldedBatches:
     return FoldedBatches(path, lambda cells: latest_versions(cells, version))
 
 
+def ranged_cell_store(path: str, version: Sequence[str], ranges: int = 64) -> FoldedRanges:
+    """As :func:`cell_store`, in ranges of the row key: folding rewrites only ranges that its batches touch."""
+    return FoldedRanges(path, lambda cells: latest_versions(cells, version), "rowkey", ranges)
+
+
 def keyed_upsert(existing: DataFrame, incoming: DataFrame, version: Sequence[str]) -> DataFrame:
     """Cell-level upsert: a column that is absent from a newer row keeps its older value."""
     return latest_cells(existing.unionByName(incoming), version)

@@ -103,6 +103,27 @@ def describe_long(df: DataFrame, columns: Sequence[str], percentiles: Sequence[f
         F.inline(F.array(*[F.col(f"s{i}") for i in range(len(aggs))])))
 
 
+def value_sketches(df: DataFrame, column: str, keys: Sequence[str], k: int = 1000) -> DataFrame:
+    """One KLL sketch of the column's values per key, as ``(keys…, n, sketch)`` rows to be stored; NULLs and NaN are left out.
+
+    Each task sketches its own rows first, so it shuffles sketches and never values. ``k`` of 1000 keeps ranks within 0.4 %.
+    """
+    x = F.col(column).cast("double")
+    return df.where(x.isNotNull() & ~F.isnan(x)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(x, F.lit(k)).alias("sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, keys: Sequence[str], probs: Sequence[float], k: int = 1000) -> DataFrame:
+    """``(keys…, prob, value, n)`` of all values behind the sketches of a key; only sketches are read.
+
+    Sketches of days merge into those of any range of days, and merged ones merge again.
+    """
+    merged = sketches.groupBy(*keys).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(k)).alias("_all"))
+    picks = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.kll_sketch_get_quantile_double("_all", F.lit(float(p))).alias("value"))
+                      for p in probs])
+    return merged.select(*keys, "n", F.explode(picks).alias("_q")).select(*keys, "_q.prob", "_q.value", "n")
+
+
 def frequent_items(df: DataFrame, column: str, support: float) -> DataFrame:
     """Values that make up at least ``support`` of all rows, NULL among them, with their exact counts.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.text import joined_key
 from millrace.operators.cells import rows_to_cells, slice_by_day, split_keyless
-from millrace.sinks.folded import FoldedBatches
+from millrace.sinks.folded import CONTINUE, FoldedBatches
 
 # Balance keys, and the trade flags that add to or subtract from a stock balance.
 STOCK_KEY = ("fundid", "secuid", "orgid", "market", "stkcode", "serverid")
@@ -27,9 +27,27 @@ def seed_cells(snapshot: DataFrame, date_column: str, day: str, keys: Sequence[s
 def distinct_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Messages without repeated ones. The whole text is compared, before it is parsed into columns.
 
-    On a stream the state holds every message seen, as a delivery guarantee without a time limit needs.
+    On a stream the state holds a digest and the length of every message seen, as a delivery guarantee without a time
+    limit needs; :func:`distinct_within` forgets them.
     """
-    return messages.dropDuplicates([value])
+    if not messages.isStreaming:
+        return messages.dropDuplicates([value])
+    return _digested(messages, value).dropDuplicates(["_digest", "_length"]).select(*messages.columns)
+
+
+def _digested(messages: DataFrame, value: str) -> DataFrame:
+    return messages.withColumn("_digest", F.unhex(F.sha2(F.col(value).cast("string"), 256))).withColumn(
+        "_length", F.octet_length(F.col(value).cast("string")))
+
+
+def distinct_within(messages: DataFrame, day: Column, delay: str = "3 days", value: str = "value") -> DataFrame:
+    """A stream's messages without repeated ones, with state that ends ``delay`` after their trade day (a timestamp).
+
+    A message is known by its SHA-256 and length while repeats of it may come. What comes later than that is dropped, also
+    a first delivery, so that nothing counts twice: choose the delay by how late a day's trades may be.
+    """
+    marked = _digested(messages, value).withColumn("_day", day).withWatermark("_day", delay)
+    return marked.dropDuplicatesWithinWatermark(["_digest", "_length"]).select(*messages.columns)
 
 
 def counts(flag: Column, match_type: Column) -> Column:
@@ -90,14 +108,22 @@ def running_balance(seed: DataFrame, deltas: DataFrame) -> DataFrame:
     return merged.withColumnRenamed("delta", "balance")
 
 
-def delta_store(path: str) -> FoldedBatches:
+def delta_store(path: str, new_run: str = CONTINUE) -> FoldedBatches:
     """Summed changes by batch id; a batch costs what it holds, and folding keeps the latest (day, no)."""
-    return FoldedBatches(path, sum_deltas)
+    return FoldedBatches(path, sum_deltas, new_run)
+
 
+def delta_sink(path: str, to_deltas=sum_deltas, new_run: str = CONTINUE, after_day: int | None = None):
+    """Stream sink: each batch's changes, summed per key. A replayed batch counts once, folded or not.
+
+    When a checkpoint is lost, the next run is a new one. If its source goes on where the lost one ended, its batches add
+    to what is there (``CONTINUE``). If the source is read from its beginning, ``AGAIN`` lets them replace what earlier
+    runs wrote; ``after_day`` is the start day, whose balances are the seed: changes up to it are left out.
+    """
+    def prepare(deltas: DataFrame) -> DataFrame:
+        return to_deltas(deltas if after_day is None else deltas.where(F.col("last_day") > after_day))
 
-def delta_sink(path: str, to_deltas=sum_deltas):
-    """Stream sink: each batch's changes, summed per key. A replayed batch counts once, folded or not."""
-    return delta_store(path).sink(to_deltas)
+    return delta_store(path, new_run).sink(prepare)
 
 
 def balances_from(spark: SparkSession, seed: DataFrame, path: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -67,6 +69,26 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+class JsonLines:
+    """Target of :class:`RowWriter`: one file of JSON lines per task and batch, which a task that runs again overwrites."""
+
+    def __init__(self, path: str):
+        files, name = pafs.FileSystem.from_uri(path)
+        files.create_dir(name.rsplit("/", 1)[0], recursive=True)
+        self.out = files.open_output_stream(name)
+
+    @staticmethod
+    def below(path: str) -> Callable[[int, int], JsonLines]:
+        """``connect`` for files ``batch_id=e/part-p.json`` below a folder."""
+        return lambda partition_id, epoch_id: JsonLines(f"{path}/batch_id={epoch_id}/part-{partition_id}.json")
+
+    def write(self, row) -> None:
+        self.out.write((json.dumps(row.asDict(recursive=True), default=str) + "\n").encode())
+
+    def close(self) -> None:
+        self.out.close()
+
+
 class RowWriter:
     """Row-wise stream writer with ``open``/``process``/``close``, for targets that only take single rows.
 

@@ -81,3 +81,14 @@ def read_jdbc(spark: SparkSession, url: str, dbtable: str, properties: dict[str,
         reader = reader.options(partitionColumn=split_column, lowerBound=bounds[0],
                                 upperBound=bounds[1], numPartitions=partitions)
     return reader.load()
+
+
+def rows_per_folder(df: DataFrame) -> DataFrame:
+    """``(folder, n_rows, listed)``: rows by the last folder of their file, and whether ``inputFiles`` names a file of it.
+
+    File names differ from run to run, folders do not. The list of files is the one that the scan holds on the driver.
+    """
+    last = lambda path: path.rsplit("/", 2)[-2]
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    counted = df.select(folder.alias("folder")).groupBy("folder").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.withColumn("listed", F.col("folder").isin(sorted({last(p) for p in df.inputFiles()})))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions.dates import period_bounds
 from millrace.functions.records import FUND_SNAPSHOT, LEDGER, STOCK_SNAPSHOT, TRADE, parse_delimited
 from millrace.functions.types import conform
+from millrace.operators.ordered import running_totals
 from millrace.plans import balances, bank_transfers, daily_sync, events, freshness
 from millrace.session import materialize, work_path
 from millrace.sources.files import table
@@ -376,6 +377,16 @@ def running_balance(spark, d):
     return balances.running_balance(seed, balances.stock_deltas(trades, SEED_DAY))
 
 
+@query("running_total_rows", BALANCE_SQL[:BALANCE_SQL.index("late AS")].rstrip().rstrip(",") + """
+SELECT rowkey, trddate AS last_day, matchsno AS last_no, delta, CAST(sum(delta) OVER (
+    PARTITION BY rowkey ORDER BY trddate, matchsno, delta ROWS UNBOUNDED PRECEDING) AS BIGINT) AS balance FROM t""")
+def running_total_rows(spark, d):
+    """The balance after every trade."""
+    deltas = balances.stock_deltas(seed_and_trades(spark, d)[1])
+    return running_totals(deltas, ["rowkey"], ["last_day", "last_no", "delta"], "delta", "balance").select(
+        "rowkey", "last_day", "last_no", "delta", "balance")
+
+
 @query("balance_rejects", f"""
 SELECT matchsno, stkcode, trddate FROM ({TRADE_SQL}) WHERE matchsno % 7 = 0""")
 def balance_rejects(spark, d):

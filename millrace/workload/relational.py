@@ -9,6 +9,8 @@ from millrace.functions.text import sorted_set
 from millrace.functions.types import conform
 from millrace.operators import aggregates, joins
 from millrace.operators.cells import slice_by_day
+from millrace.operators.ordered import with_position
+from millrace.operators.theta import theta_join
 from millrace.sources.files import table
 from millrace.workload.registry import query
 
@@ -248,6 +250,28 @@ def join_theta_pairs(spark, d):
     return pairs.select("l.c_custkey", "l.c_name", "r.r_regionkey", "r.r_name")
 
 
+@query("join_theta_large", """
+SELECT event_id, o_orderkey, spent, o_totalprice FROM (
+  SELECT event_id, value * 100 AS spent, CAST(epoch_us(ts) // 1000000 AS BIGINT) % 86400 AS clock FROM events) e
+LEFT JOIN (SELECT o_orderkey, o_totalprice, o_orderkey % 86400 AS slot FROM orders) o ON spent > o_totalprice AND clock < slot""")
+def join_theta_large(spark, d):
+    """Two large sides that only inequalities connect; events without a match stay."""
+    e = table(spark, d, "events").select("event_id", (F.col("value") * 100).alias("spent"),
+                                         (F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000) % 86400).alias("clock"))
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", (F.col("o_orderkey") % 86400).alias("slot"))
+    return theta_join(e, o, [("spent", ">", "o_totalprice"), ("clock", "<", "slot")]).select(
+        "l.event_id", "r.o_orderkey", "l.spent", "r.o_totalprice")
+
+
+@query("sort_positions", """
+SELECT l_shipdate, l_orderkey, l_linenumber, l_extendedprice, row_number() OVER (
+    ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_extendedprice) AS position FROM lineitem""")
+def sort_positions(spark, d):
+    """The place of every line item in one order over all of them."""
+    l = table(spark, d, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice")
+    return with_position(l, [F.desc("l_shipdate"), "l_orderkey", "l_linenumber", "l_extendedprice"])
+
+
 @query("join_broadcast", """
 SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def join_broadcast(spark, d):

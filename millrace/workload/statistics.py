@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import sampling, sessions, statistics as st
+from millrace.session import materialize
 from millrace.sources.files import table
 from millrace.workload.registry import query
 
@@ -32,6 +33,26 @@ def stat_quantile_approx(spark, d):
     return l.agg(checks.alias("checks")).select(F.inline("checks"))
 
 
+@query("stat_quantile_merge", " UNION ALL ".join(
+    f"""SELECT l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS year, CAST({p} AS DOUBLE) AS prob, count(*) AS n, true AS within_error
+        FROM lineitem GROUP BY 1, 2""" for p in PROBS))
+def stat_quantile_merge(spark, d):
+    """Quantiles per flag and year from stored sketches of single days; ranks are checked against all rows."""
+    l, error = table(spark, d, "lineitem"), 0.01
+    rows = l.select("l_returnflag", F.to_date("l_shipdate").alias("day"), F.col("l_extendedprice").alias("x"))
+    stored = materialize(st.value_sketches(rows, "x", ["l_returnflag", "day"]), "sketches")
+    year = F.year("day").alias("year")
+    found = st.merged_quantiles(stored.withColumn("year", year), ["l_returnflag", "year"], PROBS)
+    # One row per flag and year on this side, with all its quantiles.
+    wide = found.groupBy("l_returnflag", "year").agg(F.map_from_entries(F.collect_list(F.struct("prob", "value"))).alias("q"), F.max("n").alias("n"))
+    value = {p: F.element_at("q", F.lit(p)) for p in PROBS}
+    ranks = rows.withColumn("year", year).join(wide, ["l_returnflag", "year"]).groupBy("l_returnflag", "year", "n").agg(F.array(*[
+        F.struct(F.lit(p).alias("prob"), ((F.avg((F.col("x") < v).cast("int")) <= p + error)
+                                          & (F.avg((F.col("x") <= v).cast("int")) >= p - error)).alias("within_error"))
+        for p, v in value.items()]).alias("checks"))
+    return ranks.select("l_returnflag", "year", "n", F.inline("checks"))
+
+
 @query("stat_cov", "SELECT round(covar_samp(l_quantity, l_extendedprice), 2) AS cov FROM lineitem")
 def stat_cov(spark, d):
     return table(spark, d, "lineitem").agg(F.round(F.covar_samp("l_quantity", "l_extendedprice"), 2).alias("cov"))

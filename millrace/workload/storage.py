@@ -10,9 +10,10 @@ from millrace.functions.dates import compact_day
 from millrace.functions.records import parse_delimited
 from millrace.functions.text import joined_key, padded_key, salted_key
 from millrace.functions.types import schema_from_names
-from millrace.operators.cells import (cells_to_wide, export_sorted, key_range, cell_store, rows_to_cells)
+from millrace.operators.cells import (cells_to_wide, export_sorted, key_range, cell_store, ranged_cell_store, rows_to_cells)
 from millrace.session import cut_lineage, work_path
 from millrace.sinks import writers
+from millrace.sinks.buckets import BucketStore
 from millrace.sources import files, incremental
 from millrace.sources.files import table
 from millrace.workload.registry import query
@@ -274,6 +275,78 @@ def cells_key_range(spark, d):
 _OLD = "o_orderdate < TIMESTAMP '1998-01-01'"
 
 
+UPSERT_SQL = """
+WITH c AS (
+  SELECT o_custkey, 'o_orderstatus' AS qualifier, o_orderstatus AS value, o_orderdate, o_orderkey FROM orders
+  UNION ALL SELECT o_custkey, 'priority', nullif(o_orderpriority, '5-LOW'), o_orderdate, o_orderkey FROM orders)
+SELECT CAST(o_custkey AS VARCHAR) AS rowkey, 'cf' AS family, qualifier,
+       arg_max(value, (o_orderdate, o_orderkey)) AS value
+FROM c WHERE value IS NOT NULL GROUP BY o_custkey, qualifier"""
+
+
+def order_cells(spark, d):
+    """Two cells of every order under its customer's key, with the version columns."""
+    wide = table(spark, d, "orders").select(
+        F.col("o_custkey").cast("string").alias("rowkey"), "o_orderdate", "o_orderkey", "o_orderstatus",
+        F.nullif("o_orderpriority", F.lit("5-LOW")).alias("priority"))
+    cells = wide.unpivot(["rowkey", "o_orderdate", "o_orderkey"], ["o_orderstatus", "priority"], "qualifier", "value")
+    return cells.where("value IS NOT NULL").withColumn("family", F.lit("cf"))
+
+
+@query("keyed_upsert_ranges", UPSERT_SQL)
+def keyed_upsert_ranges(spark, d):
+    """Cells in key ranges: older orders, then later days in batches that are folded or merged on read."""
+    cells, day = order_cells(spark, d), F.col("o_orderdate")
+    cuts = [F.lit(x).cast("timestamp_ntz") for x in ("1998-01-01", "2000-01-01")]
+    store = ranged_cell_store(work_path(spark, "ranges"), ["o_orderdate", "o_orderkey"], ranges=8)
+    write, late = store.sink(), cells.where(day >= cuts[1])
+    write(cells.where(day < cuts[0]), 0)
+    store.compact(spark, 0)
+    write(cells.where((day >= cuts[0]) & (day < cuts[1])), 1)
+    write(late.where("rowkey < '2'"), 2)
+    store.compact(spark, 2)
+    for rows, batch_id in ((late.where("rowkey >= '2'"), 3), (cells.where(day < cuts[0]), 0), (late.where("rowkey < '2'"), 2)):
+        write(rows, batch_id)
+    return store.read(spark).select("rowkey", "family", "qualifier", "value")
+
+
+@query("point_lookup", """
+SELECT event_id, user_id, n_orders, last_order FROM events LEFT JOIN (
+  SELECT o_custkey, count(*) AS n_orders, max(o_orderdate) AS last_order FROM orders GROUP BY 1) ON user_id = o_custkey""")
+def point_lookup(spark, d):
+    """Each batch of a day's events reads the buckets of its users from a store of order totals per customer."""
+    totals = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("user_id")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.max("o_orderdate").alias("last_order"))
+    store = BucketStore(work_path(spark, "totals"), ["user_id"])
+    store.create(totals, buckets=16)
+    events, out = table(spark, d, "events").select("event_id", "user_id"), work_path(spark, "looked-up")
+    sink = writers.batch_folder_sink(out, store.look_up)
+    for i in range(3):
+        sink(events.where(F.pmod(F.xxhash64("user_id"), F.lit(3)) == i), i)
+    return writers.read_batches(spark, out).select("event_id", "user_id", "n_orders", "last_order")
+
+
+@query("point_ledger", "SELECT user_id, min(event_id) AS event_id FROM events GROUP BY 1")
+def point_ledger(spark, d):
+    """Keys that are looked up and stored if they are new, in batches of which one comes again."""
+    events = table(spark, d, "events").select("user_id", "event_id").where("user_id IS NOT NULL")
+    store = BucketStore(work_path(spark, "ledger"), ["user_id"])
+    third = events.agg(F.max("event_id")).first()[0] // 3 + 1
+    part = lambda i: events.where(F.floor(F.col("event_id") / third) == i)
+    store.create(events.limit(0), buckets=16)
+    for i in (0, 1, 1, 2):
+        store.put_new(part(i))
+    return spark.read.parquet(f"{store.path}/data").select("user_id", "event_id")
+
+
+@query("input_files", "SELECT 'o_orderstatus=' || o_orderstatus AS folder, count(*) AS n_rows, true AS listed FROM orders GROUP BY 1")
+def input_files(spark, d):
+    """Rows by the folder of the file that they come from, and whether the table's list of files names that folder."""
+    path = work_path(spark, "orders-by-status")
+    writers.write_partitioned(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), path, ["o_orderstatus"])
+    return files.rows_per_folder(spark.read.parquet(path))
+
+
 @query("keyed_upsert", """
 WITH c AS (
   SELECT o_custkey, 'o_orderstatus' AS qualifier, o_orderstatus AS value, o_orderdate, o_orderkey FROM orders

@@ -11,16 +11,18 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from millrace.functions.records import TRADE, parse_delimited
 from millrace.plans import balances, bank_transfers
 from millrace.session import work_path
-from millrace.sinks.writers import batch_folder_sink, read_batches
-from millrace.sources import incremental
+from millrace.sinks import committed
+from millrace.sinks.folded import AGAIN
+from millrace.sinks.writers import JsonLines, RowWriter, batch_folder_sink, read_batches
+from millrace.sources import incremental, offset_stream
 from millrace.sources.envelopes import ENVELOPE, decode, to_envelope
 from millrace.sources.files import table
 from millrace.streaming import operators as so
-from millrace.streaming.run import run_available_now, run_foreach_batch, stream_sql
+from millrace.streaming.run import run_available_now, run_foreach_batch, run_observed, stream_sql
 from millrace.workload.jobs import (BALANCE_SQL, FUND_SQL, SEED_DAY, TRANSFER_SQL, fund_records, seed_and_trades,
                                     transfer_messages, transfer_records)
 from millrace.workload.registry import query
-from millrace.workload.scalars import ledger_lines, trade_lines
+from millrace.workload.scalars import TRADE_SQL, ledger_lines, trade_lines
 
 BATCHES, FILES = 3, 4  # micro-batches of a staged stream, and files of each
 
@@ -204,6 +206,49 @@ def stream_foreach_batch(spark, d):
     return read_batches(spark, out).drop("batch_id")
 
 
+@query("stream_foreach_writer", "SELECT event_id, event_type, value FROM events")
+def stream_foreach_writer(spark, d):
+    """Row by row through a writer with open, process and close: one file per task and batch, read back."""
+    path, per_trigger = stage(table(spark, d, "events").select("event_id", "event_type", "value"), "events")
+    schema = "event_id BIGINT, event_type STRING, value DOUBLE"
+    stream, out = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(path), work_path(spark, "rows")
+    (stream.writeStream.foreach(RowWriter(JsonLines.below(out))).trigger(availableNow=True)
+     .option("checkpointLocation", work_path(spark, "stream-checkpoint")).start().awaitTermination())
+    return spark.read.schema(schema).json(out).select("event_id", "event_type", "value")
+
+
+@query("stream_writer_commit", "SELECT event_id, event_type, value, ts FROM events")
+def stream_writer_commit(spark, d):
+    """A sink of our own whose batches become visible as a whole; one batch comes again after the stream's end was lost."""
+    committed.register(spark)
+    e = table(spark, d, "events").select("event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+    path, per_trigger = stage(e, "events")
+    out, checkpoint = work_path(spark, "committed"), work_path(spark, "stream-checkpoint")
+    for _ in range(2):
+        stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
+        (stream.writeStream.format("committed_files").option("path", out).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start().awaitTermination())
+        checkpoint = work_path(spark, "stream-checkpoint")  # the same files and batch ids once more
+    return committed.read_committed(spark, out, e.schema).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("stream_progress", """
+SELECT CAST(event_id % 3 AS BIGINT) AS batch_id, count(*) AS input_rows, CAST(count(*) AS VARCHAR) AS n_rows,
+       CAST(max(event_id) AS VARCHAR) AS last_event, CAST(count(*) FILTER (value > 50) AS VARCHAR) AS n_large, true AS all_written
+FROM events GROUP BY 1""")
+def stream_progress(spark, d):
+    """Metrics of each batch as a listener gets them, against the rows that the batch wrote."""
+    e, path = table(spark, d, "events").select("event_id", "value"), work_path(spark, "events")
+    for i in range(BATCHES):
+        e.where(F.col("event_id") % BATCHES == i).repartition(FILES).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", FILES).parquet(path)
+    out = work_path(spark, "batches")
+    metrics = [F.count(F.lit(1)).alias("n_rows"), F.max("event_id").alias("last_event"), F.count_if(F.col("value") > 50).alias("n_large")]
+    seen, _ = run_observed(stream, batch_folder_sink(out), metrics, timeout=600)
+    written = read_batches(spark, out).groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(F.count(F.lit(1)).alias("_n"))
+    return seen.join(written, "batch_id", "left").withColumn("all_written", F.col("_n") == F.col("input_rows")).drop("_n")
+
+
 # --- joins -----------------------------------------------------------------------------------
 
 
@@ -227,6 +272,28 @@ def stream_stream_join(spark, d):
     return run_available_now(joined.select("click_id", "view_id", "user_id"))
 
 
+@query("stream_stream_left", """
+SELECT a.event_id AS click_id, b.event_id AS view_id, a.user_id FROM (SELECT * FROM events WHERE event_type = 'click') a
+LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') b
+ON a.user_id = b.user_id AND a.ts >= b.ts AND a.ts < b.ts + INTERVAL 6 HOURS""")
+def stream_stream_left(spark, d):
+    """Left-outer: a click without a view comes out with a NULL once the watermark says that none can follow.
+
+    A closing pair two days after the last event, on either side, moves the watermark past every other row.
+    """
+    e = table(spark, d, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    last = e.agg((F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts"))
+    closing = last.select(F.lit(-1).cast("bigint").alias("event_id"), F.lit(None).cast("bigint").alias("user_id"),
+                          F.explode(F.array(F.lit("click"), F.lit("view"))).alias("event_type"), "ts")
+    path, per_trigger = stage(e.unionByName(closing), "events", order="ts")
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
+    clicks = stream.where("event_type = 'click'").select(F.col("event_id").alias("click_id"), "user_id", F.col("ts").alias("t1"))
+    views = stream.where("event_type = 'view'").select(
+        F.col("event_id").alias("view_id"), F.col("user_id").alias("viewer"), F.col("ts").alias("t2"))
+    joined = so.interval_stream_join(clicks, views, ("user_id", "viewer"), ("t1", "t2"), ("10 seconds", "15 seconds"), 6 * 3600, "left_outer")
+    return run_available_now(joined.select("click_id", "view_id", "user_id")).where("click_id >= 0")
+
+
 @query("stream_refreshing_lookup", """
 SELECT event_id, user_id, c_name FROM events JOIN customer ON user_id = c_custkey""")
 def stream_refreshing_lookup(spark, d):
@@ -257,6 +324,46 @@ def stream_balance(spark, d):
     return balances.balances_from(spark, seed, out)
 
 
+@query("stream_checkpoint_lost", BALANCE_SQL)
+def stream_checkpoint_lost(spark, d):
+    """The checkpoint is lost after a part of the trades; the next stream reads all of them from the start day on.
+
+    Batch ids begin at 0 again. The new run replaces what the lost one wrote, folded or not, and the start day keeps
+    trades that the seed holds out of it, so nothing is lost and nothing counts twice.
+    """
+    seed, _ = seed_and_trades(spark, d)
+    lines, path, out = trade_lines(spark, d), work_path(spark, "trades"), work_path(spark, "deltas")
+    third = F.pmod(F.xxhash64("value"), F.lit(3))
+
+    def run(checkpoint: str) -> None:
+        texts = spark.readStream.option("maxFilesPerTrigger", FILES).text(path)
+        trades = texts.transform(balances.distinct_messages).transform(parse_delimited, TRADE)
+        run_foreach_batch(balances.stock_deltas(trades), balances.delta_sink(out, new_run=AGAIN, after_day=SEED_DAY), checkpoint)
+
+    lost, again = work_path(spark, "checkpoint"), work_path(spark, "checkpoint")
+    for i in (0, 1):
+        lines.where(third == i).repartition(FILES).write.mode("append").text(path)
+        run(lost)
+    balances.compact(spark, out, 0)
+    lines.where(third == 2).repartition(FILES).write.mode("append").text(path)
+    run(again)
+    return balances.balances_from(spark, seed, out)
+
+
+@query("stream_dedup_expiring", 
+       "SELECT stkcode, matchsno, bsflag, matchqty, trddate FROM (" + TRADE_SQL.replace("FROM lineitem", "FROM (SELECT DISTINCT * FROM lineitem)") + ")")
+def stream_dedup_expiring(spark, d):
+    """Every third trade is delivered twice; digests of a day's trades are forgotten three days later."""
+    lines = trade_lines(spark, d)
+    again = lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == 0)
+    parsed = lines.unionByName(again).withColumn("_line", F.col("value")).transform(parse_delimited, TRADE)
+    dated = parsed.select(F.col("_line").alias("value"), F.to_timestamp(F.col("trddate").cast("string"), "yyyyMMdd").alias("day"))
+    path, per_trigger = stage(dated, "trades", order="day")
+    stream = spark.readStream.schema(dated.schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
+    once = balances.distinct_within(stream, F.col("day")).transform(parse_delimited, TRADE)
+    return run_available_now(once.select("stkcode", "matchsno", "bsflag", "matchqty", "trddate"))
+
+
 @query("balance_compacted", BALANCE_SQL)
 def balance_compacted(spark, d):
     """Batches of changes, some folded into a base; a folded one that comes again does not count twice."""
@@ -335,6 +442,31 @@ def incremental_slices(spark, d):
     return read_batches(spark, out).join(sizes, "batch_id").select("o_orderkey", "pos", "bounded")
 
 
+@query("incremental_source", f"SELECT o_orderkey, o_orderdate, {_OFFSET} AS pos, true AS bounded FROM orders")
+def incremental_source(spark, d):
+    """A growing table as a registered source: Spark holds the offsets, a restart goes on with what has come since."""
+    offset_stream.register(spark)
+    rows = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"), F.expr(_OFFSET).alias("pos"))
+    path, out, checkpoint = (work_path(spark, x) for x in ("offset-table", "polled", "stream-checkpoint"))
+    middle, n = rows.agg(F.percentile_approx("pos", 0.5), F.count(F.lit(1))).first()
+    most = n // 4
+
+    def run() -> None:
+        stream = (spark.readStream.format("offset_table").option("path", path).option("offsetcolumn", "pos").option("maxrows", most).load())
+        query = stream.writeStream.foreachBatch(batch_folder_sink(out)).option("checkpointLocation", checkpoint).start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    for part in (rows.where(F.col("pos") <= middle), rows.where(F.col("pos") > middle)):
+        part.repartitionByRange(4, "pos").write.mode("append").parquet(path)
+        run()
+    batches = read_batches(spark, out)
+    sizes = batches.groupBy("batch_id").agg((F.count(F.lit(1)) <= most).alias("bounded"))
+    return batches.join(sizes, "batch_id").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"), "pos", "bounded")
+
+
 @query("bank_transfer_incremental", TRANSFER_SQL)
 def bank_transfer_incremental(spark, d):
     """Transfers from a growing ledger table instead of messages, read by day and version."""
