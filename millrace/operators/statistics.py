@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Generator, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,17 +17,47 @@ def approx_quantiles(df: DataFrame, column: str, probs: Sequence[float], error:
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], leaf: int = 100_000) -> dict[float, float]:
-    """Exact quantiles with linear interpolation, without sorting or holding the column.
+    """Exact quantiles of one column; see :func:`exact_quantiles_of`."""
+    return exact_quantiles_of(df, [column], probs, leaf)[column]
+
+
+def exact_quantiles_of(df: DataFrame, columns: Sequence[str], probs: Sequence[float], leaf: int = 100_000) -> dict[str, dict[float, float]]:
+    """Exact quantiles with linear interpolation, without sorting or holding a column; all columns share the scans.
 
     Between equal neighbours, infinite ones too, nothing is interpolated. ``leaf`` bounds the values
-    that the last step sorts in one task and has no effect on the result.
+    of a column that the last step sorts in one task and has no effect on the result.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
-    n = values.count()
+    return in_one_scan(df, {c: _quantiles(F.col(c).cast("double"), probs, leaf) for c in columns})
+
+
+def in_one_scan(df: DataFrame, searches: dict[str, Generator]) -> dict:
+    """Results of searches that each yield lists of aggregates and get their values: every round is one scan for all of them."""
+    found, waiting = {}, {}
+
+    def go_on(name: str, values=None) -> None:
+        try:
+            waiting[name] = searches[name].send(values)
+        except StopIteration as end:
+            found[name] = end.value
+
+    for name in searches:
+        go_on(name)
+    while waiting:
+        asked, waiting = waiting, {}
+        row = df.agg(*[a.alias(f"a{i}") for i, a in enumerate(a for aggs in asked.values() for a in aggs)]).first()
+        at = 0
+        for name, aggs in asked.items():
+            go_on(name, row[at:at + len(aggs)])
+            at += len(aggs)
+    return found
+
+
+def _quantiles(x: Column, probs: Sequence[float], leaf: int) -> Generator:
+    (n,) = yield [F.count(x)]
     if not n:
         return {}
     at = {p: (n - 1) * p for p in probs}
-    found = order_statistics(values, sorted({min(int(r) + i, n - 1) for r in at.values() for i in (0, 1)}), n, leaf)
+    found = yield from order_statistics(x, sorted({min(int(r) + i, n - 1) for r in at.values() for i in (0, 1)}), n, leaf)
 
     def between(rank: float) -> float:
         low, high, part = found[int(rank)], found[min(int(rank) + 1, n - 1)], rank - int(rank)
@@ -36,22 +66,22 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], leaf: in
     return {p: between(r) for p, r in at.items()}
 
 
-def order_statistics(values: DataFrame, ranks: Sequence[int], n: int, leaf: int) -> dict[int, float]:
-    """Values at zero-based ``ranks`` of column ``x``, which has ``n`` values and no NULL.
+def order_statistics(x: Column, ranks: Sequence[int], n: int, leaf: int) -> Generator:
+    """Search for the values at zero-based ``ranks`` of a column, which has ``n`` values; NULLs do not count.
 
     For each rank a sketch gives two values around it; exact counts then tell whether one of them
     is the answer, or how many values lie strictly between them. That number falls by about a
     thousand per pass, ties or not. All ranks share the scans; once at most ``leaf`` values
     are left, those are sorted. Only counts and bracket ends reach the driver.
     """
-    x, accuracy, found = F.col("x"), 10_000, {}
-    low, high = values.agg(F.min("x"), F.max("x")).first()
+    accuracy, found = 10_000, {}
+    low, high = yield [F.min(x), F.max(x)]
     # Per open rank: the bracket ends, the rank of the first value strictly inside, and the number inside.
     open_ranks = {r: (low, high, None, n) for r in ranks}
 
-    def settle(ends: dict[int, tuple[float, float]]) -> None:
+    def settle(ends: dict[int, tuple[float, float]]) -> Generator:
         pairs = sorted(set(ends.values()))
-        counts = values.agg(*[F.count_if(c) for lo, hi in pairs for c in (x < lo, x <= lo, x < hi, x <= hi)]).first()
+        counts = yield [F.count_if(c) for lo, hi in pairs for c in (x < lo, x <= lo, x < hi, x <= hi)]
         for r, (lo, hi) in ends.items():
             i = 4 * pairs.index((lo, hi))
             under_lo, upto_lo, under_hi, upto_hi = counts[i:i + 4]
@@ -70,31 +100,31 @@ def order_statistics(values: DataFrame, ranks: Sequence[int], n: int, leaf: int)
     def inside(bracket: tuple) -> Column:
         return F.when((x > bracket[0]) & (x < bracket[1]), x)
 
-    settle({r: (low, high) for r in ranks})
+    yield from settle({r: (low, high) for r in ranks})
     while wide := {r: b for r, b in open_ranks.items() if b[3] > leaf}:
         # Ranks in one bracket share its sketch; neighbouring ranks also share the same grid cell.
         cell = {r: int((r - first) / count * accuracy) for r, (_, _, first, count) in wide.items()}
         edges = lambda r: [max(0.0, (cell[r] - 2) / accuracy), min(1.0, (cell[r] + 3) / accuracy)]
         members = {b: [r for r in wide if wide[r] == b] for b in sorted(set(wide.values()))}
-        sketches = values.agg(*[F.percentile_approx(inside(b), [e for r in rs for e in edges(r)], accuracy)
-                                for b, rs in members.items()]).first()
-        settle({r: tuple(ends[2 * i:2 * i + 2]) for rs, ends in zip(members.values(), sketches) for i, r in enumerate(rs)})
+        sketches = yield [F.percentile_approx(inside(b), [e for r in rs for e in edges(r)], accuracy) for b, rs in members.items()]
+        yield from settle({r: tuple(ends[2 * i:2 * i + 2]) for rs, ends in zip(members.values(), sketches) for i, r in enumerate(rs)})
     if open_ranks:
         rest = list(open_ranks)
-        picks = values.agg(*[F.get(F.sort_array(F.collect_list(inside(open_ranks[r]))), F.lit(r - open_ranks[r][2])) for r in rest]).first()
+        picks = yield [F.get(F.sort_array(F.collect_list(inside(open_ranks[r]))), F.lit(r - open_ranks[r][2])) for r in rest]
         found.update(zip(rest, picks))
     return found
 
 
 def describe_long(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float] = ()) -> DataFrame:
     """``(column, n, mean, stddev, min, max[, p25 …])``, one row per column, from a single scan plus
-    the quantile scans. ``mean`` and ``stddev`` of text columns are NULL; text extremes stay text."""
+    the quantile scans, which all columns share. ``mean`` and ``stddev`` of text columns are NULL; text extremes stay text."""
     numeric = {c: t for c, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint", "float", "double")
                or t.startswith("decimal")}
     aggs = []
+    exact = exact_quantiles_of(df, [c for c in columns if c in numeric], percentiles) if percentiles else {}
     for c in columns:
         x = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
-        quantiles = exact_quantiles(df, c, percentiles) if percentiles and c in numeric else {}
+        quantiles = exact.get(c, {})
         aggs.append(F.struct(
             F.lit(c).alias("column"), F.count(c).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"),
             F.min(c).cast("string").alias("min"), F.max(c).cast("string").alias("max"),

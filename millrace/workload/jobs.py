@@ -6,6 +6,7 @@ tables, limited to the period with filters that reach the scan.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -51,7 +52,7 @@ def event_tables(base: dict[str, DataFrame], period: str) -> dict:
 
     def bank_moves(status: str) -> DataFrame:
         """Moves of the period and of the period one year before it, each under its own label."""
-        before = str(int(period[:4]) - 1) + period[4:]
+        before = year_before(period)
         now = _between("o_orderdate", period)
         rows = base["orders"].where((F.col("o_orderstatus") == status) & (now | _between("o_orderdate", before)))
         return rows.select(custid, F.lit("1").alias("banktranid"), F.lit("2").alias("status"),
@@ -69,10 +70,8 @@ def event_tables(base: dict[str, DataFrame], period: str) -> dict:
         return pending.union(visits).union(markets).select("*", F.lit(0).alias("status"), label.alias("opendate"))
 
     def applications() -> DataFrame:
-        shipped = returned.where(_between("l_shipdate", period)).select("l_orderkey")
-        buyers = base["orders"].select("o_orderkey", "o_custkey")
-        return shipped.join(buyers, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            custid, label.alias("effectivedate"), F.lit("5").alias("status"))
+        buyers = base.get("buyers") or buyers_of(base, period)
+        return buyers.select(custid, label.alias("effectivedate"), F.lit("5").alias("status"))
 
     return {
         "custbaseinfo": lambda: c.select(
@@ -210,9 +209,22 @@ _JSON = _FIELDS + "".join(
 MESSAGES_SQL = f"SELECT 'point' AS topic, key, {_JSON} AS value FROM ({_ONCE})"
 
 
-def by_day(orders: DataFrame) -> DataFrame:
-    """The columns of orders that rules use, written in the order of the day, so that each rule reads its period only."""
-    used = orders.select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+def year_before(period: str) -> str:
+    return str(int(period[:4]) - 1) + period[4:]
+
+
+def buyers_of(base: dict[str, DataFrame], period: str) -> DataFrame:
+    """Buyers of what came back, by the day it was shipped; orders of any day count."""
+    shipped = base["lineitem"].where("l_returnflag = 'R'").where(_between("l_shipdate", period)).select("l_orderkey")
+    orders = base["orders"].select("o_orderkey", "o_custkey")
+    return shipped.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey")
+
+
+def by_day(orders: DataFrame, periods: Sequence[str]) -> DataFrame:
+    """The columns of orders that rules use, of these periods and the same a year earlier, written in the order of the
+    day, so that each rule reads its period only. The filter reaches the scan: other days are neither read nor copied."""
+    wanted = reduce(lambda a, b: a | b, [_between("o_orderdate", p) for period in periods for p in (period, year_before(period))])
+    used = orders.where(wanted).select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     return materialize(used.repartitionByRange("o_orderdate").sortWithinPartitions("o_orderdate"), "orders-by-day")
 
 
@@ -222,9 +234,10 @@ def all_events(spark, d, ledger: DataFrame | None = None) -> DataFrame:
     Orders, of which most of the rules' tables are made, are read for one copy by day and not by every rule.
     """
     base, groups = base_tables(spark, d), {}
-    base["orders"] = by_day(base["orders"])
     for code in events.RULE_CODES:
         groups.setdefault(rule_period(code), []).append(code)
+    base["buyers"] = materialize(buyers_of(base, rule_period("011101")), "buyers")
+    base["orders"] = by_day(base["orders"], list(groups))
     contexts = {period: event_context(base, period) for period in groups}
     rows = [events.candidates(contexts[period], codes) for period, codes in groups.items()]
     return events.new_events(reduce(DataFrame.unionByName, rows), events.individual_customers(contexts[MONTH]), ledger)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import functions as F, types as T
 
 from millrace.functions.dates import compact_day
@@ -223,6 +224,54 @@ def checkpoint_same_rows(spark, d):
     return cut_lineage(counts)
 
 
+@query("table_ddl", "SELECT n_nationkey, n_name, false AS dropped_left FROM nation")
+def table_ddl(spark, d):
+    """Tables that are created if they do not exist and dropped if they do, each said twice."""
+    kept, dropped = _temp_name("mr_nation"), _temp_name("mr_dropped")
+    for name in (kept, dropped, kept, dropped):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (n_nationkey INT, n_name STRING) USING parquet LOCATION '{work_path(spark, name)}'")
+    table(spark, d, "nation").select("n_nationkey", "n_name").write.insertInto(kept)
+    for _ in range(2):
+        spark.sql(f"DROP TABLE IF EXISTS {dropped}")
+    return spark.table(kept).withColumn("dropped_left", F.lit(spark.catalog.tableExists(dropped)))
+
+
+@query("catalog_cells", """
+SELECT CAST(c_custkey AS VARCHAR) AS rowkey, 'cf' AS family, q AS qualifier, v AS value FROM customer, LATERAL (VALUES
+  ('c_custkey', CAST(c_custkey AS VARCHAR)), ('c_name', c_name), ('c_nationkey', CAST(c_nationkey AS VARCHAR))) x(q, v) WHERE v IS NOT NULL""")
+def catalog_cells(spark, d):
+    """A job that knows its table by name only: columns and types come from the catalog."""
+    name = _temp_name("mr_customer_c")
+    table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey").write.option("path", work_path(spark, name)).saveAsTable(name)
+    types = files.catalog_column_types(spark, name)
+    rows = spark.table(name).select(*[F.col(c).cast(t) for c, t in types.items()])
+    return rows_to_cells(rows, [next(iter(types))], list(types))
+
+
+@query("foreach_partition", "SELECT s_suppkey, s_name FROM supplier")
+def foreach_partition(spark, d):
+    """Each partition written by a function of its rows, to one file per task, and read back."""
+    out = work_path(spark, "by-partition")
+
+    def write(rows) -> None:
+        target = writers.JsonLines(f"{out}/part-{TaskContext.get().partitionId()}.json")
+        for row in rows:
+            target.write(row)
+        target.close()
+
+    table(spark, d, "supplier").select("s_suppkey", "s_name").foreachPartition(write)
+    return spark.read.schema("s_suppkey BIGINT, s_name STRING").json(out)
+
+
+@query("persisted", """
+SELECT o_orderstatus, count(*) AS n, (SELECT count(*) FROM orders WHERE o_totalprice > 100000) AS n_all FROM orders WHERE o_totalprice > 100000 GROUP BY 1""")
+def persisted(spark, d):
+    """Rows kept in memory and on disk for two uses; unlike a checkpoint, lost ones are computed again."""
+    kept = table(spark, d, "orders").where("o_totalprice > 100000").persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.count()
+    return kept.groupBy("o_orderstatus").agg(F.count("*").alias("n")).withColumn("n_all", F.lit(n).cast("bigint"))
+
+
 # --- cells -----------------------------------------------------------------------------------
 
 ORDER_KEY = ["o_custkey", "o_orderkey"]

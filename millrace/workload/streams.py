@@ -16,9 +16,10 @@ from millrace.sinks.folded import AGAIN
 from millrace.sinks.writers import JsonLines, RowWriter, batch_folder_sink, read_batches
 from millrace.sources import incremental, offset_stream
 from millrace.sources.envelopes import ENVELOPE, decode, to_envelope
+from millrace.sources import files
 from millrace.sources.files import table
 from millrace.streaming import operators as so
-from millrace.streaming.run import run_available_now, run_foreach_batch, run_observed, stream_sql
+from millrace.streaming.run import run_available_now, run_foreach_batch, run_observed, start_continuous, stream_sql
 from millrace.workload.jobs import (BALANCE_SQL, FUND_SQL, SEED_DAY, TRANSFER_SQL, fund_records, seed_and_trades,
                                     transfer_messages, transfer_records)
 from millrace.workload.registry import query
@@ -152,6 +153,31 @@ def stream_restart(spark, d):
     return result
 
 
+@query("stream_line_arrival", """
+SELECT line, count(*) AS n, true AS timed FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1""")
+def stream_line_arrival(spark, d):
+    """Lines of a text stream with the time at which they arrived, which is not before the run."""
+    start = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"]
+    path, per_trigger = stage(table(spark, d, "documents").select(F.explode(F.split("text", "\n")).alias("value")), "lines", "text")
+    lines = files.read_line_stream(spark, path, per_trigger).withColumn("timed", F.col("timestamp") >= F.date_trunc("second", F.lit(start)))
+    counted = lines.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min("timed").alias("timed"))
+    return run_available_now(counted, "complete").withColumnRenamed("value", "line")
+
+
+@query("stream_trigger", "SELECT event_id, event_type, value FROM events")
+def stream_trigger(spark, d):
+    """A long-running stream with a trigger of one second that is stopped when it has read everything."""
+    path, per_trigger = stage(table(spark, d, "events").select("event_id", "event_type", "value"), "events")
+    stream = spark.readStream.schema("event_id BIGINT, event_type STRING, value DOUBLE").option("maxFilesPerTrigger", per_trigger).parquet(path)
+    out = work_path(spark, "batches")
+    query = start_continuous(stream, batch_folder_sink(out), work_path(spark, "stream-checkpoint"), "1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return read_batches(spark, out).drop("batch_id")
+
+
 # --- pass-through, parsing, union ------------------------------------------------------------
 
 
@@ -467,6 +493,32 @@ def incremental_source(spark, d):
     return batches.join(sizes, "batch_id").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"), "pos", "bounded")
 
 
+@query("envelope_offsets", """
+SELECT CAST(user_id AS VARCHAR) AS message_key, ts AS message_time, event_id, event_type, true AS bounded FROM events
+WHERE event_id >= (SELECT min(event_id) + 100 FROM events)""")
+def envelope_offsets(spark, d):
+    """Messages from a start offset on, with a bound on what one trigger takes."""
+    offset_stream.register(spark)
+    e, path, out = table(spark, d, "events"), work_path(spark, "log"), work_path(spark, "messages")
+    first, n = e.agg(F.min("event_id"), F.count(F.lit(1))).first()
+    most = n // 3
+    log = e.select(F.col("event_id").alias("offset"), F.encode(F.col("user_id").cast("string"), "UTF-8").alias("key"),
+                   F.encode(F.to_json(F.struct("event_id", "event_type")), "UTF-8").alias("value"), F.col("ts").cast("timestamp").alias("timestamp"))
+    log.repartitionByRange(6, "offset").write.parquet(path)
+    stream = (spark.readStream.format("offset_table").option("path", path).option("offsetcolumn", "offset")
+              .option("startingoffset", first + 100).option("maxrows", most).load())
+    query = decode(stream, T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())])).writeStream.foreachBatch(
+        batch_folder_sink(out)).option("checkpointLocation", work_path(spark, "stream-checkpoint")).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    batches = read_batches(spark, out)
+    sizes = batches.groupBy("batch_id").agg((F.count(F.lit(1)) <= most).alias("bounded"))
+    return batches.join(sizes, "batch_id").select(
+        "message_key", F.col("message_time").cast("timestamp_ntz").alias("message_time"), "event_id", "event_type", "bounded")
+
+
 @query("bank_transfer_incremental", TRANSFER_SQL)
 def bank_transfer_incremental(spark, d):
     """Transfers from a growing ledger table instead of messages, read by day and version."""
