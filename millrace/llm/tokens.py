@@ -9,6 +9,7 @@ byte (rule ``first``) or its last byte (rule ``last``), so sections that split a
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,6 +24,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's texts are cut into words (a fixed value of the vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 RULES = ("first", "last")
+#: Runs of white space that the vocabulary's expression is not given, as it would try them from every end.
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 
 
 def load(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -31,6 +34,20 @@ def load(path: str = VOCABULARY) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
+def encode_long(tool: tiktoken.Encoding, text: str) -> list[int]:
+    """Ids of a text with runs of white space of any length, the same as from the expression alone.
+
+    Of such a run the expression makes one word, but for its last character if a word follows, which may begin with it.
+    """
+    ids, start = [], 0
+    for run in BLANKS.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += tool.encode_ordinary(text[start:run.start()])
+        ids += tool._core_bpe.encode_single_piece(text[run.start():end].encode())
+        start = end
+    return ids + tool.encode_ordinary(text[start:])
+
+
 def line_spans(text: str) -> np.ndarray:
     """Character spans ``(start, end)`` of the lines of a text, each with the line end that closes it."""
     sizes = [len(x) + 1 for x in text.split("\n")]
@@ -84,7 +101,7 @@ def count_tokens(df: DataFrame, ranks: dict[bytes, int], rule: str = "first",
 
         def one(text: str) -> tuple:
             where = spans(text)
-            tokens = sizes[np.array(tool.encode_ordinary(text), np.int64)]
+            tokens = sizes[np.array(encode_long(tool, text), np.int64)]
             counts, crossing = attribute(tokens, byte_offsets(text, where), rule)
             return where[:, 0], where[:, 1], counts, crossing, len(tokens)
 
