@@ -15,7 +15,7 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import let, narrow
@@ -183,17 +183,21 @@ def fit(found: DataFrame) -> tuple[Boosted, list[float]] | None:
 
     Counts of distinct feature rows come to the driver; the features' ranges bound their number.
     """
-    def example(c: Column) -> Column:
-        def over(b: Column) -> Column:
-            return (b["kind"] == c["kind"]) & (b["start"] <= c["start"]) & (b["end"] >= c["end"])
-
-        # A part of a match that does not count may well be personal data: it is no example of either.
-        unknown = F.exists("matches", lambda b: ~b["ok"] & over(b) & (b["end"] - b["start"] > c["end"] - c["start"]))
-        inside = F.exists("matches", lambda b: b["ok"] & over(b))
-        return F.struct(c.alias("c"), F.when(inside, 1).when(~unknown, 0).alias("y"))
-
-    rows = found.where(F.size("cands") > 0).select(F.explode(F.transform("cands", example)).alias("e")).where("e.y IS NOT NULL")
-    rows = rows.select(F.col("e.c.kind").alias("kind"), *(F.col(f"e.c.{f}").alias(f) for f in FEATURES), F.col("e.y").alias("y"))
+    # Matches of a kind do not overlap, so only the last one that begins before a candidate can hold it.
+    nothing = F.lit(None)
+    cands = found.select("_d", F.explode("cands").alias("c")).select(
+        "_d", F.col("c.kind").alias("kind"), F.col("c.start").alias("at"), F.lit(1).alias("late"), "c")
+    matches = found.select("_d", F.explode("matches").alias("m")).select(
+        "_d", F.col("m.kind").alias("kind"), F.col("m.start").alias("at"), F.lit(0).alias("late"), "m")
+    both = cands.withColumn("m", nothing.cast(matches.schema["m"].dataType)).unionByName(
+        matches.withColumn("c", nothing.cast(cands.schema["c"].dataType)))
+    before = Window.partitionBy("_d", "kind").orderBy("at", "late").rowsBetween(Window.unboundedPreceding, 0)
+    placed = both.withColumn("m", F.last("m", ignorenulls=True).over(before)).where("c IS NOT NULL")
+    over = F.coalesce(F.col("m.end") >= F.col("c.end"), F.lit(False))
+    # A part of a match that does not count may well be personal data: it is no example of either.
+    unknown = over & ~F.col("m.ok") & (F.col("m.end") - F.col("m.start") > F.col("c.end") - F.col("c.start"))
+    rows = placed.withColumn("y", F.when(over & F.col("m.ok"), 1).when(~unknown, 0)).where("y IS NOT NULL")
+    rows = rows.select("kind", *(F.col(f"c.{f}").alias(f) for f in FEATURES), "y")
     counted = rows.groupBy("kind", *FEATURES).agg(F.sum("y").alias("y"), F.count("*").alias("n")).orderBy("kind", *FEATURES).collect()
     x = np.array([[r[f] for f in FEATURES] for r in counted], np.int64)
     y, n = np.array([r.y for r in counted], float), np.array([r.n for r in counted], float)
@@ -209,6 +213,33 @@ def fit(found: DataFrame) -> tuple[Boosted, list[float]] | None:
     return model, cuts
 
 
+def _longest_apart(found: DataFrame, triple: str) -> DataFrame:
+    """``_d, added``: of the candidates that touch no base span, the longest ones that do not overlap each other.
+
+    Spans are compared in the order of their place: a candidate overlaps a base span if one that begins before its end
+    ends after its start, and candidates are cut into runs of overlapping ones, within which the longest go first.
+    """
+    order = Window.partitionBy("_d").orderBy("at", "late").rowsBetween(Window.unboundedPreceding, 0)
+    cands = found.select("_d", F.explode("passed").alias("c")).select(
+        "_d", F.col("c.end").alias("at"), F.lit(0).alias("late"), F.lit(None).cast("int").alias("base_end"),
+        F.struct("c.start", "c.kind", "c.end").alias("c"))
+    base = found.where(F.size("passed") > 0).select("_d", F.explode("base").alias("b")).select(
+        "_d", F.col("b.start").alias("at"), F.lit(1).alias("late"), F.col("b.end").alias("base_end"),
+        F.lit(None).cast(cands.schema["c"].dataType).alias("c"))
+    free = cands.unionByName(base).withColumn("reach", F.max("base_end").over(order)).where(
+        F.col("c").isNotNull() & (F.coalesce("reach", F.lit(0)) <= F.col("c.start"))).select("_d", "c.*")
+    by_start = Window.partitionBy("_d").orderBy("start", "end", "kind")
+    ended = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    runs = free.withColumn("fresh", F.coalesce((F.col("start") >= ended).cast("int"), F.lit(1))).withColumn(
+        "run", F.sum("fresh").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
+    longest = F.array_sort(F.collect_list(F.struct((F.col("start") - F.col("end")).alias("size"), "start", "kind", "end")))
+    runs = runs.groupBy("_d", "run").agg(longest.alias("longest"))
+    apart = lambda seen, c: ~F.exists(seen, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+    taken = F.aggregate("longest", F.array().cast(triple), lambda seen, c: F.when(
+        apart(seen, c), F.array_append(seen, F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))).otherwise(seen))
+    return runs.select("_d", taken.alias("taken")).groupBy("_d").agg(F.flatten(F.collect_list("taken")).alias("added"))
+
+
 def _text_of(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(
         ":", F.get(F.array(*map(F.lit, KINDS)), x["kind"]), x["start"], x["end"])), ",")
@@ -222,22 +253,18 @@ def personal_spans(df: DataFrame) -> DataFrame:
     list. Rows are independent of each other but for the trees; other columns are ignored.
     """
     text = F.col("text")
-    found = materialize(narrow(df).select("doc_id", base_matches(text).alias("matches"), candidates(text).alias("cands")), "candidates")
+    found = materialize(narrow(df).select(F.monotonically_increasing_id().alias("_d"), "doc_id", base_matches(text).alias("matches"), candidates(text).alias("cands")), "candidates")
     model = fit(found)
     triple = "array<struct<start:int,kind:int,end:int>>"
     base = F.transform(F.filter("matches", lambda b: b["ok"]), lambda b: F.struct(b["start"], b["kind"], b["end"]))
-    found = found.select("doc_id", "cands", base.cast(triple).alias("base"))
-    added = F.array().cast(triple)
+    found = found.select("_d", "doc_id", "cands", base.cast(triple).alias("base"))
     if model:
         trees, cuts = model
         passed = F.filter("cands", lambda c: trees.column(c) >= F.get(F.array(*map(F.lit, cuts)), c["kind"]))
-        longest = F.array_sort(F.transform(passed, lambda c: F.struct(
-            (c["start"] - c["end"]).alias("size"), c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))))
-        apart = lambda seen, c: ~F.exists(seen, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-        added = F.aggregate(longest, F.array().cast(triple), lambda seen, c: F.when(
-            apart(F.col("base"), c) & apart(seen, c),
-            F.array_append(seen, F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))).otherwise(seen))
-        added = F.when(F.size("cands") > 0, added).otherwise(F.array().cast(triple))
+        found = found.join(_longest_apart(found.select("_d", passed.alias("passed"), "base"), triple), "_d", "left")
+    else:
+        found = found.withColumn("added", F.lit(None).cast(triple))
+    added = F.coalesce("added", F.array().cast(triple))
     count_of = lambda i: F.size(F.filter("base", lambda b: b["kind"] == i)).cast("long")
     counts = [count_of(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
     out = found.select("doc_id", "base", *counts, added.alias("added"))
