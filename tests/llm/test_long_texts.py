@@ -8,7 +8,7 @@ import pytest
 import tiktoken
 from helpers import docs
 
-from millrace.llm import pii, tokens
+from millrace.llm import pii, tokens, wrappers
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +65,74 @@ def test_longest_candidates_apart_equal_brute_force(spark):
             if all(b[0] >= c[2] or c[0] >= b[2] for b in [*base, *taken]):
                 taken.append(tuple(c))
         assert got.get(d, []) == sorted(taken)
+
+
+# Pages -----------------------------------------------------------------------------------------------------
+
+BROKEN = {"<a" * 10_000: "<a" * 10_000, "a <b and c <d " * 20_000: ("a <b and c <d " * 20_000).strip(), "<p \"" * 20_000 + "x": None,
+          "<script>x</script" * 20_000: None, "<" * 200_000: "<" * 200_000, "<div>" * 50_000 + "</p>" * 50_000 + "end": "end", "<!--" * 50_000: "", "&" * 100_000: "&" * 100_000}
+
+
+@pytest.mark.parametrize("page", list(BROKEN), ids=lambda p: p[:8])
+def test_broken_markup_is_read_in_one_pass(page):
+    start = time.monotonic()
+    text = " ".join(b[1] for b in wrappers.parse(page)[1])
+    assert time.monotonic() - start < 20
+    if BROKEN[page] is not None:
+        assert text == BROKEN[page]
+
+
+def test_pages_of_twenty_thousand_blocks():
+    rng = random.Random(7)
+    one = "".join(f"<p>a {i}</p><h2>b {i}</h2>" for i in range(10_000))
+    two = "".join(f"<{t}>c {i}</{t}><hr>" for i, t in enumerate(rng.choice(["p", "h2", "ul"]) for _ in range(12_000)))
+    for a, b in ((one, one.replace("<p>a 5</p>", "")), (one, two), (two, one)):
+        start = time.monotonic()
+        count, pairs = wrappers.align(wrappers.parse(a)[0], wrappers.parse(b)[0])
+        assert count == len(pairs) > 1 and time.monotonic() - start < 60
+
+
+def test_cutting_a_large_alignment_gives_as_many_matches(monkeypatch):
+    rng = random.Random(3)
+
+    def page():
+        return "".join(f"<{t}><b>x</b>{'<i>y</i>' * 2}</{t}>" if rng.random() < 0.5 else f"<{t}><div>z</div></{t}>"
+                       for t in (rng.choice(["p", "h2", "section", "ul"]) for _ in range(rng.randrange(1, 40))))
+
+    for _ in range(60):
+        a, b = page(), page()
+        whole = wrappers.align(wrappers.parse(a)[0], wrappers.parse(b)[0])[0]
+        monkeypatch.setattr(wrappers, "CELLS", 6)
+        assert wrappers.align(wrappers.parse(a)[0], wrappers.parse(b)[0])[0] == whole
+        monkeypatch.undo()
+
+
+def text_of_pages(spark, bodies, host="http://h.example"):
+    rows = [(i, host, f"<body><div>Top line</div>{b}<div>All rights</div></body>") for i, b in enumerate(bodies)]
+    found = wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    return [r.text for r in found.orderBy("page_id").collect()]
+
+
+@pytest.mark.parametrize("deep", [3, 62, 3000])
+def test_a_menu_at_any_depth_goes(spark, deep):
+    nav = "<div>" * deep + "<nav><p>Site menu {0}</p></nav>" + "</div>" * deep
+    assert text_of_pages(spark, [nav.format(i) + f"<div><p>Body {i}</p></div>" for i in range(5)]) == [f"Body {i}" for i in range(5)]
+
+
+@pytest.mark.parametrize("name", ["discussion", "search", "alert", "notice", "share-of-voters", "related", "feedback", "responses", "ad-hoc"])
+def test_words_in_classes_do_not_cut_an_article(spark, name):
+    body = "<article><p>Intro {0}</p><section class='" + name + "'><p>Part {0}</p></section></article>"
+    assert text_of_pages(spark, [body.format(i) for i in range(5)]) == [f"Intro {i} Part {i}" for i in range(5)]
+
+
+def test_adverts_comments_and_forms_in_an_article_go(spark):
+    body = ("<article><header><h1>Title {0}</h1></header><p>Intro {0}</p><div class='box ad'><p>Buy {0}</p></div><aside>Also {0}</aside>"
+            "<form><p>Name {0}</p></form><div id='comments'><p>First! {0}</p></div></article>")
+    assert text_of_pages(spark, [body.format(i) for i in range(5)]) == [f"Title {i} Intro {i}" for i in range(5)]
+
+
+@pytest.mark.parametrize("pages", [1, 2, 3, 5, 12])
+def test_paragraphs_of_an_article_may_repeat(spark, pages):
+    body = "<article><p>Intro {0} of some length</p><p>Correspondence: ask the desk.</p></article>"
+    found = text_of_pages(spark, [body.format(i) for i in range(pages)])
+    assert found == [f"Intro {i} of some length Correspondence: ask the desk." for i in range(pages)]
