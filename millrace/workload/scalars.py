@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from millrace.functions import udfs
-from millrace.functions.dates import compact_day, compact_day_via_unixtime, in_period
+from millrace.functions.dates import compact_day, compact_day_via_unixtime, in_period, resolve_business_date
 from millrace.functions.records import (LEDGER, LEDGER_JSON, TRADE, format_delimited, ledger_decimals, parse_delimited, parse_json,
                                         with_fallback)
 from millrace.functions.text import lookup, null_to_empty, padded_key
@@ -246,6 +246,23 @@ def business_periods(spark, d):
         F.count(F.lit(1)).alias("n"), F.count_if(in_period(day, "199603")).alias("in_month"), F.count_if(in_period(day, "1996")).alias("in_year"))
 
 
+@query("job_dates", """
+WITH d AS (SELECT strftime(o_orderdate, '%Y%m%d') AS day, count(*) AS n FROM orders GROUP BY 1),
+j AS (SELECT 'configured' AS given, strftime(max(o_orderdate), '%Y%m%d') AS day FROM orders
+      UNION ALL SELECT 'scheduled', strftime(min(o_orderdate), '%Y%m%d') FROM orders
+      UNION ALL SELECT 'neither', strftime(max(o_orderdate) - INTERVAL 1 DAY, '%Y%m%d') FROM orders)
+SELECT given, j.day, coalesce(n, 0) AS n FROM j LEFT JOIN d ON d.day = j.day""")
+def job_dates(spark, d):
+    """Orders of a job's day: the configured one, else that of the scheduler's stamp, else the day before today (here, the last day)."""
+    o = table(spark, d, "orders")
+    first, last = o.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    stamp, day = f"{first:%Y%m%d}0300", f"{last:%Y%m%d}"
+    jobs = spark.createDataFrame([("configured", resolve_business_date(day, stamp, last.date())), ("scheduled", resolve_business_date(None, stamp, last.date())),
+                                  ("neither", resolve_business_date(None, None, last.date()))], "given STRING, day STRING")
+    counted = o.groupBy(compact_day(F.col("o_orderdate")).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return jobs.join(counted, "day", "left").select("given", "day", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 @query("map_in_pandas", """
 SELECT event_id, upper(event_type) AS kind, value * 2 AS doubled FROM events WHERE value > 10""")
 def map_in_pandas(spark, d):
