@@ -212,5 +212,9 @@ def predict(df: DataFrame, learned: dict[str, str]) -> DataFrame:
 
 
 def identify(df: DataFrame, learn: DataFrame) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row of ``df``, learned from ``doc_id, text, lang`` of ``learn``."""
+    """``doc_id, lang_pred, score`` of every row of ``df``, learned from ``doc_id, text, lang`` of ``learn``.
+
+    Rows of ``learn`` without a language teach nothing, rows that repeat teach once per row; rows of ``df`` that repeat are each
+    returned. Other columns are ignored, and an empty ``df`` gives an empty result.
+    """
     return predict(narrow(df), samples(learn))

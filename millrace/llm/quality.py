@@ -72,7 +72,8 @@ def fit(docs: DataFrame, labels: DataFrame):
 
     ``labels`` has ``doc_id, quality``; rows with a null in either, or another quality, are not used.
     Of each class at most ``FIT_ROWS`` rows are taken, those with the smallest hash of the id; only excerpts of
-    theirs and four numbers per row come to the driver.
+    theirs and four numbers per row come to the driver. A document that repeats counts once per row and label; a
+    null text is empty, and empty texts are not used.
     """
     labels = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(
         "doc_id IS NOT NULL AND quality IN (0, 1)").withColumn("o", F.xxhash64("doc_id"))
