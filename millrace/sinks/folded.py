@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -14,6 +15,12 @@ from millrace.sinks.writers import write_partitioned
 CONTINUE, AGAIN = "continue", "again"
 
 
+def _numbers(rows: DataFrame, *keys: str) -> set[tuple[int, ...]]:
+    """Numbers in the folder names ``key=number`` of a table's files, from the listing alone."""
+    pattern = re.compile("/".join(f"{k}=(\\d+)" for k in keys) + "/")
+    return {tuple(map(int, m.groups())) for m in map(pattern.search, rows.inputFiles()) if m}
+
+
 class FoldedBatches:
     """A folder of batches whose rows ``fold`` merges, in any order and in any grouping.
 
@@ -31,6 +38,7 @@ class FoldedBatches:
         if new_run not in (CONTINUE, AGAIN):
             raise ValueError(f"a new run may continue or start again, not {new_run!r}")
         self.path, self.fold, self.new_run = path, fold, new_run
+        self._known: dict[int, tuple[str, bool]] = {}
 
     def _listed(self, spark: SparkSession, folder: str, schema: str | None = None) -> DataFrame | None:
         try:
@@ -44,7 +52,12 @@ class FoldedBatches:
     def _epochs(self, spark: SparkSession) -> list[tuple[int, str, bool]]:
         """The runs so far as (number, run, whether it started again). There is one row per checkpoint ever used."""
         rows = self._listed(spark, "epochs", "epoch INT, run STRING, again BOOLEAN")
-        return [] if rows is None else sorted(tuple(r) for r in rows.select("epoch", "run", "again").collect())
+        if rows is None:
+            return []
+        # The listing tells whether there is a new one; a number never gets another run.
+        if {e for e, in _numbers(rows, "epoch")} != set(self._known):
+            self._known = {r["epoch"]: (r["run"], r["again"]) for r in rows.collect()}
+        return sorted((epoch, *run) for epoch, run in self._known.items())
 
     def _epoch_of(self, spark: SparkSession, run: str) -> int:
         known = self._epochs(spark)
@@ -65,8 +78,7 @@ class FoldedBatches:
     def upto(self, spark: SparkSession) -> tuple[int, int]:
         """The last run and batch id that the newest base holds, (-1, -1) without a base."""
         pointers = self._listed(spark, "pointers", "id BIGINT, epoch INT, upto INT")
-        newest = pointers and pointers.agg(F.max(F.struct("epoch", "upto"))).first()[0]
-        return tuple(newest) if newest else (-1, -1)
+        return (-1, -1) if pointers is None else max(_numbers(pointers, "epoch", "upto"), default=(-1, -1))
 
     def sink(self, prepare: Callable[[DataFrame], DataFrame] | None = None, run: str | None = None) -> Callable[[DataFrame, int], None]:
         """``foreachBatch`` handler. The run is the streaming query's id; outside a stream it is ``run`` or an empty one."""
