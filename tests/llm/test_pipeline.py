@@ -56,7 +56,7 @@ def test_stages_take_odd_rows(spark):
 
 def test_queries_equal_their_sql(spark):
     con = duckdb.connect()
-    for name in ("documents", "benchmark"):
+    for name in ("documents", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
     for name, sql in ORACLES.items():
         wanted = con.sql(sql).df()
