@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Generator, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -232,6 +233,18 @@ def _cms_cells(column: str, depth: int, width: int) -> Column:
         for i in range(depth)])).alias("c")
 
 
+def cms_shape(error: float, items: int, chance: float = 1e-9) -> tuple[int, int]:
+    """Depth and width of a sketch whose estimates of all of ``items`` values are at most ``error`` of the rows too high.
+
+    One value keeps a bound of e/width but for a chance of exp(-depth), so among many values some break it. Cells are 16
+    times as many as that bound needs, which breaks in a row with 1 / 16e at most, and there are so many rows that all of
+    them break it for any value with ``chance`` at most.
+    """
+    spread = 16 * math.e
+    width = 1 << math.ceil(math.log2(spread / error))
+    return max(5, math.ceil(math.log(max(items, 1) / chance, spread))), width
+
+
 def cms_build(df: DataFrame, column: str, depth: int = 5, width: int = 1 << 14) -> DataFrame:
     """Count-min sketch as at most ``depth * width`` cells ``(row, cell, n)``.
 

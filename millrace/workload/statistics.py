@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from millrace.operators import sampling, sessions, statistics as st
@@ -95,13 +97,18 @@ def stat_bloom_prefilter(spark, d):
 @query("stat_cms", """
 SELECT l_suppkey, count(*) AS n, true AS never_below, true AS near FROM lineitem GROUP BY 1""")
 def stat_cms(spark, d):
-    """Count-min estimates next to the true counts: never below, and above by at most the sketch's bound."""
-    l, depth, width = table(spark, d, "lineitem"), 5, 1 << 14
+    """Count-min estimates next to the true counts: never below, and above by at most the sketch's bound.
+
+    The bound is e / 2^14 of the rows for every supplier, so the sketch is sized by the number of suppliers.
+    """
+    l, error = table(spark, d, "lineitem"), math.e / (1 << 14)
+    true = materialize(l.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n")), "true-counts")
+    rows, items = true.agg(F.sum("n"), F.count(F.lit(1))).first()
+    depth, width = st.cms_shape(error, items)
     cells = st.cms_build(l, "l_suppkey", depth, width)
-    true = l.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    estimates = st.cms_estimate(true, "l_suppkey", cells, depth, width)
-    bound = l.count() * 2.718281828 / width
-    return true.join(estimates, "l_suppkey").select(
+    estimates = st.cms_estimate(true, "l_suppkey", cells, depth, width).withColumnRenamed("l_suppkey", "_item")
+    bound = (rows or 0) * error
+    return true.join(estimates, F.col("l_suppkey").eqNullSafe(F.col("_item"))).select(
         "l_suppkey", "n", (F.col("estimate") >= F.col("n")).alias("never_below"),
         (F.col("estimate") <= F.col("n") + bound).alias("near"))
 
