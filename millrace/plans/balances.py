@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.functions.records import TRADE, parse_delimited
 from millrace.functions.text import joined_key
 from millrace.operators.cells import rows_to_cells, slice_by_day, split_keyless
 from millrace.sinks.folded import CONTINUE, FoldedBatches
@@ -16,6 +17,7 @@ FUND_KEY = ("fundid", "orgid", "moneytype", "serverid")
 ADD_FLAGS = ("03", "0B", "0a", "0b", "0c", "0d", "0e", "0q", "1j", "3m")
 SUBTRACT_FLAGS = ("04", "0S", "0f", "0g", "0h", "0i", "0j", "0r", "3n")
 ALWAYS_FLAGS = ("03", "04")
+DELTA = ["rowkey", "delta", "last_no", "last_day"]
 CONFIRMED_MATCH = "0"
 
 
@@ -24,15 +26,18 @@ def seed_cells(snapshot: DataFrame, date_column: str, day: str, keys: Sequence[s
     return slice_by_day(snapshot, date_column, day).transform(rows_to_cells, keys)
 
 
-def distinct_messages(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Messages without repeated ones. The whole text is compared, before it is parsed into columns.
+def distinct_messages(messages: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Messages without repeated ones. The whole text is compared, not the columns that are parsed from it.
+
+    ``keep`` names columns that follow from the text; only these are handed on, and a stream shuffles no text then.
 
     On a stream the state holds a digest and the length of every message seen, as a delivery guarantee without a time
     limit needs; :func:`distinct_within` forgets them.
     """
     if not messages.isStreaming:
-        return messages.dropDuplicates([value])
-    return _digested(messages, value).dropDuplicates(["_digest", "_length"]).select(*messages.columns)
+        return messages.select(value, *keep).distinct().select(*keep) if keep else messages.dropDuplicates([value])
+    out = keep or messages.columns
+    return _digested(messages, value).select("_digest", "_length", *out).dropDuplicates(["_digest", "_length"]).select(*out)
 
 
 def _digested(messages: DataFrame, value: str) -> DataFrame:
@@ -60,19 +65,30 @@ def signed_quantity(flag: Column, quantity: Column) -> Column:
     return F.when(flag.isin(*ADD_FLAGS), quantity).when(flag.isin(*SUBTRACT_FLAGS), -quantity)
 
 
-def stock_deltas(trades: DataFrame, after_day: int | None = None) -> DataFrame:
-    """``key, delta, no, day`` per counted trade; ``after_day`` keeps trades later than the seed.
+def stock_deltas(trades: DataFrame, after_day: int | None = None, carried: Sequence[str] = ()) -> DataFrame:
+    """``key, delta, no, day`` per counted trade, after columns to be carried; ``after_day`` keeps trades later than the seed.
 
     Trades without a complete key have no balance; :func:`rejects` gives them.
     """
     trades, _ = split_keyless(trades, STOCK_KEY)
     rows = trades if after_day is None else trades.where(F.col("trddate") > after_day)
     rows = rows.where(counts(F.col("bsflag"), F.col("matchtype")))
-    return rows.select(joined_key(*map(F.col, STOCK_KEY)).alias("rowkey"),
+    return rows.select(*carried, joined_key(*map(F.col, STOCK_KEY)).alias("rowkey"),
                        signed_quantity(F.col("bsflag"), F.col("matchqty")).alias("delta"),
                        F.col("matchsno").alias("last_no"), F.col("trddate").alias("last_day"))
 
 
+def distinct_deltas(messages: DataFrame, after_day: int | None = None, upto_day: int | None = None, value: str = "value") -> DataFrame:
+    """:func:`stock_deltas` of text messages, each message once, for the days after one and up to another.
+
+    What is filtered out of a message is filtered out of its repeats, so only messages that move a balance are compared,
+    and a stream holds the digests of those alone.
+    """
+    trades = messages.select(F.col(value).alias("_message"), F.col(value)).transform(parse_delimited, TRADE, value)
+    deltas = stock_deltas(trades if upto_day is None else trades.where(F.col("trddate") <= upto_day), after_day, ["_message"])
+    return distinct_messages(deltas, "_message", DELTA)
+
+
 def fund_deltas(trades: DataFrame, ledger: DataFrame, after_day: int | None = None) -> DataFrame:
     """Union of trade clearing amounts and ledger effects, as ``key, delta, no, day``.
 

@@ -6,6 +6,7 @@ tables, limited to the period with filters that reach the scan.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -367,6 +368,14 @@ def signed_delta(spark, d):
     return balances.stock_deltas(trade_lines(spark, d).transform(parse_delimited, TRADE))
 
 
+def balance_seed_of(spark, d) -> DataFrame:
+    """Seed from the trades up to the seed day. The scan reads these days alone; the messages are filtered in any case."""
+    day_after = (dt.datetime.strptime(str(SEED_DAY), "%Y%m%d") + dt.timedelta(days=1)).isoformat()
+    lines = trade_lines(spark, d, "l_shipdate").where(F.col("l_shipdate") < F.lit(day_after).cast("timestamp_ntz"))
+    early = balances.sum_deltas(balances.distinct_deltas(lines, upto_day=SEED_DAY))
+    return early.select("rowkey", F.col("delta").alias("balance"))
+
+
 def seed_and_trades(spark, d):
     """Seed from the trades up to the seed day, and all trades as records."""
     trades = trade_lines(spark, d).transform(balances.distinct_messages).transform(parse_delimited, TRADE)
