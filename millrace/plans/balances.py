@@ -45,14 +45,16 @@ def _digested(messages: DataFrame, value: str) -> DataFrame:
         "_length", F.octet_length(F.col(value).cast("string")))
 
 
-def distinct_within(messages: DataFrame, day: Column, delay: str = "3 days", value: str = "value") -> DataFrame:
+def distinct_within(messages: DataFrame, day: Column, delay: str = "3 days", value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """A stream's messages without repeated ones, with state that ends ``delay`` after their trade day (a timestamp).
 
     A message is known by its SHA-256 and length while repeats of it may come. What comes later than that is dropped, also
-    a first delivery, so that nothing counts twice: choose the delay by how late a day's trades may be.
+    a first delivery, so that nothing counts twice: choose the delay by how late a day's trades may be. ``keep`` as in
+    :func:`distinct_messages`.
     """
-    marked = _digested(messages, value).withColumn("_day", day).withWatermark("_day", delay)
-    return marked.dropDuplicatesWithinWatermark(["_digest", "_length"]).select(*messages.columns)
+    out = keep or messages.columns
+    marked = _digested(messages, value).select("_digest", "_length", day.alias("_day"), *out).withWatermark("_day", delay)
+    return marked.dropDuplicatesWithinWatermark(["_digest", "_length"]).select(*out)
 
 
 def counts(flag: Column, match_type: Column) -> Column:
