@@ -229,3 +229,29 @@ def test_short_similar_lines_share_a_band(spark):
     missed = sum(bands[i, 0].isdisjoint(bands[i, 1]) for i in range(len(stems)))
     # 0.66 % are expected.
     assert len(bands) == 2 * len(stems) and missed < 0.01 * len(stems)
+
+
+def test_unlike_lines_of_a_band_need_no_texts(spark, monkeypatch):
+    rng = random.Random(10)
+    part = lambda n: "".join(chr(rng.randint(0x4e00, 0x9fff)) for _ in range(n))
+    common = part(60)
+    pool = [common + part(180) for _ in range(300)]
+    pool += [x[:-1] + "." for x in pool[:20]]
+    df = docs(spark, list(enumerate(pool)))
+    marked = lines.signatures(lines.lines(df)).select("node", "bands").collect()
+    shared = sum(not set(x.bands).isdisjoint(y.bands) for i, x in enumerate(marked) for y in marked[:i])
+    compared, similar = [], lines.similar
+    monkeypatch.setattr(lines, "similar", lambda pairs, texts: compared.append(pairs.count()) or similar(pairs, texts))
+    gone = {r.doc_id for r in lines.line_report(df).collect() if r.removed}
+    assert gone == set(range(300, 320))
+    assert 20 <= sum(compared) < shared / 2
+
+
+def test_only_wanted_texts_are_shuffled(spark):
+    rows = lines.lines(docs(spark, [(i, f"line {i}") for i in range(200)]))
+    wanted = rows.where("doc < 5").select(F.xxhash64("lid").alias("node"))
+    found = lines.texts_of(rows, wanted)
+    assert {r.line for r in found.collect()} == {f"line {i}" for i in range(5)}
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    # The Bloom filter's join lies below the one with the wanted ids.
+    assert plan.index("bits#") > plan.index("Join [node#")
