@@ -5,6 +5,7 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,21 +15,39 @@ from millrace.session import work_path
 from millrace.sinks.writers import batch_folder_sink
 
 
+@contextmanager
+def retained(spark: SparkSession, batches: int | None):
+    """Queries started within keep the state of so many batches, by Spark's setting if none are given."""
+    name = "spark.sql.streaming.minBatchesToRetain"
+    before = spark.conf.get(name)
+    if batches is not None:
+        spark.conf.set(name, str(batches))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def run_available_now(stream: DataFrame, mode: str = "append", checkpoint: str | None = None,
-                      out: str | None = None) -> DataFrame:
+                      out: str | None = None, retain: int | None = None) -> DataFrame:
     """Process what the sources hold now, then stop; the result is read from files, never collected.
 
     ``append`` uses the transactional file sink. ``complete`` writes each batch's full result to
     its own folder and returns the newest; ``update`` returns every changed row with its batch.
+    With ``retain``, the checkpoint keeps the state of that many batches (a restart needs the last one); Spark keeps 100.
     """
     spark = stream.sparkSession
     out = out or work_path(spark, "stream-out")
     writer = stream.writeStream.outputMode(mode).trigger(availableNow=True).option(
         "checkpointLocation", checkpoint or work_path(spark, "stream-checkpoint"))
     if mode == "append":
-        writer.format("parquet").option("path", out).start().awaitTermination()
+        with retained(spark, retain):
+            query = writer.format("parquet").option("path", out).start()
+        query.awaitTermination()
         return spark.read.schema(stream.schema).parquet(out)
-    writer.foreachBatch(batch_folder_sink(out)).start().awaitTermination()
+    with retained(spark, retain):
+        query = writer.foreachBatch(batch_folder_sink(out)).start()
+    query.awaitTermination()
     try:
         written = spark.read.parquet(out)
     except AnalysisException as error:  # no input yet, hence no batch

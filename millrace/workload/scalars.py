@@ -103,7 +103,12 @@ def parse_with_default(spark, d):
 
 
 def trade_lines(spark, d, *carried):
-    """Line items as 50-field trade records, after carried columns. Flags: N buys; A buys in kind; R sells, in two ways by line number."""
+    """Line items as trade records, after carried columns."""
+    return trade_texts(table(spark, d, "lineitem"), *carried)
+
+
+def trade_texts(lineitem, *carried):
+    """50-field trade records, after carried columns. Flags: N buys; A buys in kind; R sells, in two ways by line number."""
     flag = (F.when(F.col("l_returnflag") == "N", "03").when(F.col("l_returnflag") == "A", "0B")
             .when(F.col("l_linenumber") <= 4, "04").otherwise("0S"))
     values = {
@@ -115,7 +120,7 @@ def trade_lines(spark, d, *carried):
         "matchprice": F.col("l_discount").cast("decimal(12,2)"), "clearamt": F.col("l_extendedprice").cast("decimal(18,2)"),
         "matchamt": F.col("l_tax").cast("decimal(12,2)"), "trddate": F.date_format("l_shipdate", "yyyyMMdd"),
     }
-    return table(spark, d, "lineitem").select(*carried, format_delimited(values, TRADE).alias("value"))
+    return lineitem.select(*carried, format_delimited(values, TRADE).alias("value"))
 
 
 TRADE_SQL = """SELECT l_suppkey AS fundid, 'A' || l_suppkey AS secuid, '0001' AS orgid, l_linestatus AS market,
